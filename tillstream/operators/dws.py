@@ -7,7 +7,7 @@ window or collected list gathers an order's details.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tillstream import schemas
 from tillstream.functions import money
@@ -15,6 +15,12 @@ from tillstream.functions import money
 # Hopping window length and slide, wait of the cached join, in seconds.
 HOP_WINDOW, HOP_SLIDE, CACHE_WAIT = 15, 5, 600
 
+# How long an order's running sums are remembered after its last detail, in seconds (fixed).
+SUMS_TTL = 1000
+DETAIL_AT = "detail_at"
+RUNNING_SUMS = T.StructType([T.StructField(name, T.LongType())
+                             for name in ("order_id", "part", "share", "last_at")])
+
 _FROM_ORDER = {
     "order_id": "id", "order_status": "order_status", "create_time": "create_time",
     "user_id": "user_id", "benefit_reduce_amount": "benefit_reduce_amount",
@@ -123,6 +129,23 @@ def with_shares(wide: DataFrame) -> DataFrame:
         F.col("_paid"), F.col("_part"), F.col("_total")))
 
 
+def order_sums(shares: DataFrame) -> DataFrame:
+    """Per order: amounts and shares so far, and the detail that would close it."""
+    return shares.groupBy(F.col("order_id").alias("_order")).agg(
+        F.sum("_part").alias("seen"), F.sum("_share").alias("given"),
+        F.max("order_detail_id").alias("_last"),
+        F.max("_paid").alias("_paid"), F.max("_total").alias("_total"))
+
+
+def _settle(shares: DataFrame, sums: DataFrame) -> DataFrame:
+    """Proportional shares; the closing detail of a completed order gets what is left."""
+    closing = (sums.where(F.col("seen") == F.col("_total"))
+               .select("_order", "_last", (F.col("_paid") - F.col("given")).alias("_gap")))
+    joined = shares.join(closing, F.col("order_id") == F.col("_order"), "left")
+    rest = F.when(F.col("order_detail_id") == F.col("_last"), F.col("_gap")).otherwise(F.lit(0))
+    return joined.withColumn("final_detail_amount", money.amount(F.col("_share") + rest))
+
+
 def apportion(wide: DataFrame) -> DataFrame:
     """Fill ``final_detail_amount``: each detail's proportional share of the paid amount.
 
@@ -131,13 +154,30 @@ def apportion(wide: DataFrame) -> DataFrame:
     comes from per-order sums, which are combined before any shuffle.
     """
     shares = with_shares(wide)
-    closing = (shares.groupBy(F.col("order_id").alias("_order"))
-               .agg(F.sum("_part").alias("seen"), F.sum("_share").alias("given"),
-                    F.max("order_detail_id").alias("_last"),
-                    F.max("_paid").alias("paid"), F.max("_total").alias("total"))
-               .where(F.col("seen") == F.col("total"))
-               .select("_order", "_last", (F.col("paid") - F.col("given")).alias("_gap")))
-    joined = shares.join(closing, F.col("order_id") == F.col("_order"), "left")
-    rest = F.when(F.col("order_detail_id") == F.col("_last"), F.col("_gap")).otherwise(F.lit(0))
-    return (joined.withColumn("final_detail_amount", money.amount(F.col("_share") + rest))
-                  .select(*wide.columns))
+    return _settle(shares, order_sums(shares)).select(*wide.columns)
+
+
+def apportion_onto(wide: DataFrame, before: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Apportion some of the details, going on from the running sums of earlier ones.
+
+    ``wide`` carries the detail's time in seconds (``DETAIL_AT``); sums whose last detail is
+    more than ``SUMS_TTL`` seconds older no longer count. Returns the rows and the sums to
+    remember: of orders still incomplete, and of those that had sums before.
+    """
+    shares = with_shares(wide)
+    times = shares.groupBy(F.col("order_id").alias("_order")).agg(
+        F.min(DETAIL_AT).alias("_from"), F.max(DETAIL_AT).alias("_to"))
+    old = before.select(F.col("order_id").alias("_old"), F.col("part").alias("_old_part"),
+                        F.col("share").alias("_old_share"), F.col("last_at").alias("_old_at"))
+    alive = ((F.col("_order") == F.col("_old"))
+             & (F.col("_from") <= F.col("_old_at") + SUMS_TTL))
+    sums = (order_sums(shares).join(times, "_order").join(old, alive, "left")
+            .withColumns({"seen": F.col("seen") + F.coalesce("_old_part", F.lit(0)),
+                          "given": F.col("given") + F.coalesce("_old_share", F.lit(0))}))
+    rows = _settle(shares, sums).select(*[c for c in wide.columns if c != DETAIL_AT])
+    open_ = ~F.coalesce(F.col("seen") == F.col("_total"), F.lit(False))
+    kept = (sums.where(open_ | F.col("_old").isNotNull())
+            .select(F.col("_order").alias("order_id"), F.col("seen").alias("part"),
+                    F.col("given").alias("share"),
+                    F.greatest("_to", "_old_at").alias("last_at")))
+    return rows, kept

@@ -36,3 +36,15 @@ def look_up(facts: DataFrame, dim: DataFrame, on: Column) -> DataFrame:
     join shuffles and AQE splits the partition of a hot or NULL key on the facts' side.
     """
     return facts.join(dim, on, "left")
+
+
+# Keys that may be sent to every task: at 1 kB each at most a gigabyte, usually some 30 MB.
+BROADCAST_KEYS = 1_000_000
+
+
+def only_keys(table: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """Rows of a large table whose key is among those of a micro-batch. Up to
+    ``BROADCAST_KEYS`` of them, counted first, the table is filtered where it is scanned;
+    beyond that both sides shuffle."""
+    few = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    return table.join(F.broadcast(keys) if few else keys, on, "left_semi")

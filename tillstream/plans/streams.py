@@ -49,8 +49,21 @@ def stream_dau(spark, sf_dir):
 def stream_first_order(spark, sf_dir):
     orders = views.order_head_from(_stream(spark, sf_dir, "orders"),
                                    views.load(spark, sf_dir, "customer")).drop("event_time")
-    flagged = state.first_order_stream(orders, views.user_state(spark, sf_dir))
-    return _appended(flagged, "stream-first-order").select("id", "user_id", "if_first_order")
+    folder = run_dir(spark, "stream-first-order")
+    users, table = f"{folder}/user-state", f"{folder}/orders"
+    # What is known before the stream starts is the state table's base.
+    sink_tables.upsert(views.user_state(spark, sf_dir), users, ["user_id"],
+                       sink_tables.BASE_BATCH)
+
+    def write(batch: DataFrame, n: int) -> None:
+        flagged = state.first_orders(runtime.staged(batch, f"{folder}/staged", n), n, users)
+        sink_tables.append_table(flagged, table, n, None)
+        state.remember_users(flagged, n, users)
+
+    _drain(orders, write, folder)
+    shape = T.StructType([*orders.schema.fields, T.StructField("if_first_order", T.StringType())])
+    return (sink_tables.read_appended(spark, table, shape)
+            .select("id", "user_id", "if_first_order"))
 
 
 def _pair_streams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -68,13 +81,13 @@ def _pair_streams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 @query(WIDE + WITHIN, "order_info", "order_detail")
 def stream_order_wide(spark, sf_dir):
     wide = state.dedup_pairs_stream(state.interval_wide_stream(*_pair_streams(spark, sf_dir)))
-    return _wide_columns(_appended(wide.drop("event_time"), "stream-order-wide"))
+    return _wide_columns(_appended(wide.select(*schemas.ORDER_WIDE.names), "stream-order-wide"))
 
 
 @query(WIDE + HOP, "order_info", "order_detail")
 def stream_hop_wide(spark, sf_dir):
     wide = state.dedup_pairs_stream(state.hop_wide_stream(*_pair_streams(spark, sf_dir)))
-    return _wide_columns(_appended(wide.drop("event_time"), "stream-hop-wide"))
+    return _wide_columns(_appended(wide.select(*schemas.ORDER_WIDE.names), "stream-hop-wide"))
 
 
 # Only pairs within ten minutes meet, so an order with a later detail is never completed and
@@ -91,6 +104,15 @@ STREAM_SHARES = """select order_id, order_detail_id, case when seen = original_c
 @query(STREAM_SHARES, "order_info", "order_detail")
 def stream_apportion(spark, sf_dir):
     wide = state.dedup_pairs_stream(state.interval_wide_stream(*_pair_streams(spark, sf_dir)))
-    shared = _appended(state.apportion_stream(wide), "stream-apportion")
+    folder = run_dir(spark, "stream-apportion")
+    sums, table = f"{folder}/sums", f"{folder}/table"
+
+    def write(batch: DataFrame, n: int) -> None:
+        rows, kept = state.split_batch(runtime.staged(batch, f"{folder}/staged", n), n, sums)
+        sink_tables.append_table(rows, table, n, None)
+        state.remember_sums(kept, n, sums)
+
+    _drain(wide, write, folder)
+    shared = sink_tables.read_appended(spark, table, schemas.ORDER_WIDE)
     return shared.select("order_id", "order_detail_id",
                          _cents("final_detail_amount").alias("cents"))

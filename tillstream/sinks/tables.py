@@ -67,13 +67,19 @@ def read_appended(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return _stored(spark, path, schema, 0).select(*schema.names)
 
 
-def read_keyed(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
-               before_batch: int | None = None) -> DataFrame:
-    """Current rows of a keyed table, or those of before a given batch: what a replay of that
-    batch has to see."""
+def read_batches(spark: SparkSession, path: str, schema: T.StructType, before_batch: int,
+                 with_batch: bool = False) -> DataFrame:
+    """Rows that batches before the given one wrote to a keyed table, earlier values of a key
+    included: what that batch, or a replay of it, has to see."""
+    stored = _stored(spark, path, schema, _generation(spark, path))
+    return stored.where(F.col("batch") < before_batch).select(
+        *schema.names, *(["batch"] if with_batch else []))
+
+
+def read_keyed(spark: SparkSession, path: str, schema: T.StructType,
+               keys: Sequence[str]) -> DataFrame:
+    """Current rows of a keyed table: per key those of the latest batch."""
     stored = _stored(spark, path, schema, _generation(spark, path))
-    if before_batch is not None:
-        stored = stored.where(F.col("batch") < before_batch)
     return latest_per_key(stored, keys, ["batch"]).select(*schema.names)
 
 

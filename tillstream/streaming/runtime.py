@@ -15,6 +15,29 @@ BATCH_INTERVAL = "5 seconds"
 BatchWriter = Callable[[DataFrame, int], None]
 
 
+def _adaptive(write: BatchWriter) -> BatchWriter:
+    """Stateful queries run without adaptive execution; give it back to the batch jobs of
+    their writer, which start after the micro-batch itself has been planned."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        conf, key = batch.sparkSession.conf, "spark.sql.adaptive.enabled"
+        usual = conf.get(key)
+        conf.set(key, "true")
+        try:
+            write(batch, batch_id)
+        finally:
+            conf.set(key, usual)
+    return run
+
+
+def staged(batch: DataFrame, folder: str, batch_id: int) -> DataFrame:
+    """The micro-batch as a written table, for writers that use it more than once. Unlike a
+    cache it survives the loss of an executor: the stateful operators run once per batch.
+    Two folders take turns."""
+    slot = f"{folder}/slot={batch_id % 2}"
+    batch.write.mode("overwrite").parquet(slot)
+    return batch.sparkSession.read.schema(batch.schema).parquet(slot)
+
+
 def start(stream: DataFrame, write: BatchWriter, checkpoint: str, mode: str = "append",
           drain: bool = False, name: str | None = None,
           state_partitions: int | None = None) -> StreamingQuery:
@@ -22,7 +45,7 @@ def start(stream: DataFrame, write: BatchWriter, checkpoint: str, mode: str = "a
     together. ``drain`` stops it once the input present has been read, else a batch runs every
     five seconds. ``state_partitions`` fixes the width of the state for the checkpoint's life."""
     spark = tune(stream.sparkSession)
-    writer = stream.writeStream.foreachBatch(write).outputMode(mode)
+    writer = stream.writeStream.foreachBatch(_adaptive(write)).outputMode(mode)
     writer = writer.option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
@@ -66,7 +89,3 @@ def observed(query: StreamingQuery) -> dict[str, dict[str, int]]:
                 kept[field] = kept.get(field, 0) + (value or 0)
     return totals
 
-
-def session_of(batch: DataFrame) -> SparkSession:
-    """The session of a micro-batch, which is a copy of the one that started the query."""
-    return batch.sparkSession

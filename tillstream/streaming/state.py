@@ -1,36 +1,27 @@
 """Stream operators that remember earlier rows.
 
-The two that need a decision per key (first order of a user, closing detail of an order) run
-in three steps, so that a key holding a third of a micro-batch does not load one task:
-
-1. a pandas UDF looks at one Arrow batch at a time, settles every row it can and leaves at
-   most one undecided row per key and Arrow batch (so its result depends on how rows are
-   batched, and it is declared nondeterministic; the final result does not);
-2. undecided rows are grouped by their key, settled ones by a lane number, i.e. evenly;
-3. ``applyInPandasWithState`` consults the state for the undecided ones.
-
-The record itself passes through as JSON text; pandas would turn its NULL-able integers
-into floats.
+Two kinds of memory are used, neither of which leaves the JVM:
+
+* what Structured Streaming keeps by itself in the checkpoint: running aggregates, the sides
+  of a stream-stream join, the keys already seen;
+* keyed tables, for decisions that need "what was known before this micro-batch": who has
+  ordered, and how much of an order has been split so far. Their rows carry the number of the
+  batch that wrote them and a batch reads only those of earlier ones, so a replayed batch
+  decides as it did the first time.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tillstream.functions import codec, money
-from tillstream.operators import dws
-from tillstream.operators.keyed import earliest_per_key
+from tillstream import schemas
+from tillstream.functions import codec
+from tillstream.operators import dims, dwd, dws
+from tillstream.operators.keyed import latest_per_key, only_keys
+from tillstream.sinks import tables as sink_tables
 
-# How long pairs are remembered, and an order's running sums (in seconds).
-PAIR_TTL, SHARE_TTL = "600 seconds", 1000
-LANES = 256
-UNDECIDED, SETTLED = 0, 1
+# Fixed value: how long a pair is remembered.
+PAIR_TTL = "600 seconds"
 
 
 # ---- first visit of a device -------------------------------------------------------------
@@ -58,57 +49,21 @@ def first_arrival_stream(starts: DataFrame, late: str = "1 day") -> DataFrame:
 
 # ---- first order of a user ---------------------------------------------------------------
 
-def _nominate(who: pd.Series, at: pd.Series, id_: pd.Series, known: pd.Series,
-              spread: pd.Series) -> pd.DataFrame:
-    """Per Arrow batch, the earliest order of each user stays undecided."""
-    rows = pd.DataFrame({"who": who, "at": at, "id": id_})[~known.astype(bool)]
-    earliest = rows.sort_values(["who", "at", "id"], kind="stable").drop_duplicates("who").index
-    open_ = pd.Series(who.index.isin(earliest), index=who.index)
-    return pd.DataFrame({"who": who.where(open_, spread.astype(str)),
-                         "lane": open_.map({True: UNDECIDED, False: SETTLED})})
-
-
-def _grant(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The first undecided order of a user without state is the user's first order."""
-    if key[1] == SETTLED:
-        for rows in batches:
-            yield pd.DataFrame({"flag": "0", "payload": rows["payload"]})
-        return
-    rows = pd.concat(list(batches)).sort_values(["at", "id"], kind="stable")
-    rows["flag"] = "0"
-    if not state.exists:
-        rows.iloc[0, rows.columns.get_loc("flag")] = "1"
-        state.update((True,))
-    yield rows[["flag", "payload"]]
-
-
-def first_order_stream(orders: DataFrame, known_users: DataFrame | None = None,
-                       lanes: int = LANES) -> DataFrame:
-    """Add ``if_first_order`` to a stream of orders; the memory of who has ordered never
-    expires. Between batches arrival decides, inside a batch ``create_time``, then ``id``.
-    ``known_users`` is the user-state table as it was before the stream first started."""
-    schema = orders.schema
-    payload = codec.encode(orders)
-    if known_users is None:
-        known: Column = F.lit(False)
-    else:
-        seen = (known_users.where(F.col("if_consumed") == "1")
-                .select(F.col("user_id").try_cast("bigint").alias("_known")))
-        orders = orders.join(seen, F.col("user_id") == F.col("_known"), "left")
-        known = F.col("_known").isNotNull()
-    slim = orders.select(
-        F.coalesce(F.col("user_id").cast("string"), F.lit("")).alias("who"),
-        F.col("create_time").cast("string").alias("at"),
-        F.coalesce("id", F.lit(0)).cast("bigint").alias("id"),
-        F.pmod(F.xxhash64("id"), F.lit(lanes)).cast("int").alias("spread"),
-        known.alias("known"), payload.alias("payload"))
-    nominate = F.pandas_udf(_nominate, "who string, lane int").asNondeterministic()
-    sent = slim.withColumn("to", nominate("who", "at", "id", "known", "spread"))
-    flagged = (sent.select("to.who", "to.lane", "at", "id", "payload").groupBy("who", "lane")
-               .applyInPandasWithState(_grant, "flag string, payload string", "seen boolean",
-                                       "append", GroupStateTimeout.NoTimeout))
-    return (flagged.select(F.from_json("payload", schema).alias("r"), "flag")
-            .select("r.*", F.col("flag").alias("if_first_order")))
+def first_orders(batch: DataFrame, batch_id: int, table: str) -> DataFrame:
+    """Flag a micro-batch of orders against the user-state table as of before the batch.
+    Between batches arrival decides who is first, inside a batch ``create_time``, then ``id``.
+
+    Of the table only the user ids are read, and only those in the batch leave the scan.
+    """
+    known = sink_tables.read_batches(batch.sparkSession, table, schemas.USER_STATE, batch_id)
+    users = batch.select(F.col("user_id").cast("string").alias("user_id")).distinct()
+    return dwd.first_order_flag(batch, only_keys(known, users, "user_id"))
+
+
+def remember_users(flagged: DataFrame, batch_id: int, table: str) -> None:
+    """Add the users whose first order the batch holds; all others are in the table already."""
+    fresh = dims.user_state_rows(flagged.where(F.col("if_first_order") == "1"))
+    sink_tables.upsert(fresh, table, ["user_id"], batch_id)
 
 
 # ---- pairs of orders and details ---------------------------------------------------------
@@ -127,25 +82,25 @@ def _spread(orders: DataFrame, details: DataFrame, splits: int) -> tuple[DataFra
 
 def _match(orders: DataFrame, details: DataFrame, seconds: int, splits: int, late: str,
            also: Column | None = None) -> DataFrame:
-    o, d = _timed(orders, late), _timed(details, late)
-    o, d = _spread(o, d, splits)
+    o, d = _spread(_timed(orders, late), _timed(details, late), splits)
     span = F.expr(f"interval {int(seconds)} seconds")
     order_at, detail_at = F.col("o.event_time"), F.col("d.event_time")
     on = ((F.col("o.id") == F.col("d.order_id")) & (F.col("o._split") == F.col("d._split"))
           & (detail_at >= order_at - span) & (detail_at <= order_at + span))
     pairs = o.alias("o").join(d.alias("d"), on if also is None else on & also)
-    # One event time may go on: the order's.
-    return dws.to_wide(pairs, orders, details, F.col("o.event_time").alias("event_time"))
+    # One event time may go on, the order's; the detail's becomes a number.
+    return dws.to_wide(pairs, orders, details, F.col("o.event_time").alias("event_time"),
+                       F.unix_seconds("d.event_time").alias(dws.DETAIL_AT))
 
 
 def interval_wide_stream(orders: DataFrame, details: DataFrame, wait: int = dws.CACHE_WAIT,
-                         splits: int = 4, late: str = PAIR_TTL) -> DataFrame:
+                         splits: int = 2, late: str = PAIR_TTL) -> DataFrame:
     """Wide rows of pairs at most ``wait`` seconds apart, whichever side came first."""
     return _match(orders, details, wait, splits, late)
 
 
 def hop_wide_stream(orders: DataFrame, details: DataFrame, window: int = dws.HOP_WINDOW,
-                    slide: int = dws.HOP_SLIDE, splits: int = 4,
+                    slide: int = dws.HOP_SLIDE, splits: int = 2,
                     late: str = PAIR_TTL) -> DataFrame:
     """Wide rows of pairs that share a hopping window, each pair once."""
     together = dws.same_hop_window(F.unix_seconds("o.event_time"), F.unix_seconds("d.event_time"),
@@ -175,77 +130,15 @@ def dedup_pairs_stream(wide: DataFrame) -> DataFrame:
 
 # ---- splitting the paid amount -----------------------------------------------------------
 
-def _settle(grp: pd.Series, detail: pd.Series, part: pd.Series, share: pd.Series,
-            paid: pd.Series, total: pd.Series, spread: pd.Series) -> pd.DataFrame:
-    """Per Arrow batch, one row of each incomplete order carries the order's sums."""
-    rows = pd.DataFrame({"grp": grp, "detail": detail, "part": part, "share": share})
-    by_order = rows.groupby("grp", sort=False)
-    sums = by_order[["part", "share"]].transform("sum")
-    last = pd.Series(rows.index.isin(by_order["detail"].idxmax()), index=rows.index)
-    whole = sums["part"] == total
-    open_ = last & ~whole & (total >= 0)
-    rest = (paid - sums["share"]).where(last & whole, 0)
-    return pd.DataFrame({"grp": grp.where(open_, spread),
-                         "lane": open_.map({True: UNDECIDED, False: SETTLED}),
-                         "part": sums["part"], "share": sums["share"], "cents": share + rest})
-
-
-def _close(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Add the sums to the order's state; the row that completes the order gets the rest."""
-    if key[1] == SETTLED:
-        for rows in batches:
-            yield rows[["cents", "payload"]]
-        return
-    if state.hasTimedOut:
-        state.remove()
-        return
-    rows = pd.concat(list(batches)).sort_values("detail", kind="stable")
-    part, share = state.get if state.exists else (0, 0)
-    part, share = part + int(rows["part"].sum()), share + int(rows["share"].sum())
-    if part == int(rows["total"].iloc[-1]):
-        column = rows.columns.get_loc("cents")
-        rows.iloc[-1, column] += int(rows["paid"].iloc[-1]) - share
-        if state.exists:
-            state.remove()
-    else:
-        state.update((part, share))
-        last_at = rows["at"].max().value // 1_000_000
-        state.setTimeoutTimestamp(max(last_at + SHARE_TTL * 1000,
-                                      state.getCurrentWatermarkMs() + 1))
-    yield rows[["cents", "payload"]]
-
-
-def apportion_stream(wide: DataFrame, lanes: int = LANES) -> DataFrame:
-    """Fill ``final_detail_amount`` of a stream of wide rows (with ``event_time``, under a
-    watermark): proportional shares, the remainder to the detail that completes its order's
-    original total. An order's running sums are kept for 1000 s of event time after its last
-    detail; details that come later start new sums. The sums are kept between batches only
-    for orders that a batch leaves incomplete."""
-    schema = wide.drop("event_time").schema
-    shares = dws.with_shares(wide)
-    slim = shares.select(
-        F.coalesce("order_id", F.lit(0)).alias("grp"),
-        F.coalesce("order_detail_id", F.lit(0)).alias("detail"),
-        F.pmod(F.xxhash64("order_detail_id"), F.lit(lanes)).alias("spread"),
-        F.col("event_time").alias("at"),
-        F.coalesce("_part", F.lit(0)).alias("part"),
-        F.coalesce("_share", F.lit(0)).alias("share"),
-        F.coalesce("_paid", F.lit(0)).alias("paid"),
-        F.coalesce("_total", F.lit(-1)).alias("total"),
-        F.to_json(F.struct(*schema.names)).alias("payload"))
-    settle = F.pandas_udf(_settle, "grp long, lane int, part long, share long, cents long")
-    sent = slim.withColumn("to", settle.asNondeterministic()(
-        "grp", "detail", "part", "share", "paid", "total", "spread"))
-    settled = (sent.select("to.*", "detail", "at", "paid", "total", "payload")
-               .groupBy("grp", "lane")
-               .applyInPandasWithState(_close, "cents long, payload string",
-                                       "part long, share long", "append",
-                                       GroupStateTimeout.EventTimeTimeout))
-    rows = settled.select(F.from_json("payload", schema).alias("r"), "cents").select("r.*", "cents")
-    known = F.col("original_total_amount").isNotNull() & F.col("final_total_amount").isNotNull()
-    return (rows.withColumn("final_detail_amount", F.when(known, money.amount(F.col("cents"))))
-            .select(*schema.names))
-
-
-# The functions above travel with the job: executors need no installed copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+def split_batch(wide: DataFrame, batch_id: int, table: str) -> tuple[DataFrame, DataFrame]:
+    """Apportion a micro-batch of wide rows, going on from the running sums in ``table``.
+    Returns the finished rows and the sums to remember (see ``dws.apportion_onto``)."""
+    stored = sink_tables.read_batches(wide.sparkSession, table, dws.RUNNING_SUMS, batch_id,
+                                      with_batch=True)
+    orders = wide.select("order_id").distinct()
+    recent = latest_per_key(only_keys(stored, orders, "order_id"), ["order_id"], ["batch"])
+    return dws.apportion_onto(wide, recent.drop("batch"))
+
+
+def remember_sums(sums: DataFrame, batch_id: int, table: str) -> None:
+    sink_tables.upsert(sums, table, ["order_id"], batch_id)
