@@ -20,10 +20,14 @@ def parse_text(value: Column, shape: str) -> Column:
 
 
 def parse_envelope(messages: DataFrame, shape: str, value: str = "value") -> DataFrame:
-    """Add ``env``, the parsed message, and ``malformed``, true for text that is no object."""
-    parsed = messages.withColumn("env", parse_text(F.col(value), shape))
-    bad = F.col("env").isNull() | F.col(f"env.{CORRUPT}").isNotNull()
-    return parsed.withColumn("malformed", bad)
+    """Add the members named in ``shape``, and ``malformed``, true for text that is no object.
+
+    The members come out of a generator, so the text is parsed once however often later
+    filters and projections use them; as a plain expression it would be repeated in each.
+    """
+    parsed = messages.select("*", F.inline(F.array(parse_text(F.col(value), shape))))
+    malformed = F.col(value).isNull() | F.col(CORRUPT).isNotNull()
+    return parsed.withColumn("malformed", malformed).drop(CORRUPT)
 
 
 def as_type(text: Column, kind: T.DataType) -> Column:
@@ -38,8 +42,8 @@ def parse_typed(messages: DataFrame, schema: T.StructType, value: str = "value",
                 keep: tuple[str, ...] = ()) -> DataFrame:
     """One typed row per message; ``keep`` names message columns to carry along."""
     shape = ", ".join(f"`{f.name}` string" for f in schema.fields)
-    rows = messages.select(*keep, F.from_json(F.col(value), shape).alias("_rec"))
-    return rows.select(*keep, *[as_type(F.col("_rec")[f.name], f.dataType).alias(f.name)
+    rows = messages.select(*keep, F.inline(F.array(F.from_json(F.col(value), shape))))
+    return rows.select(*keep, *[as_type(F.col(f.name), f.dataType).alias(f.name)
                                 for f in schema.fields])
 
 

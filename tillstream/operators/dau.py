@@ -14,10 +14,10 @@ _SHAPE = ("common struct<mid: string, uid: string, ar: string, ch: string, vc: s
 
 def parse_start_log(messages: DataFrame) -> DataFrame:
     """Flatten start-log messages; ``malformed`` marks text without a device or a time."""
-    parsed = codec.parse_envelope(messages, _SHAPE)
-    ts = F.col("env.ts").try_cast("bigint")
-    lost = F.col("malformed") | F.col("env.common.mid").isNull() | ts.isNull()
-    flat = parsed.select("value", "env.common.*", ts.alias("ts"), lost.alias("malformed"))
+    parsed = codec.parse_envelope(messages.select("value"), _SHAPE)
+    ts = F.col("ts").try_cast("bigint")
+    lost = F.col("malformed") | F.col("common.mid").isNull() | ts.isNull()
+    flat = parsed.select("value", "common.*", ts.alias("ts"), lost.alias("malformed"))
     return flat.select("value", "malformed", "mid", "uid", "ar", "ch", "vc",
                        *clock.day_hour_minute(F.col("ts")), "ts")
 

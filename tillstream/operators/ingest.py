@@ -15,6 +15,6 @@ def route_app_log(lines: DataFrame, start: str = START, event: str = EVENT,
     event log; malformed text is set aside instead of failing the job."""
     parsed = codec.parse_envelope(lines, "start string")
     topic = (F.when(F.col("malformed"), quarantine)
-              .when(F.length("env.start") > 0, start)
+              .when(F.length("start") > 0, start)
               .otherwise(event))
     return parsed.select(topic.alias("topic"), F.lit(None).cast("string").alias("key"), "value")

@@ -19,12 +19,12 @@ _NOTHING = "array<struct<topic:string,value:string>>"
 
 
 def _topic() -> Column:
-    return F.concat(F.lit("ODS_"), F.upper("env.table"))
+    return F.concat(F.lit("ODS_"), F.upper("table"))
 
 
 def _fan(parsed: DataFrame, accepted: Column, messages: Column) -> DataFrame:
     """Explode accepted envelopes; malformed ones become a quarantine message, in one pass."""
-    bad = F.col("malformed") | F.col("env.table").isNull()
+    bad = F.col("malformed") | F.col("table").isNull()
     out = (F.when(bad, F.array(F.struct(F.lit(QUARANTINE).alias("topic"), F.col("value"))))
             .when(accepted, messages)
             .otherwise(F.array().cast(_NOTHING)))
@@ -35,10 +35,10 @@ def _fan(parsed: DataFrame, accepted: Column, messages: Column) -> DataFrame:
 def fanout_array(messages: DataFrame) -> DataFrame:
     """Envelopes ``{table, type, data:[row, ...]}``: inserted order rows, one message each."""
     parsed = codec.parse_envelope(messages, "table string, type string, data array<string>")
-    accepted = (F.col("env.table").isin(*FACT_TABLES) & (F.col("env.type") == ARRAY_INSERT)
-                & F.col("env.data").isNotNull())
+    accepted = (F.col("table").isin(*FACT_TABLES) & (F.col("type") == ARRAY_INSERT)
+                & F.col("data").isNotNull())
     topic = _topic()
-    rows = F.transform("env.data", lambda row: F.struct(topic.alias("topic"), row.alias("value")))
+    rows = F.transform("data", lambda row: F.struct(topic.alias("topic"), row.alias("value")))
     return _fan(parsed, accepted, rows)
 
 
@@ -46,9 +46,9 @@ def fanout_object(messages: DataFrame) -> DataFrame:
     """Envelopes ``{table, type, data:{row}}``: inserted order rows, and dimension rows of any
     change type. Bootstrap markers carry an empty object and are dropped by its length."""
     parsed = codec.parse_envelope(messages, "table string, type string, data string")
-    table = F.col("env.table")
-    accepted = (F.length("env.data") > EMPTY_DATA_LENGTH) & (
-        (table.isin(*FACT_TABLES) & (F.col("env.type") == OBJECT_INSERT))
+    table = F.col("table")
+    accepted = (F.length("data") > EMPTY_DATA_LENGTH) & (
+        (table.isin(*FACT_TABLES) & (F.col("type") == OBJECT_INSERT))
         | table.isin(*DIM_TABLES))
-    row = F.array(F.struct(_topic().alias("topic"), F.col("env.data").alias("value")))
+    row = F.array(F.struct(_topic().alias("topic"), F.col("data").alias("value")))
     return _fan(parsed, accepted, row)

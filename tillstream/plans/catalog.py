@@ -60,9 +60,9 @@ def _visits(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("select topic, mid, uid, ch, ts from app_log", "app_log")
 def route_app_log(spark, sf_dir):
     routed = ingest.route_app_log(views.app_log(spark, sf_dir))
-    row = codec.parse_text(F.col("value"),
-                           "common struct<mid: string, uid: string, ch: string>, ts bigint")
-    return routed.select("topic", row.alias("r")).select("topic", "r.common.*", "r.ts")
+    parsed = codec.parse_envelope(
+        routed, "common struct<mid: string, uid: string, ch: string>, ts bigint")
+    return parsed.select("topic", "common.*", "ts")
 
 
 @query("select dt, count(*) as lines from app_log group by dt", "app_log")

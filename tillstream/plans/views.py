@@ -1,14 +1,15 @@
 """Logical warehouse tables over the test parquet, each in Spark and, for the check, in SQL.
 
 The SQL twins are plain text for DuckDB; ``sql_with`` puts those a query needs in front of it.
-Ids that the parquet lacks are 60 bits of an MD5 over the row's content or the name, so that
-no table has to be numbered in one sorted pass.
+Ids that the parquet lacks are hashes over the row's content or the name, so that no table
+and no order has to be numbered in one sorted pass.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tillstream import schemas
 from tillstream.functions import codec, money
 
 START_EVENTS = ("view", "signup")
@@ -23,7 +24,25 @@ def name_id(text: Column) -> Column:
 
 
 def _cents(column: str) -> Column:
-    return F.round(F.col(column) * 100).cast("bigint")
+    """Cents of a non-negative DOUBLE; ``round`` would go through BigDecimal for every row."""
+    return F.floor(F.col(column) * 100 + 0.5)
+
+
+# A line has no unique key: two polynomial hashes of 31 bits over all that tells lines apart
+# make its id. Values fixed for Spark and the SQL twin alike.
+_MODULUS, _FACTORS = 2147483647, (1000003, 998244353)
+
+
+def _line_hash(parts: list[str], factor: int) -> str:
+    text = "0"
+    for part in parts:
+        text = f"(({text} * {factor} + {part}) % {_MODULUS})"
+    return text
+
+
+def _line_id(parts: list[str]) -> str:
+    high, low = (_line_hash(parts, factor) for factor in _FACTORS)
+    return f"({high} * 2147483648 + {low})"
 
 
 # ---- app log -----------------------------------------------------------------------------
@@ -69,15 +88,16 @@ def _order_second(orders_key: Column) -> Column:
 
 def detail_from(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
     """Details come some seconds after (at times just before) their order, by line number."""
-    text = F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                       F.col("l_quantity").cast("bigint"), _cents("l_extendedprice"),
-                       _cents("l_discount"), _cents("l_tax"),
-                       F.date_format("l_shipdate", "yyyy-MM-dd"))
+    line_id = F.expr(_line_id([
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "cast(l_quantity as bigint)",
+        *[f"cast(floor({c} * 100 + 0.5) as bigint)"
+          for c in ("l_extendedprice", "l_discount", "l_tax")],
+        "unix_seconds(cast(l_shipdate as timestamp))"]))
     line = F.col("l_linenumber") - 1
     second = _order_second(F.col("l_orderkey")) + line * line * 19 - (F.col("l_orderkey") % 3) * 4
     price = F.call_function("div", _cents("l_extendedprice"), F.col("l_quantity").cast("bigint"))
     rows = lineitem.select(
-        name_id(text).alias("id"), F.col("l_orderkey").alias("order_id"),
+        line_id.alias("id"), F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("sku_id"), money.amount(price).alias("order_price"),
         F.col("l_quantity").cast("bigint").alias("sku_num"), second.alias("_second"))
     ordered = orders.select(F.col("o_orderkey").alias("order_id"), "o_orderdate")
@@ -95,11 +115,14 @@ def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detail_from(*[load(spark, sf_dir, t) for t in ("lineitem", "orders", "part")])
 
 
-ORDER_DETAIL = """
-select cast('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey,
-    cast(l_quantity as bigint), cast(round(l_extendedprice * 100) as bigint),
-    cast(round(l_discount * 100) as bigint), cast(round(l_tax * 100) as bigint),
-    strftime(l_shipdate, '%Y-%m-%d'))), 1, 15) as bigint) id,
+_LINE_ID_SQL = _line_id([
+    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "cast(l_quantity as bigint)",
+    *[f"cast(floor({c} * 100 + 0.5) as bigint)"
+      for c in ("l_extendedprice", "l_discount", "l_tax")],
+    "(epoch_us(l_shipdate) // 1000000)"])
+
+ORDER_DETAIL = f"""
+select cast({_LINE_ID_SQL} as bigint) id,
   l_orderkey order_id, l_partkey sku_id,
   cast(round(l_extendedprice * 100) as bigint) // cast(l_quantity as bigint) price_cents,
   cast(l_quantity as bigint) sku_num, p_name sku_name,
@@ -115,7 +138,7 @@ def order_head_from(orders: DataFrame, customer: DataFrame) -> DataFrame:
     rows = orders.select(
         F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("order_status"),
         F.col("o_custkey").alias("user_id"),
-        money.amount(_cents("o_totalprice")).alias("final_total_amount"), at.alias("event_time"))
+        F.col("o_totalprice").cast(schemas.MONEY).alias("final_total_amount"), at.alias("event_time"))
     home = customer.select(F.col("c_custkey").alias("user_id"),
                            F.col("c_nationkey").cast("bigint").alias("province_id"))
     return (rows.join(home, "user_id")
@@ -257,7 +280,7 @@ def object_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     logs = [
         _object_envelope(orders, "order_info", order_kind, id=F.col("o_orderkey"),
                          user_id=F.col("o_custkey"),
-                         final_total_amount=money.amount(_cents("o_totalprice"))),
+                         final_total_amount=F.col("o_totalprice").cast(schemas.MONEY)),
         _object_envelope(nation, "base_province", nation_kind, id=F.col("n_nationkey"),
                          name=F.col("n_name")),
         nation.select(F.lit(marker).alias("value")),
