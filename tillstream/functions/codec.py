@@ -26,8 +26,9 @@ def parse_envelope(messages: DataFrame, shape: str, value: str = "value") -> Dat
     filters and projections use them; as a plain expression it would be repeated in each.
     """
     parsed = messages.select("*", F.inline(F.array(parse_text(F.col(value), shape))))
-    malformed = F.col(value).isNull() | F.col(CORRUPT).isNotNull()
-    return parsed.withColumn("malformed", malformed).drop(CORRUPT)
+    # Blank text yields no corrupt record, as there is nothing in it to keep.
+    blank = F.coalesce(F.trim(value) == "", F.lit(True))
+    return parsed.withColumn("malformed", blank | F.col(CORRUPT).isNotNull()).drop(CORRUPT)
 
 
 def as_type(text: Column, kind: T.DataType) -> Column:

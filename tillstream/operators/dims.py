@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from tillstream import schemas
 from tillstream.functions import codec
 
+ARRIVAL = "_offset"
 
-def province_rows(messages: DataFrame) -> DataFrame:
-    """Typed province rows of an ODS topic; a row without id has no key to be stored under."""
-    rows = codec.parse_typed(messages, schemas.PROVINCE, keep=("offset",))
-    return rows.where(F.col("id").isNotNull())
+
+def dim_rows(messages: DataFrame, schema: T.StructType, key: str = "id") -> DataFrame:
+    """Typed rows of a dimension topic with their arrival position; a row without its key
+    cannot be stored. Rows of any change type arrive here, deletes among them, and all are
+    stored as the latest known value."""
+    rows = codec.parse_typed(messages, schema, keep=("offset",))
+    return rows.withColumnRenamed("offset", ARRIVAL).where(F.col(key).isNotNull())
 
 
 def user_state_rows(orders: DataFrame) -> DataFrame:

@@ -181,3 +181,9 @@ def apportion_onto(wide: DataFrame, before: DataFrame) -> tuple[DataFrame, DataF
                     F.col("given").alias("share"),
                     F.greatest("_to", "_old_at").alias("last_at")))
     return rows, kept
+
+
+def sums_alive(sums: DataFrame) -> Column:
+    """Which running sums can still count, going by the newest of them."""
+    newest = sums.agg(F.max("last_at")).first()[0]
+    return F.col("last_at") >= F.lit(newest) - SUMS_TTL

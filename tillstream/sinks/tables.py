@@ -8,9 +8,9 @@ nothing already stored is rewritten. A keyed table is read through "latest batch
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tillstream.operators.keyed import latest_per_key
 
@@ -84,13 +84,25 @@ def read_keyed(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def compact(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
-            partition: str | None = None) -> int:
-    """Write the current rows as the base of the next generation. Run it between batches; a
-    crash on the way leaves the old generation in force. Returns the new generation."""
-    following = _generation(spark, path) + 1
-    _write(read_keyed(spark, path, schema, keys),
-           _batch_folder(spark, path, BASE_BATCH, following), partition)
-    return following
+            before_batch: int, partition: str | None = None,
+            keep: Callable[[DataFrame], Column] | None = None) -> int:
+    """Fold the batches before the given one into the base of the next generation.
+
+    Run it at the beginning of that batch: a replay of the batch folds again and still sees
+    nothing of its own. A crash on the way leaves the old generation in force. ``keep`` gives
+    the condition for rows worth keeping. Generations older than the one replaced, which no
+    reader can have open any more, are removed. Returns the new generation.
+    """
+    current = _generation(spark, path)
+    stored = _stored(spark, path, schema, current).where(F.col("batch") < before_batch)
+    rows = latest_per_key(stored, keys, ["batch"]).select(*schema.names)
+    if keep is not None:
+        rows = rows.where(keep(rows))
+    _write(rows, _batch_folder(spark, path, BASE_BATCH, current + 1), partition)
+    for old in range(current):
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/gen={old}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return current + 1
 
 
 def jdbc_options(url: str, table: str, batch_size: int = 100, writers: int = 4,
