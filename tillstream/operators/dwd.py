@@ -37,7 +37,7 @@ def with_province(orders: DataFrame, provinces: DataFrame) -> DataFrame:
         F.col("name").alias("province_name"),
         F.col("area_code").alias("province_area_code"),
         F.col("iso_3166_2").alias("province_3166_2_code"))
-    return look_up(orders, dim, orders["province_id"] == dim["_province"]).drop("_province")
+    return look_up(orders, dim, "province_id", "_province").drop("_province")
 
 
 def age_group(age: Column) -> Column:
@@ -52,7 +52,7 @@ def with_user(orders: DataFrame, users: DataFrame) -> DataFrame:
     dim = users.select(F.col("id").alias("_user"), F.col("gender").alias("user_gender"),
                        F.substring("birthday", 1, 4).try_cast("int").alias("_born"))
     year = F.substring("create_time", 1, 4).try_cast("int")
-    joined = look_up(orders, dim, orders["user_id"] == dim["_user"])
+    joined = look_up(orders, dim, "user_id", "_user")
     return (joined.withColumn("user_age_group", age_group(year - F.col("_born")))
                   .drop("_user", "_born"))
 
@@ -67,7 +67,7 @@ def with_sku_dims(details: DataFrame, skus: DataFrame, spus: DataFrame, trademar
     tm = trademarks.select(F.col("id").alias("_tm"), "tm_name")
     c3 = categories.select(F.col("id").alias("_c3"), F.col("name").alias("category3_name"))
     # The dimension tables are joined among themselves first: the details are joined once.
-    product = look_up(sku, spu, F.col("spu_id") == F.col("_spu"))
-    product = look_up(product, tm, F.col("tm_id") == F.col("_tm"))
-    product = look_up(product, c3, F.col("category3_id") == F.col("_c3"))
-    return look_up(bare, product, F.col("sku_id") == F.col("_sku")).drop("_sku", "_spu", "_tm", "_c3")
+    product = look_up(sku, spu, "spu_id", "_spu")
+    product = look_up(product, tm, "tm_id", "_tm")
+    product = look_up(product, c3, "category3_id", "_c3")
+    return look_up(bare, product, "sku_id", "_sku").drop("_sku", "_spu", "_tm", "_c3")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tillstream import schemas
 from tillstream.functions import money
+from tillstream.operators.keyed import same_key
 
 # Hopping window length and slide, wait of the cached join, in seconds.
 HOP_WINDOW, HOP_SLIDE, CACHE_WAIT = 15, 5, 600
@@ -39,7 +40,7 @@ _FROM_DETAIL = {
 
 def _pair(orders: DataFrame, details: DataFrame, how: str = "inner",
           also: Column | None = None) -> DataFrame:
-    on = F.col("o.id") == F.col("d.order_id")
+    on = same_key(F.col("o.id"), F.col("d.order_id"))
     return orders.alias("o").join(details.alias("d"), on if also is None else on & also, how)
 
 
@@ -83,7 +84,8 @@ def full_outer_pairs(orders: DataFrame, details: DataFrame) -> DataFrame:
     which can, and the orders missing from the details' distinct order ids.
     """
     matched = F.when(F.col("o.id").isNotNull(), "both").otherwise("detail")
-    left = details.alias("d").join(orders.alias("o"), F.col("o.id") == F.col("d.order_id"), "left")
+    left = details.alias("d").join(orders.alias("o"),
+                                   same_key(F.col("d.order_id"), F.col("o.id")), "left")
     known = details.select(F.col("order_id").alias("_known")).distinct()
     lonely = orders.join(known, orders["id"] == known["_known"], "left_anti").alias("o")
     return (left.select(matched.alias("side"), *_wide(orders, details))
@@ -130,8 +132,10 @@ def with_shares(wide: DataFrame) -> DataFrame:
 
 
 def order_sums(shares: DataFrame) -> DataFrame:
-    """Per order: amounts and shares so far, and the detail that would close it."""
-    return shares.groupBy(F.col("order_id").alias("_order")).agg(
+    """Per order: amounts and shares so far, and the detail that would close it. Grouped as
+    ``same_key`` partitions, so that after a join on the order nothing is shuffled again."""
+    return shares.groupBy(F.col("order_id").alias("_order"),
+                          F.xxhash64("order_id").alias("_hash")).agg(
         F.sum("_part").alias("seen"), F.sum("_share").alias("given"),
         F.max("order_detail_id").alias("_last"),
         F.max("_paid").alias("_paid"), F.max("_total").alias("_total"))
@@ -140,8 +144,9 @@ def order_sums(shares: DataFrame) -> DataFrame:
 def _settle(shares: DataFrame, sums: DataFrame) -> DataFrame:
     """Proportional shares; the closing detail of a completed order gets what is left."""
     closing = (sums.where(F.col("seen") == F.col("_total"))
-               .select("_order", "_last", (F.col("_paid") - F.col("given")).alias("_gap")))
-    joined = shares.join(closing, F.col("order_id") == F.col("_order"), "left")
+               .select("_order", "_hash", "_last", (F.col("_paid") - F.col("given")).alias("_gap")))
+    joined = shares.join(closing, (F.col("order_id") == F.col("_order"))
+                         & (F.xxhash64("order_id") == F.col("_hash")), "left")
     rest = F.when(F.col("order_detail_id") == F.col("_last"), F.col("_gap")).otherwise(F.lit(0))
     return joined.withColumn("final_detail_amount", money.amount(F.col("_share") + rest))
 

@@ -29,13 +29,23 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return best.select(*keys, *[F.col("_row")[c].alias(c) for c in ranked]).select(*df.columns)
 
 
-def look_up(facts: DataFrame, dim: DataFrame, on: Column) -> DataFrame:
+def same_key(left: Column, right: Column) -> Column:
+    """Equality for a join that may meet a hot key: on the key and, redundantly, its hash.
+
+    AQE splits a hot partition only where both sides of the join come straight from a shuffle.
+    A side that an earlier join or aggregate left partitioned by the key would not be shuffled
+    again and so stay whole; it is never partitioned by this pair, so it is.
+    """
+    return (left == right) & (F.xxhash64(left) == F.xxhash64(right))
+
+
+def look_up(facts: DataFrame, dim: DataFrame, key: str, dim_key: str) -> DataFrame:
     """Left join against a table with one row per key.
 
     Whether ``dim`` is broadcast is decided by its size (``session.SETTINGS``); otherwise the
     join shuffles and AQE splits the partition of a hot or NULL key on the facts' side.
     """
-    return facts.join(dim, on, "left")
+    return facts.join(dim, same_key(facts[key], dim[dim_key]), "left")
 
 
 # Keys that may be sent to every task: at 1 kB each at most a gigabyte, usually some 30 MB.
