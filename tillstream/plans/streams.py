@@ -23,7 +23,10 @@ def _stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def _drain(stream: DataFrame, write, folder: str, mode: str = "append") -> None:
-    runtime.finish(runtime.start(stream, write, f"{folder}/checkpoint", mode, drain=True))
+    # As many state partitions as there are cores: the state of a query cannot be re-cut later.
+    width = stream.sparkSession.sparkContext.defaultParallelism
+    runtime.finish(runtime.start(stream, write, f"{folder}/checkpoint", mode, drain=True,
+                                 state_partitions=width))
 
 
 def _appended(stream: DataFrame, name: str) -> DataFrame:

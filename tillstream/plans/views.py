@@ -7,7 +7,7 @@ and no order has to be numbered in one sorted pass.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tillstream import schemas
 from tillstream.functions import codec, money
@@ -15,8 +15,15 @@ from tillstream.functions import codec, money
 START_EVENTS = ("view", "signup")
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    """A test table; its footer is read for the schema once per process, not once per query."""
+    path = f"{sf_dir}/{table}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def name_id(text: Column) -> Column:
