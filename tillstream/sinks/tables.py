@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tillstream.operators.keyed import latest_per_key
+from tillstream.operators.keyed import latest_per_key, only_keys
 
 BASE_BATCH = -1
 
@@ -76,10 +76,13 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType, before_ba
         *schema.names, *(["batch"] if with_batch else []))
 
 
-def read_keyed(spark: SparkSession, path: str, schema: T.StructType,
-               keys: Sequence[str]) -> DataFrame:
-    """Current rows of a keyed table: per key those of the latest batch."""
+def read_keyed(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
+               only: DataFrame | None = None) -> DataFrame:
+    """Current rows of a keyed table: per key those of the latest batch. ``only``, the distinct
+    values of the first key that are asked for, filters the table where it is scanned."""
     stored = _stored(spark, path, schema, _generation(spark, path))
+    if only is not None:
+        stored = only_keys(stored, only, keys[0])
     return latest_per_key(stored, keys, ["batch"]).select(*schema.names)
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tillstream.sinks.tables import read_keyed
+
 
 def query_table(spark: SparkSession, sql: str, jdbc: dict[str, str] | None = None) -> DataFrame:
     """Rows of a SQL text, columns named and typed by its result: over registered tables, or
@@ -25,11 +27,10 @@ def rows_as_json(rows: DataFrame) -> DataFrame:
 
 
 def read_dim(spark: SparkSession, path: str, schema: T.StructType,
-             keys: tuple[str, ...] = ("id",)) -> DataFrame:
-    """Current rows of a keyed dimension table. Call it inside ``foreachBatch``: a DataFrame
-    made before the stream started would not see later rows."""
-    from tillstream.sinks.tables import read_keyed
-    return read_keyed(spark, path, schema, keys)
+             keys: tuple[str, ...] = ("id",), only: DataFrame | None = None) -> DataFrame:
+    """Current rows of a keyed dimension table, or of the keys in ``only``. Call it inside
+    ``foreachBatch``: a DataFrame made before the stream started would not see later rows."""
+    return read_keyed(spark, path, schema, keys, only)
 
 
 def read_day(table: DataFrame, date: str) -> DataFrame:

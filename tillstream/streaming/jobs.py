@@ -128,8 +128,10 @@ def dimension(site: Site, name: str) -> StreamingQuery:
     return site.run(f"dim_{name}", rows, write)
 
 
-def _dim(site: Site, name: str) -> DataFrame:
-    return read_dim(site.spark, site.table(name), DIMENSIONS[name])
+def _dim(site: Site, name: str, batch: DataFrame | None = None, key: str = "id") -> DataFrame:
+    """A dimension table; with a micro-batch, only the rows its ``key`` column refers to."""
+    only = None if batch is None else batch.select(F.col(key).alias("id")).distinct()
+    return read_dim(site.spark, site.table(name), DIMENSIONS[name], only=only)
 
 
 def order_info(site: Site) -> StreamingQuery:
@@ -142,7 +144,7 @@ def order_info(site: Site) -> StreamingQuery:
         arrived = site.staged("order_info_in", dwd.with_create_parts(batch), n)
         flagged = state.first_orders(arrived, n, site.table("user_state"))
         rich = dwd.with_user(dwd.with_province(flagged, _dim(site, "base_province")),
-                             _dim(site, "user_info"))
+                             _dim(site, "user_info", arrived, "user_id"))
         rich = site.staged("order_info_out", rich.select(*schemas.ORDER_INFO_DWD.names), n)
         site.publish("order_info", sink_topics.messages(rich, "DWD_ORDER_INFO", F.col("id")), n)
         state.remember_users(rich, n, site.table("user_state"))
@@ -156,8 +158,10 @@ def order_detail(site: Site) -> StreamingQuery:
                                 schemas.ORDER_DETAIL)
 
     def write(batch: DataFrame, n: int) -> None:
-        rich = dwd.with_sku_dims(batch, _dim(site, "sku_info"), _dim(site, "spu_info"),
-                                 _dim(site, "base_trademark"), _dim(site, "base_category3"))
+        arrived = site.staged("order_detail_in", batch, n)
+        rich = dwd.with_sku_dims(arrived, _dim(site, "sku_info", arrived, "sku_id"),
+                                 _dim(site, "spu_info"), _dim(site, "base_trademark"),
+                                 _dim(site, "base_category3"))
         site.publish("order_detail", sink_topics.messages(rich, "DWD_ORDER_DETAIL"), n)
 
     return site.run("order_detail", details, write)

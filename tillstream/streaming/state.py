@@ -110,7 +110,11 @@ def hop_wide_stream(orders: DataFrame, details: DataFrame, window: int = dws.HOP
 
 def full_outer_stream(orders: DataFrame, details: DataFrame, wait: int = dws.CACHE_WAIT,
                       late: str = PAIR_TTL) -> DataFrame:
-    """Pairs at once, lonely rows when the watermark says nothing can match them any more."""
+    """Pairs at once, lonely rows when the watermark says nothing can match them any more.
+
+    An order cannot be copied to several parts here, as each copy could turn out lonely; a hot
+    order's details of the last ``wait`` seconds therefore stay in one partition. The wide-row
+    jobs use the inner joins above."""
     o, d = _timed(orders, late), _timed(details, late)
     span = F.expr(f"interval {int(wait)} seconds")
     order_at, detail_at = F.col("o.event_time"), F.col("d.event_time")
