@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from tillstream import session
 from tillstream.operators import dwd, dws
 from tillstream.plans import catalog, views
 
@@ -18,7 +19,9 @@ def plan_of(df):
 
 @pytest.mark.parametrize("name", BATCH)
 def test_batch_plans_stay_in_the_jvm_and_gather_no_group(spark, sf_dir, name):
-    plan = plan_of(contract.queries()[name](spark, sf_dir))
+    df = contract.queries()[name](spark, sf_dir)
+    assert "ResolvedHint" not in df._jdf.queryExecution().analyzed().toString()
+    plan = plan_of(df)
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas",
                  "Window ", "RoundRobin"):
         assert node not in plan, f"{node} in the plan of {name}"
@@ -127,10 +130,13 @@ def test_busy_user_reaches_no_join_with_its_orders(spark, sf_dir):
     assert counts == {"1": users - 1, "0": 20_000 - users + 1}
 
 
-def test_no_broadcast_hints_in_the_catalogue(spark, sf_dir):
-    for name in BATCH:
-        df = contract.queries()[name](spark, sf_dir)
-        assert "ResolvedHint" not in df._jdf.queryExecution().analyzed().toString(), name
+def test_shuffle_width_grows_with_the_input(spark, sf_dir, monkeypatch):
+    assert session.size_shuffles(spark, sf_dir) == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(session, "BYTES_PER_PARTITION", 10_000)
+    wide = session.size_shuffles(spark, sf_dir)
+    assert wide > spark.sparkContext.defaultParallelism
+    monkeypatch.undo()
+    session.size_shuffles(spark, sf_dir)
 
 
 def test_details_are_unique(spark, sf_dir):

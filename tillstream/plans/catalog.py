@@ -12,7 +12,7 @@ from tillstream.functions import codec
 from tillstream.operators import dau, dims, dwd, dws, ingest, keyed, ods, search, serve
 from tillstream.plans import views
 from tillstream.plans.views import sql_with
-from tillstream.session import run_dir, tune
+from tillstream.session import run_dir, size_shuffles, tune
 from tillstream.sinks import tables as sink_tables
 from tillstream.sources.tables import query_table, rows_as_json
 
@@ -35,7 +35,8 @@ def query(sql: str | None = None, *with_views: str) -> Callable[[Query], Query]:
     """Register a query under its function's name, with the SQL that must give the same rows."""
     def register(run: Query) -> Query:
         def tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return run(tune(spark), sf_dir)
+            size_shuffles(tune(spark), sf_dir)
+            return run(spark, sf_dir)
         tuned.__name__, tuned.__doc__ = run.__name__, run.__doc__
         CATALOG[run.__name__] = Entry(tuned, None if sql is None else sql_with(sql, *with_views))
         return tuned

@@ -37,6 +37,23 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# A shuffle partition per so many bytes of input files: after decompression and with the
+# columns a query keeps, some hundred MB each. 100 TB make 50,000 partitions.
+BYTES_PER_PARTITION = 2 << 30
+
+
+def size_shuffles(spark: SparkSession, folder: str) -> int:
+    """Set how finely AQE cuts shuffles to begin with, by the input's size and the cluster's
+    cores; it merges what turns out small, but it cannot cut finer afterwards except for skew."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    total = fs.getContentSummary(path).getLength()
+    partitions = max(spark.sparkContext.defaultParallelism, -(-total // BYTES_PER_PARTITION))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
+    return partitions
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's, or a temporary one in local mode."""
     named = spark.conf.get("spark.checkpoint.dir", None)

@@ -61,9 +61,11 @@ def start(stream: DataFrame, write: BatchWriter, checkpoint: str, mode: str = "a
         spark.conf.set(width, usual)
 
 
-def finish(query: StreamingQuery, seconds: int = 600) -> StreamingQuery:
-    """Wait for a draining query; stop it and fail if it takes too long."""
-    if not query.awaitTermination(seconds):
+def finish(query: StreamingQuery, seconds: int | None = None) -> StreamingQuery:
+    """Wait for a draining query; with a limit, stop it and fail if it takes longer."""
+    if seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(seconds):
         query.stop()
         raise TimeoutError(f"stream {query.name or query.id} still running after {seconds} s")
     return query
