@@ -186,7 +186,7 @@ def first_order_flag(spark, sf_dir):
     from order_info i left join province p on cast(p.id as bigint) = province_id""",
        "order_info", "province")
 def order_with_province(spark, sf_dir):
-    joined = dwd.with_province(views.order_head(spark, sf_dir), views.province(spark, sf_dir))
+    joined = dwd.with_province(views.order_head(spark, sf_dir, provinces=True), views.province(spark, sf_dir))
     return joined.select("id", "province_id", "province_name", "province_area_code",
                          "province_3166_2_code")
 
@@ -204,7 +204,7 @@ def order_with_user(spark, sf_dir):
 @query("""select d.id, d.sku_id, spu_id, tm_id, category3_id, spu_name, tm_name, category3_name
     from order_detail d left join sku_info s on s.id = d.sku_id""", "order_detail", "sku_info")
 def detail_with_sku(spark, sf_dir):
-    joined = dwd.with_sku_dims(views.order_detail(spark, sf_dir),
+    joined = dwd.with_sku_dims(views.order_detail(spark, sf_dir, times=False, names=False),
                                **views.product_dims(spark, sf_dir))
     return joined.select("id", "sku_id", "spu_id", "tm_id", "category3_id", "spu_name",
                          "tm_name", "category3_name")
@@ -275,19 +275,20 @@ def _wide_columns(wide: DataFrame) -> DataFrame:
                        _cents("original_total_amount").alias("original_cents"))
 
 
-def _orders_details(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _orders_details(spark: SparkSession, sf_dir: str, times: bool = False,
+                    names: bool = False) -> tuple[DataFrame, DataFrame]:
     return (dwd.with_create_parts(views.order_info(spark, sf_dir)),
-            views.order_detail(spark, sf_dir))
+            views.order_detail(spark, sf_dir, times, names))
 
 
-def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, details = _orders_details(spark, sf_dir)
+def _wide(spark: SparkSession, sf_dir: str, names: bool = False) -> DataFrame:
+    orders, details = _orders_details(spark, sf_dir, names=names)
     return dws.to_wide(dws.batch_join(orders, details), orders, details)
 
 
 @query(WIDE, "order_info", "order_detail")
 def order_wide_join(spark, sf_dir):
-    return _wide_columns(_wide(spark, sf_dir))
+    return _wide_columns(_wide(spark, sf_dir, names=True))
 
 
 HOP = " where abs(epoch_us(i.made) // 5000000 - epoch_us(d.made) // 5000000) <= 2"
@@ -296,20 +297,20 @@ WITHIN = " where abs(epoch_us(i.made) - epoch_us(d.made)) <= 600000000"
 
 @query(WIDE + HOP, "order_info", "order_detail")
 def order_wide_hop_join(spark, sf_dir):
-    orders, details = _orders_details(spark, sf_dir)
+    orders, details = _orders_details(spark, sf_dir, times=True, names=True)
     return _wide_columns(dws.to_wide(dws.hop_join(orders, details), orders, details))
 
 
 @query(WIDE + WITHIN, "order_info", "order_detail")
 def order_wide_interval_join(spark, sf_dir):
-    orders, details = _orders_details(spark, sf_dir)
+    orders, details = _orders_details(spark, sf_dir, times=True, names=True)
     return _wide_columns(dws.to_wide(dws.interval_join(orders, details), orders, details))
 
 
 @query(WIDE, "order_info", "order_detail")
 def order_wide_dedup(spark, sf_dir):
     """Details sent twice: once collapsed before the join, and the pairs once more after it."""
-    orders, details = _orders_details(spark, sf_dir)
+    orders, details = _orders_details(spark, sf_dir, names=True)
     once = dws.dedup_details(details.unionByName(details))
     return _wide_columns(dws.dedup_pairs(
         dws.to_wide(dws.batch_join(orders, once), orders, once)))
@@ -342,7 +343,7 @@ def apportion(spark, sf_dir):
       || sku_num || ',"sku_name":"' || sku_name || '"}' as json
     from order_info i join order_detail d on i.id = d.order_id""", "order_info", "order_detail")
 def encode_wide_json(spark, sf_dir):
-    wide = _wide(spark, sf_dir)
+    wide = _wide(spark, sf_dir, names=True)
     return wide.select(codec.encode(wide, "order_id", "order_detail_id", "order_status",
                                     "user_id", "sku_id", "sku_num", "sku_name").alias("json"))
 

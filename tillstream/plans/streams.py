@@ -50,8 +50,7 @@ def stream_dau(spark, sf_dir):
 
 @query(FIRST_ORDER, "order_info", "user_state")
 def stream_first_order(spark, sf_dir):
-    orders = views.order_head_from(_stream(spark, sf_dir, "orders"),
-                                   views.load(spark, sf_dir, "customer")).drop("event_time")
+    orders = views.order_head_from(_stream(spark, sf_dir, "orders")).drop("event_time")
     folder = run_dir(spark, "stream-first-order")
     users, table = f"{folder}/user-state", f"{folder}/orders"
     # What is known before the stream starts is the state table's base.
@@ -70,8 +69,8 @@ def stream_first_order(spark, sf_dir):
 
 
 def _pair_streams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    static = {t: views.load(spark, sf_dir, t) for t in ("customer", "lineitem", "orders", "part")}
-    heads = views.order_head_from(_stream(spark, sf_dir, "orders"), static["customer"])
+    static = {t: views.load(spark, sf_dir, t) for t in ("lineitem", "orders", "part")}
+    heads = views.order_head_from(_stream(spark, sf_dir, "orders"))
     totals = views.order_totals(static["lineitem"])
     orders = (heads.join(totals, "id", "left")
               .withColumn("original_total_amount", views.money.amount(F.col("_cents")))

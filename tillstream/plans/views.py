@@ -93,8 +93,11 @@ def _order_second(orders_key: Column) -> Column:
     return (orders_key * 7919) % 86400
 
 
-def detail_from(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
-    """Details come some seconds after (at times just before) their order, by line number."""
+def detail_from(lineitem: DataFrame, orders: DataFrame | None = None,
+                part: DataFrame | None = None) -> DataFrame:
+    """Details. With ``orders`` they have their time, some seconds after (at times just before)
+    their order's by line number; with ``part`` the product's name. A query that needs neither
+    is spared the joins."""
     line_id = F.expr(_line_id([
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "cast(l_quantity as bigint)",
         *[f"cast(floor({c} * 100 + 0.5) as bigint)"
@@ -107,19 +110,25 @@ def detail_from(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> Data
         line_id.alias("id"), F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("sku_id"), money.amount(price).alias("order_price"),
         F.col("l_quantity").cast("bigint").alias("sku_num"), second.alias("_second"))
-    ordered = orders.select(F.col("o_orderkey").alias("order_id"), "o_orderdate")
-    names = part.select(F.col("p_partkey").alias("sku_id"), F.col("p_name").alias("sku_name"))
-    at = F.timestamp_seconds(F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
-                             + F.col("_second"))
-    return (rows.join(ordered, "order_id").join(names, "sku_id")
-            .withColumn("event_time", at)
-            .select("id", "order_id", "sku_id", "order_price", "sku_num", "sku_name",
-                    F.date_format("event_time", codec.TIME_FORMAT).alias("create_time"),
-                    "event_time"))
-
-
-def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return detail_from(*[load(spark, sf_dir, t) for t in ("lineitem", "orders", "part")])
+    columns = ["id", "order_id", "sku_id", "order_price", "sku_num"]
+    if part is not None:
+        names = part.select(F.col("p_partkey").alias("sku_id"), F.col("p_name").alias("sku_name"))
+        rows, columns = rows.join(names, "sku_id"), [*columns, "sku_name"]
+    if orders is not None:
+        days = orders.select(F.col("o_orderkey").alias("order_id"), "o_orderdate")
+        at = F.timestamp_seconds(F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
+                                 + F.col("_second"))
+        rows = rows.join(days, "order_id").withColumn("event_time", at)
+        columns += [F.date_format("event_time", codec.TIME_FORMAT).alias("create_time"),
+                    "event_time"]
+    return rows.select(*columns)
+
+
+def order_detail(spark: SparkSession, sf_dir: str, times: bool = True,
+                 names: bool = True) -> DataFrame:
+    return detail_from(load(spark, sf_dir, "lineitem"),
+                       load(spark, sf_dir, "orders") if times else None,
+                       load(spark, sf_dir, "part") if names else None)
 
 
 _LINE_ID_SQL = _line_id([
@@ -138,24 +147,26 @@ select cast({_LINE_ID_SQL} as bigint) id,
 from lineitem join orders on o_orderkey = l_orderkey join part on p_partkey = l_partkey"""
 
 
-def order_head_from(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    """Orders without their original total."""
+def order_head_from(orders: DataFrame, customer: DataFrame | None = None) -> DataFrame:
+    """Orders without their original total, and without their province unless the customers
+    are given."""
     at = F.timestamp_seconds(F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
                              + _order_second(F.col("o_orderkey")))
     rows = orders.select(
         F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("order_status"),
         F.col("o_custkey").alias("user_id"),
-        F.col("o_totalprice").cast(schemas.MONEY).alias("final_total_amount"), at.alias("event_time"))
+        F.col("o_totalprice").cast(schemas.MONEY).alias("final_total_amount"),
+        F.date_format(at, codec.TIME_FORMAT).alias("create_time"), at.alias("event_time"))
+    if customer is None:
+        return rows
     home = customer.select(F.col("c_custkey").alias("user_id"),
                            F.col("c_nationkey").cast("bigint").alias("province_id"))
-    return (rows.join(home, "user_id")
-            .select("id", "province_id", "order_status", "user_id", "final_total_amount",
-                    F.date_format("event_time", codec.TIME_FORMAT).alias("create_time"),
-                    "event_time"))
+    return rows.join(home, "user_id")
 
 
-def order_head(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_head_from(load(spark, sf_dir, "orders"), load(spark, sf_dir, "customer"))
+def order_head(spark: SparkSession, sf_dir: str, provinces: bool = False) -> DataFrame:
+    return order_head_from(load(spark, sf_dir, "orders"),
+                           load(spark, sf_dir, "customer") if provinces else None)
 
 
 def order_totals(lineitem: DataFrame) -> DataFrame:
