@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tillstream import schemas
 from tillstream.operators import dau, dwd, ingest
 from tillstream.plans import views
-from tillstream.plans.catalog import (FIRST_ORDER, HOP, SHARE_ROWS, WIDE, WITHIN, _cents,
-                                      _wide_columns, query)
+from tillstream.plans.catalog import (FIRST_ORDER, HOP, WIDE, WITHIN, _cents, _wide_columns,
+                                      query)
 from tillstream.session import run_dir
 from tillstream.sinks import tables as sink_tables
 from tillstream.streaming import runtime, state
