@@ -22,3 +22,10 @@ def test_query_equals_its_sql(spark, duck, sf_dir, name):
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns == ["dt", "hr", "visits"] and df.count() > 0
+
+
+def test_tables_may_be_folders_of_files(spark, duck, sf_dir, tmp_path):
+    table = spark.read.parquet(f"{sf_dir}/events.parquet")
+    table.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    for name in ("dau_by_hour", "stream_dau"):
+        assert compare(spark, duck, contract.queries()[name], SQL[name], str(tmp_path)) is None

@@ -17,9 +17,8 @@ from tillstream.streaming import runtime, state
 
 def _stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     schema = views.load(spark, sf_dir, table).schema
-    # The glob keeps the other tables of the folder out.
-    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
-            .parquet(sf_dir))
+    # A stream reads folders or patterns; as a pattern, the name also fits a table of one file.
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{table}.[p]arquet")
 
 
 def _drain(stream: DataFrame, write, folder: str, mode: str = "append") -> None:
