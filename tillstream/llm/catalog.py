@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstream.llm import bpe, decontaminate, secret_scan, token_counts
+from tillstream.llm import (bpe, decontaminate, language, secret_scan, sharding, simhash,
+                            token_counts, toxicity)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,11 +23,31 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(found)
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"),
                                      public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return language.predict(docs, *language.fit(docs))
+
+
+def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (sharding.assign(_table(spark, sf_dir, "documents"))
+            .selectExpr("doc_id", "size", "text_crc32", "'rows' AS law", "shard", "slot",
+                        "CAST(NULL AS INT) AS grown_shard", "curve"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(_table(spark, sf_dir, "documents")).drop("found")
 
@@ -39,7 +60,11 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
+    "op2_simhash": op2_simhash,
+    "op3_toxicity": op3_toxicity,
     "op5_token_counts": op5_token_counts,
+    "op7_language": op7_language,
+    "op8_hilbert_shards": op8_hilbert_shards,
     "op9_secret_scan": op9_secret_scan,
     "op10_byte_bpe": op10_byte_bpe,
 }
