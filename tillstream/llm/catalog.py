@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillstream.llm import (bpe, decontaminate, language, secret_scan, sharding, simhash,
-                            token_counts, toxicity)
+                            token_counts, toxicity, vectors)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return language.predict(docs, *language.fit(docs))
@@ -63,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
     "op3_toxicity": op3_toxicity,
     "op5_token_counts": op5_token_counts,
+    "op6_multi_index_hashing": op6_multi_index_hashing,
     "op7_language": op7_language,
     "op8_hilbert_shards": op8_hilbert_shards,
     "op9_secret_scan": op9_secret_scan,
