@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillstream.llm import (bpe, decontaminate, language, secret_scan, sharding, simhash,
-                            token_counts, toxicity, vectors)
+                            token_counts, toxicity, url_rules, vectors)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"),
                                      public_tokenizers.path("piece_bpe_32k.model"))
@@ -66,6 +70,7 @@ QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_simhash": op2_simhash,
     "op3_toxicity": op3_toxicity,
+    "op4_url_rules": op4_url_rules,
     "op5_token_counts": op5_token_counts,
     "op6_multi_index_hashing": op6_multi_index_hashing,
     "op7_language": op7_language,

@@ -300,3 +300,16 @@ def contamination(found: DataFrame, id_column: str = "doc_id") -> DataFrame:
                     F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                     ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
                     .alias("contaminated")))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
+                      text_column: str = "text", **options) -> DataFrame:
+    """The clean rows with all their columns. Rows are told apart by a hash of id and text."""
+    spark = docs.sparkSession
+    row = F.xxhash64(F.col(f"`{id_column}`"), F.col(f"`{text_column}`"))
+    found = contamination(matches(docs.select(row.alias("row"), F.col(text_column).alias("text")),
+                                  benchmark, "row", "text", **options), "row")
+    path = run_dir(spark, "contaminated")
+    found.where("contaminated").select(F.col("row").alias("dropped")).write.parquet(path)
+    # As a stored table its size is known, so a short list is broadcast and texts stay in place.
+    return docs.join(spark.read.parquet(path), row == F.col("dropped"), "left_anti")

@@ -157,7 +157,8 @@ def close_links(prints: DataFrame, distance: int = DISTANCE, blocks: int = BLOCK
 
 def groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
            distance: int = DISTANCE, blocks: int = BLOCKS, *more: str) -> DataFrame:
-    """``id``, ``print``, ``more`` columns and ``component`` (smallest id of the group) per row."""
+    """Per row ``id``, ``print``, ``more`` columns, ``root`` (smallest fingerprint of the group) and
+    ``component`` (smallest id of the group)."""
     spark = docs.sparkSession
     path = run_dir(spark, "fingerprints")
     fresh = fingerprints(docs, id_column, text_column, *more)
@@ -169,11 +170,31 @@ def groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
               .select("print", "id", F.coalesce("least", "print").alias("root")))
     least = rooted.groupBy("root").agg(F.min("id").alias("component"))
     named = (rooted.join(least.withColumnRenamed("root", "top"), same_key(F.col("root"), F.col("top")))
-             .select(F.col("print").alias("known"), "component"))
+             .select(F.col("print").alias("known"), "root", "component"))
     return (rows.join(named, same_key(F.col("print"), F.col("known")))
             .drop("known"))
 
 
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row of each group with all its columns: the one with the smallest id (null last), then
+    the smallest hash of the row; of rows alike in every column, one."""
+    spark = docs.sparkSession
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    mark = "_row" + "_" * max(map(len, docs.columns))  # longer than any name there is
+    rows = groups(docs.withColumn(mark, row_hash), id_column, text_column, DISTANCE, BLOCKS, mark)
+    order = F.struct(F.col("id").isNull().alias("unnamed"), F.col("id"), F.col(mark).alias("row"))
+    first = (rows.groupBy("root", order.alias("o")).agg(F.count(F.lit(1)).alias("n"))
+             .groupBy("root").agg(F.min(F.struct("o", "n")).alias("best")))
+    path = run_dir(spark, "kept")
+    (first.select(F.col("best.o.id").alias("kept_id"), F.col("best.o.row").alias("kept_row"),
+                  F.col("best.n").alias("copies")).write.parquet(path))
+    kept = spark.read.parquet(path)
+    chosen = docs.join(kept, F.col(f"`{id_column}`").eqNullSafe(F.col("kept_id"))
+                       & (row_hash == F.col("kept_row")), "left_semi")
+    repeated = kept.where("copies > 1").limit(1).count()
+    return chosen.dropDuplicates() if repeated else chosen
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id",
                     text_column: str = "text") -> DataFrame:
     """Id, ``fingerprint`` as 16 hex digits and ``component_id`` of every row."""
