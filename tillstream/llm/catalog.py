@@ -79,4 +79,29 @@ QUERIES: dict[str, Query] = {
     "op10_byte_bpe": op10_byte_bpe,
 }
 
-SQL: dict[str, str] = {}
+_WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+SQL: dict[str, str] = {
+    "op1_decontamination": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+        b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        win AS (SELECT DISTINCT item_id, list_slice(w, s + 1, s + 13) AS q
+                FROM (SELECT item_id, w, unnest(range(greatest(len(w) - 12, 1))) AS s
+                      FROM b WHERE len(w) > 0)),
+        size AS (SELECT DISTINCT len(q) AS n FROM win),
+        place AS (SELECT r, n, s, list_slice(w, s + 1, s + n) AS q
+                  FROM (SELECT r, w, n, unnest(range(len(w) - n + 1)) AS s
+                        FROM d JOIN size ON len(w) >= n)),
+        hit AS (SELECT r, n, s, item_id FROM place JOIN win USING (q)),
+        word AS (SELECT r, count(DISTINCT p) AS n_hit
+                 FROM (SELECT r, unnest(range(s, s + n)) AS p FROM hit) GROUP BY r),
+        item AS (SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items
+                 FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS i FROM hit) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+               CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+               CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN word USING (r) LEFT JOIN item USING (r)""",
+}

@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tillstream.llm.names import fresh
 from tillstream.llm.texts import ASCII_LOWER, steps, utf8, word_hashes, word_spans
 from tillstream.session import run_dir
 
@@ -310,6 +311,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "d
     found = contamination(matches(docs.select(row.alias("row"), F.col(text_column).alias("text")),
                                   benchmark, "row", "text", **options), "row")
     path = run_dir(spark, "contaminated")
-    found.where("contaminated").select(F.col("row").alias("dropped")).write.parquet(path)
+    dropped = fresh(docs, "dropped")
+    found.where("contaminated").select(F.col("row").alias(dropped)).write.parquet(path)
     # As a stored table its size is known, so a short list is broadcast and texts stay in place.
-    return docs.join(spark.read.parquet(path), row == F.col("dropped"), "left_anti")
+    return docs.join(spark.read.parquet(path), row == F.col(dropped), "left_anti")

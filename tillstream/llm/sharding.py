@@ -20,9 +20,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tillstream.llm.names import fresh
+
 SHARDS, BITS, SUBCELLS = 24, 5, 4096
 _DIMENSIONS = 3
 ROW_BYTES = 8
+ROWS_PER_FILE = 1_000_000
 
 
 def hashed_level(column: str, bits: int = BITS) -> Column:
@@ -133,13 +136,28 @@ def assign(docs: DataFrame, shards: int = SHARDS, id_column: str = "doc_id",
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, id_column: str = "doc_id",
                  text_column: str = "text",
-                 dimensions: tuple[str, str, str] = ("lang", "source", "n_chars")) -> None:
-    """Write all columns of the rows as Parquet, one folder per shard (``shard=N``), rows in slot
-    order, so that readers prune files by any dimension. Ids must be unique here, as they carry the
-    assignment to the rows; the text's CRC goes with them."""
-    slots = assign(docs, shards, id_column, text_column, dimensions)
-    crc = F.crc32(F.coalesce(docs[text_column], F.lit("")))
-    both = (docs[id_column].eqNullSafe(slots[id_column])) & (crc == slots["text_crc32"])
-    (docs.join(slots, both).select(docs["*"], slots["shard"], slots["slot"])
-     .repartition("shard", F.floor(F.col("slot") / 1_000_000)).sortWithinPartitions("shard", "slot")
-     .drop("slot").write.partitionBy("shard").parquet(path))
+                 dimensions: tuple[str, str, str] = ("lang", "source", "n_chars")) -> str:
+    """Write all columns of the rows as Parquet, one folder per shard, rows in slot order, so that
+    readers prune files by any dimension. Returns the folders' column: ``shard``, underscored if the
+    table has a column of that name. Rows alike in id and text share a shard's number only by
+    chance: each is written once, under one of the slots these rows were given."""
+    shard, slot, row = (fresh(docs, n) for n in ("shard", "slot", "row_number"))
+    text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
+    alike = Window.partitionBy(f"`{id_column}`", F.crc32(text))
+    slots = assign(docs, shards, id_column, text_column, dimensions).select(
+        F.col(id_column).alias("own_id"), F.col("text_crc32").alias("own_crc"), F.col("shard").alias(
+            "own_shard"), F.col("slot").alias("own_slot"))
+    slots = slots.withColumn("own_row", F.row_number().over(
+        Window.partitionBy("own_id", "own_crc").orderBy("own_shard", "own_slot")))
+    numbered = docs.withColumn(row, F.row_number().over(
+        alike.orderBy(*[F.col(f"`{d}`") for d in dimensions])))
+    one, two = numbered.alias("l"), slots.alias("r")
+    same = (F.col(f"l.`{id_column}`").eqNullSafe(F.col("r.own_id"))
+            & (F.crc32(F.coalesce(F.col(f"l.`{text_column}`"), F.lit(""))) == F.col("r.own_crc"))
+            & (F.col(f"l.`{row}`") == F.col("r.own_row")))
+    (one.join(two, same)
+     .select(*[F.col(f"l.`{c}`") for c in docs.columns], F.col("r.own_shard").alias(shard),
+             F.col("r.own_slot").alias(slot))
+     .repartition(F.col(shard), F.floor(F.col(slot) / ROWS_PER_FILE))
+     .sortWithinPartitions(shard, slot).drop(slot).write.partitionBy(shard).parquet(path))
+    return shard

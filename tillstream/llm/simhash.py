@@ -30,6 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from tillstream.llm.components import components, spanning_forest
+from tillstream.llm.names import fresh
 from tillstream.llm.texts import steps, strings
 from tillstream.operators.keyed import same_key
 from tillstream.session import run_dir
@@ -180,19 +181,19 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     the smallest hash of the row; of rows alike in every column, one."""
     spark = docs.sparkSession
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    mark = "_row" + "_" * max(map(len, docs.columns))  # longer than any name there is
+    mark, kept_id, kept_row = (fresh(docs, n) for n in ("row_hash", "kept_id", "kept_row"))
     rows = groups(docs.withColumn(mark, row_hash), id_column, text_column, DISTANCE, BLOCKS, mark)
     order = F.struct(F.col("id").isNull().alias("unnamed"), F.col("id"), F.col(mark).alias("row"))
     first = (rows.groupBy("root", order.alias("o")).agg(F.count(F.lit(1)).alias("n"))
              .groupBy("root").agg(F.min(F.struct("o", "n")).alias("best")))
     path = run_dir(spark, "kept")
-    (first.select(F.col("best.o.id").alias("kept_id"), F.col("best.o.row").alias("kept_row"),
+    (first.select(F.col("best.o.id").alias(kept_id), F.col("best.o.row").alias(kept_row),
                   F.col("best.n").alias("copies")).write.parquet(path))
     kept = spark.read.parquet(path)
-    chosen = docs.join(kept, F.col(f"`{id_column}`").eqNullSafe(F.col("kept_id"))
-                       & (row_hash == F.col("kept_row")), "left_semi")
-    repeated = kept.where("copies > 1").limit(1).count()
-    return chosen.dropDuplicates() if repeated else chosen
+    copies = kept.where("copies > 1").limit(1).count()
+    chosen = docs.join(kept.drop("copies"), F.col(f"`{id_column}`").eqNullSafe(F.col(kept_id))
+                       & (row_hash == F.col(kept_row)), "left_semi")
+    return chosen.dropDuplicates() if copies else chosen
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id",
