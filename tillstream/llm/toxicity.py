@@ -103,7 +103,8 @@ class Model:
     def scores(self, texts: pa.Array) -> np.ndarray:
         feature, text, rows = self.present(texts)
         z = self.intercept + np.bincount(text, self.weights[feature], rows)
-        return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+        with np.errstate(over="ignore"):
+            return 1 / (1 + np.exp(-z))
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -180,7 +181,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     sizes = {r["positive"]: r["count"] for r in sample.groupBy("positive").count().collect()}
     n_p, n_u = sizes.get(True, 0), sizes.get(False, 0)
     nothing = Model(np.empty(0, np.uint64), np.empty(0), np.log(prior / (1 - prior))
-                    if 0 < prior < 1 else (800.0 if prior else -800.0))
+                    if 0 < prior < 1 else (np.inf if prior else -np.inf))
     if not n_p or not n_u or not 0 < prior < 1:
         return nothing
     # How far the share of toxic texts with a feature lies above its share of all texts.

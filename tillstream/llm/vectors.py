@@ -10,7 +10,8 @@ the inner product of the original vectors in double precision.
 
 The radius is learnt as well: it is the distance within which ``target`` of the true neighbours of
 sampled vectors lie, measured inside the sample. A whole table is denser than its sample, so its
-neighbours lie closer and recall is higher than ``target``.
+neighbours lie closer and recall is higher than ``target``. A query that finds fewer than it asked
+for in a block probes again, ``WIDEN`` bits further, until it has enough or has seen the block.
 
 Queries and rows are dealt by hash into blocks of bounded size; every pair of a query block and an
 index block is a task of its own, which returns the best of its block, and these are merged. All
@@ -33,6 +34,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 BITS, PARTS = 64, (16, 16, 16, 16)
 SAMPLE, SAMPLE_QUERIES, TARGET = 8_192, 256, 0.97
 BLOCK_ROWS, QUERY_ROWS = 16_384, 2_048
+WIDEN = 4
 _NEARLY = 1e-9
 
 
@@ -183,8 +185,12 @@ def nearest(table: DataFrame, every: int = 20, neighbours: int = 20, id_column:
             vectors, ids = _matrix(block["vector"]), block["id"].to_numpy()
             index, wanted = Index(coder.codes(vectors)), _matrix(queries["vector"])
             for own, query, code in zip(queries["id"].to_numpy(), wanted, coder.codes(wanted, True)):
-                found.append((own, *_best(query, own, vectors, ids,
-                                          index.within(code, coder.radius), neighbours)))
+                radius = coder.radius
+                rows = index.within(code, radius)
+                while radius < BITS and (ids[rows] != own).sum() < neighbours:
+                    radius = min(BITS, radius + WIDEN)
+                    rows = index.within(code, radius)
+                found.append((own, *_best(query, own, vectors, ids, rows, neighbours)))
         lengths = [len(ids) for _, ids, _ in found]
         return pa.table({
             "query_id": np.repeat(np.array([own for own, _, _ in found], np.int64), lengths),
