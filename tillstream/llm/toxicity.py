@@ -10,8 +10,8 @@ negative the scorer has started to fit its sample, and the step goes back up on
 Confirmed labels of either kind serve only to estimate p, their share of toxic rows.
 
 Features are presences of words and of word beginnings (``PREFIXES`` bytes) after lower-casing A-Z.
-The fit runs on a bounded sample: ``MOST_POSITIVE`` toxic and ``MOST_UNLABELLED`` other texts, those
-whose ids have the smallest hashes. Spark counts in how many of them each feature occurs; the
+The fit runs on a bounded sample: some ``MOST_POSITIVE`` toxic and ``MOST_UNLABELLED`` other texts,
+drawn by a hash of the id against a share computed from the row counts. Spark counts in how many of them each feature occurs; the
 ``FEATURES`` that lean most to P go to numpy on the driver, a few tens of indices per text. Scoring
 covers every whole text, in tasks, with the fitted weights.
 
@@ -41,6 +41,7 @@ MOST_POSITIVE, MOST_UNLABELLED, FEATURES = 4_000, 16_000, 4_096
 LEAST_LEAN = 4
 _WHOLE = np.uint64(0x5851F42D4C957F2D)
 _SIEVE_BITS = 20
+_FACES = 1 << 40
 
 
 def held_out(doc_id: str | Column, folds: int = 5, fold: int = 0) -> Column:
@@ -147,15 +148,18 @@ def _sample(docs: DataFrame, labels: DataFrame, most_positive: int,
     counts = marks.agg(F.count(F.lit(1)), F.sum((F.col("toxic") == 1).cast("long"))).first()
     prior = (counts[1] or 0) / counts[0] if counts[0] else 0.0
 
-    def first(ids: DataFrame, most: int, positive: bool) -> DataFrame:
-        return (ids.orderBy(F.xxhash64("id", F.lit(positive)), "id").limit(most)
+    others = docs.where(F.col("id").isNotNull() & ~held_out("id"))
+
+    def drawn(ids: DataFrame, rows: int, most: int, positive: bool) -> DataFrame:
+        dice = F.pmod(F.xxhash64("id", F.lit(positive)), F.lit(_FACES)) / _FACES
+        return (ids.where(dice < most / max(rows, 1)).select("id").distinct()
                 .select(F.col("id").alias("chosen"), F.lit(positive).alias("positive")))
 
-    toxic = first(marks.where("toxic = 1").select("id"), most_positive, True)
-    other = first(docs.where(F.col("id").isNotNull() & ~held_out("id")).select("id"),
-                  most_unlabelled, False)
+    chosen = (drawn(marks.where("toxic = 1"), counts[1] or 0, most_positive, True)
+              .unionAll(drawn(others, others.count(), most_unlabelled, False)))
     path = run_dir(spark, "toxicity-sample")
-    (docs.join(toxic.unionAll(other), F.col("id") == F.col("chosen")).select("text", "positive")
+    # The ids are as many as the two bounds allow, whatever the input: safe to broadcast.
+    (docs.join(F.broadcast(chosen), F.col("id") == F.col("chosen")).select("text", "positive")
      .write.parquet(path))
     return spark.read.schema("text string, positive boolean").parquet(path), prior
 
