@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillstream.llm.texts import steps, strings
+from tillstream.session import run_dir
 
 GRAM, SIZE, SLOTS = 3, 1024, 1024
 MOST = 2_000
@@ -142,8 +143,11 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"),
                        F.col(lang_column).alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("id"))
-    shares = (rows.groupBy("lang").agg((F.lit(most) / F.count(F.lit(1))).alias("share"))
-              .withColumnRenamed("lang", "known"))
+    spark, path = docs.sparkSession, run_dir(docs.sparkSession, "language-shares")
+    (rows.groupBy(F.col("lang").alias("known")).agg((F.lit(most) / F.count(F.lit(1))).alias("share"))
+     .write.parquet(path))
+    # As a stored table its size is known: a few languages are broadcast, any number is joined.
+    shares = spark.read.parquet(path)
     dice = F.pmod(F.xxhash64("id", F.lit("language")), F.lit(1 << 30)) / (1 << 30)
     chosen = rows.join(shares, F.col("lang") == F.col("known")).where(dice < F.col("share"))
     sums = (chosen.select("lang", "text").mapInArrow(_sums, "lang string, total array<double>")
