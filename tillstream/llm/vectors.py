@@ -2,7 +2,7 @@
 
 Vectors get binary codes of ``BITS`` bits: they are extended by one component so that inner product
 becomes an angle, projected on principal components, and rotated so that signs lose least
-(iterative quantisation, learnt on a bounded sample). A block of the index files its codes under
+(iterative quantisation, learnt on a sample of some ``SAMPLE`` rows). A block of the index files its codes under
 each of ``len(PARTS)`` substrings. To find every code within radius r of a query's code, substring j
 is probed within radius r_j, where the r_j + 1 add up to r + 1: a code that is further in every
 substring is further than r in all. What the probes bring up is verified against r and reranked by
@@ -36,6 +36,7 @@ SAMPLE, SAMPLE_QUERIES, TARGET = 8_192, 256, 0.97
 BLOCK_ROWS, QUERY_ROWS = 16_384, 2_048
 WIDEN = 4
 _NEARLY = 1e-9
+_FACES = 1 << 40
 
 
 @dataclass
@@ -168,8 +169,10 @@ def nearest(table: DataFrame, every: int = 20, neighbours: int = 20, id_column:
     rows = rows.where(F.size("vector") == common["width"])
     norm = F.sqrt(F.aggregate(number, F.lit(0.0), lambda s, x: s + x * x))
     longest = rows.agg(F.max(norm)).first()[0]
-    sample = rows.orderBy(F.xxhash64("id", F.lit("sample")), "id").limit(SAMPLE).toPandas()
-    coder = fit(np.array(sample["vector"].tolist(), np.float64), float(longest), neighbours)
+    dice = F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(_FACES)) / _FACES
+    sample = rows.where(dice < SAMPLE / common["n"]).toPandas().sort_values("id")
+    coder = fit(np.array(sample["vector"].tolist(), np.float64).reshape(len(sample), -1),
+                float(longest), neighbours)
 
     blocks = -(-int(common["n"]) // block_rows)
     asked = (rows.where(F.col("id") % every == 0).groupBy("id").agg(F.min("vector").alias("vector")))
