@@ -18,9 +18,10 @@ BATCH = ["route_app_log", "ods_fanout_array", "ods_fanout_object", "dau_first_vi
          "dau_by_hour", "realtime_hour", "first_order_flag", "order_with_province",
          "order_with_user", "detail_with_sku", "latest_per_key", "latest_dim_upsert",
          "order_wide_join", "order_wide_hop_join", "order_wide_interval_join",
-         "order_full_outer", "apportion", "order_amount_by_day", "order_amount_by_day_hour",
+         "order_full_outer", "order_wide_dedup", "apportion", "order_amount_by_day", "order_amount_by_day_hour",
          "encode_wide_json", "search_match_top"]
-STREAMS = ["stream_dau", "stream_first_order", "stream_order_wide", "stream_apportion"]
+STREAMS = ["stream_dau", "stream_first_order", "stream_order_wide", "stream_hop_wide",
+           "stream_full_outer", "stream_apportion"]
 
 
 def session(cpus: int) -> SparkSession:

@@ -56,8 +56,14 @@ def test_day_before_and_compact_day(spark):
 
 def test_proportional_is_exact_beyond_bigint(spark):
     cases = [(100, 1, 3), (100, 0, 0), (9 * 10**14, 7 * 10**14, 8 * 10**14), (1, 1, 2),
-             (10**15, 10**15, 10**15)]
+             (10**15, 10**15, 10**15), (-100, 1, 3), (-200, 1, 3), (100, -1, 3), (-1, 1, 2),
+             (-9 * 10**14, 7 * 10**14, 8 * 10**14), (200, 1, 3)]
     df = spark.createDataFrame(cases, "paid long, part long, total long")
     got = df.select(money.proportional(*map(F.col, df.columns))).collect()
-    want = [0 if t == 0 else (2 * p * a + t) // (2 * t) for p, a, t in cases]
+
+    def rounded(p, a, t):
+        size = (2 * abs(p * a) + t) // (2 * t)
+        return size if p * a >= 0 else -size
+
+    want = [0 if t == 0 else rounded(p, a, t) for p, a, t in cases]
     assert [r[0] for r in got] == want

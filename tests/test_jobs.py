@@ -4,6 +4,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillstream import schemas
 from tillstream.operators import serve
@@ -144,6 +145,53 @@ def test_orders_from_change_log_to_amounts(site):
     assert hours == {10: "305.00", 11: "7.00"}
 
 
+def test_typed_text_that_is_no_record_is_quarantined(site):
+    good = {"id": "1", "user_id": "9", "create_time": "2024-01-01 10:00:00"}
+    bad = ["oops", '{"id":"2"', {"user_id": "5"}]
+    publish(site, "ODS_ORDER_INFO", [good, *bad], 0)
+    publish(site, "ODS_ORDER_DETAIL", [{"id": "7", "order_id": "1"}, {"id": "8"}, "[]x"], 0)
+    finish(jobs.order_info(site))
+    finish(jobs.order_detail(site))
+    read = lambda topic: site.spark.read.parquet(f"{site.topics.address}/topic={topic}")
+    assert [json.loads(r.value)["id"] for r in read("DWD_ORDER_INFO").collect()] == [1]
+    assert [json.loads(r.value)["id"] for r in read("DWD_ORDER_DETAIL").collect()] == [7]
+    lost = {r.value for r in read("QUARANTINE").collect()}
+    assert lost == {"oops", '{"id":"2"', json.dumps({"user_id": "5"}), json.dumps({"id": "8"}), "[]x"}
+
+
+def test_the_last_change_of_a_dimension_row_wins(site):
+    rows = [envelope("base_province", "update", id="1", name=n) for n in ("Zeta", "Alpha")]
+    publish(site, "CHANGES", rows, 0)
+    finish(jobs.fan_out(site, "CHANGES"))
+    finish(jobs.dimension(site, "base_province"))
+    stored = tables.read_keyed(site.spark, site.table("base_province"), schemas.PROVINCE, ["id"])
+    assert [r.name for r in stored.collect()] == ["Alpha"]
+    keys = site.spark.read.parquet(f"{site.topics.address}/topic=ODS_BASE_PROVINCE")
+    assert {r.key for r in keys.collect()} == {"1"}
+
+
+def test_changes_from_several_partitions_are_ordered_by_time(spark):
+    from tillstream.operators import dims
+    sent = [("1", '{"id":"1","name":"first"}', 0, 900, "2024-01-01 00:00:01"),
+            ("1", '{"id":"1","name":"last"}', 1, 5, "2024-01-01 00:00:02")]
+    messages = spark.createDataFrame(sent, "key string, value string, partition int, offset long, "
+                                           "at string").withColumn("timestamp", F.to_timestamp("at"))
+    from tillstream.operators.keyed import latest_per_key
+    rows = latest_per_key(dims.dim_rows(messages, schemas.PROVINCE), ["id"], dims.ARRIVAL)
+    assert [r.name for r in rows.collect()] == ["last"]
+
+
+def test_jobs_start_at_given_offsets(site, monkeypatch):
+    from dataclasses import replace
+    asked = {}
+    monkeypatch.setattr(jobs.streams, "topic_stream",
+                        lambda spark, spec, topic, group, start: asked.update({topic: start}))
+    at = replace(site, starting_offsets={"CHANGES": {0: 12, 1: 7}})
+    at.read("CHANGES")
+    at.read("OTHER")
+    assert asked == {"CHANGES": {0: 12, 1: 7}, "OTHER": "latest"}
+
+
 def test_first_order_decision_survives_a_replay(site, spark):
     """The batch is flagged, its users are stored, and then it runs again: same flags."""
     from tillstream.streaming import state
@@ -158,6 +206,7 @@ def test_first_order_decision_survives_a_replay(site, spark):
     later = state.first_orders(batch, 4, table)
     assert {r.if_first_order for r in later.collect()} == {"0"}
     for generation in (1, 2, 3):
-        assert tables.compact(spark, table, schemas.USER_STATE, ["user_id"], 4) == generation
+        assert tables.compact(spark, table, schemas.USER_STATE, ["user_id"], 4,
+                              slots=state.USER_SLOTS) == generation
         assert {r.if_first_order for r in state.first_orders(batch, 4, table).collect()} == {"0"}
     assert sorted(os.listdir(table)) == ["gen=2", "gen=3"]

@@ -22,7 +22,8 @@ def flags(spark, orders, known=()):
     ([(1, 5, "b"), (2, 5, "a"), (3, 5, "c")], [], {1: "0", 2: "1", 3: "0"}),
     ([(2, 5, "a"), (1, 5, "a")], [], {1: "1", 2: "0"}),
     ([(1, 5, "b"), (2, 6, "a")], [(5, "1"), (6, "0")], {1: "0", 2: "1"}),
-    ([(1, None, "b"), (2, None, "a")], [(5, "1")], {1: "0", 2: "1"})])
+    ([(1, None, "b"), (2, None, "a")], [(5, "1")], {1: "0", 2: "0"}),
+    ([(1, 5, "b"), (1, 5, "b"), (2, 5, "c")], [], {1: "1", 2: "0"})])
 def test_first_order_flag(spark, orders, known, want):
     assert flags(spark, orders, known) == want
 
@@ -46,14 +47,11 @@ def test_latest_per_key_lets_the_later_row_win(spark):
     assert got == {(1, "b"), (None, "d")}
 
 
-def test_only_keys_beyond_the_broadcast_limit(spark, monkeypatch):
+def test_only_keys_carries_no_hint(spark):
     table, keys = spark.range(100), spark.range(0, 100, 7)
-    small = keyed.only_keys(table, keys, "id")
-    monkeypatch.setattr(keyed, "BROADCAST_KEYS", 3)
-    large = keyed.only_keys(table, keys, "id")
-    assert sorted(small.collect()) == sorted(large.collect()) == sorted(keys.collect())
-    assert "ResolvedHint" in small._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()
+    some = keyed.only_keys(table, keys, "id")
+    assert sorted(some.collect()) == sorted(keys.collect())
+    assert "ResolvedHint" not in some._jdf.queryExecution().analyzed().toString()
 
 
 WIDE = ("order_id long, order_detail_id long, sku_price decimal(18,2), sku_num long, "

@@ -5,12 +5,11 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from tillstream import session
 from tillstream.operators import dwd, dws
 from tillstream.plans import catalog, views
 
-BATCH = sorted(n for n in contract.queries() if not n.startswith("stream_"))
+BATCH = sorted(n for n in catalog.queries() if not n.startswith("stream_"))
 
 
 def plan_of(df):
@@ -19,7 +18,7 @@ def plan_of(df):
 
 @pytest.mark.parametrize("name", BATCH)
 def test_batch_plans_stay_in_the_jvm_and_gather_no_group(spark, sf_dir, name):
-    df = contract.queries()[name](spark, sf_dir)
+    df = catalog.queries()[name](spark, sf_dir)
     assert "ResolvedHint" not in df._jdf.queryExecution().analyzed().toString()
     plan = plan_of(df)
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas",
@@ -28,9 +27,9 @@ def test_batch_plans_stay_in_the_jvm_and_gather_no_group(spark, sf_dir, name):
 
 
 def test_scans_read_what_is_asked_for(spark, sf_dir):
-    plan = plan_of(contract.queries()["first_order_flag"](spark, sf_dir))
+    plan = plan_of(catalog.queries()["first_order_flag"](spark, sf_dir))
     assert "o_totalprice" not in plan and "o_orderstatus" not in plan
-    plan = plan_of(contract.queries()["apportion"](spark, sf_dir))
+    plan = plan_of(catalog.queries()["apportion"](spark, sf_dir))
     assert "p_name" not in plan
 
 
@@ -130,13 +129,24 @@ def test_busy_user_reaches_no_join_with_its_orders(spark, sf_dir):
     assert counts == {"1": users - 1, "0": 20_000 - users + 1}
 
 
-def test_shuffle_width_grows_with_the_input(spark, sf_dir, monkeypatch):
-    assert session.size_shuffles(spark, sf_dir) == spark.sparkContext.defaultParallelism
-    monkeypatch.setattr(session, "BYTES_PER_PARTITION", 10_000)
-    wide = session.size_shuffles(spark, sf_dir)
-    assert wide > spark.sparkContext.defaultParallelism
-    monkeypatch.undo()
-    session.size_shuffles(spark, sf_dir)
+def test_queries_leave_the_shuffle_width_to_the_session(spark, sf_dir):
+    assert session.shuffle_width(10 << 20, 8) == 8
+    assert session.shuffle_width(100 << 40, 8) == 51_200
+    kept = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(kept, None)
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        plan = catalog.queries()["apportion"](spark, sf_dir)._jdf.queryExecution().executedPlan()
+        assert ", 13)" in plan.toString() and spark.conf.get(kept, None) == before
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_stored_days_are_read_by_folder(spark, sf_dir):
+    plan = plan_of(catalog.queries()["dau_total_stored"](spark, sf_dir))
+    assert f"(dt#" in plan.split("PartitionFilters")[1].split("]")[0]
+    plan = plan_of(catalog.queries()["order_amount_by_hour_stored"](spark, sf_dir))
+    assert "EqualTo(dt" in plan
 
 
 def test_details_are_unique(spark, sf_dir):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tillstream import schemas
 from tillstream.operators import dau, dws
 from tillstream.sinks import tables
-from tillstream.streaming import runtime, state
+from tillstream.streaming import pairs, runtime, state
 
 
 class Feed:
@@ -34,15 +34,8 @@ class Feed:
                 .parquet(self.folder))
 
 
-def run(stream, write, tmp_path, mode="append"):
-    return runtime.finish(runtime.start(stream, write, str(tmp_path / "checkpoint"), mode,
-                                        drain=True, state_partitions=2), 120)
-
-
-def collected(stream, tmp_path, mode="append"):
-    got = []
-    run(stream, lambda batch, n: got.extend(batch.collect()), tmp_path, mode)
-    return got
+def run(stream, write, tmp_path):
+    return runtime.finish(runtime.start(stream, write, str(tmp_path / "checkpoint"), drain=True), 300)
 
 
 DAY = 1_704_067_200_000
@@ -65,28 +58,20 @@ def as_starts(spark, rows):
 
 
 def test_first_visits_in_parts_equal_the_whole(spark, tmp_path):
-    rows = start_rows(120, 1)
+    """In no order at all, with repeats, and with one log of the far future in the first part."""
+    rows = start_rows(120, 1) + [("m1", "u", "a", "c", "v", DAY + 400_000_000_000)]
+    random.Random(2).shuffle(rows)
     feed = Feed(spark, tmp_path / "in", schemas.DAU_INFO)
-    for part in (rows[:50], rows[30:90], rows[90:]):     # the second part repeats some
-        random.Random(2).shuffle(part)
+    for part in (rows[-1:] + rows[:50], rows[30:90], rows[90:]):
         feed.add(as_starts(spark, part).collect())
-    table, keys = str(tmp_path / "dau"), ["dt", "mid"]
-    run(state.first_visit_stream(feed.stream()),
-        lambda batch, n: tables.upsert(batch, table, keys, n, "dt"), tmp_path, "update")
-    got = tables.read_keyed(spark, table, schemas.DAU_INFO, keys).collect()
+    table = str(tmp_path / "dau")
+    run(feed.stream(), lambda batch, n: state.store_visits(batch, n, table), tmp_path)
+    got = state.read_visits(spark, table).collect()
     assert sorted(got) == sorted(dau.first_visit(as_starts(spark, rows)).collect())
-
-
-def test_first_arrival_is_emitted_once_and_late_days_are_dropped(spark, tmp_path):
-    feed = Feed(spark, tmp_path / "in", schemas.DAU_INFO)
-    hour = 3_600_000
-    row = lambda mid, ts: (mid, "u", "a", "c", "v", ts)
-    for part in ([row("a", DAY + 5 * hour)], [row("a", DAY + hour), row("b", DAY + hour)],
-                 [row("a", DAY + 100 * hour)], [row("a", DAY + 101 * hour)],
-                 [row("late", DAY + 2 * hour)]):
-        feed.add(as_starts(spark, part).collect())
-    got = collected(state.first_arrival_stream(feed.stream()), tmp_path)
-    assert sorted((r.mid, (r.ts - DAY) // hour) for r in got) == [("a", 5), ("a", 100), ("b", 1)]
+    tables.compact(spark, table, schemas.DAU_INFO, state.VISIT, 99, "dt", earliest=state.VISIT_ORDER)
+    folded = state.read_visits(spark, table)
+    assert sorted(folded.collect()) == sorted(got)
+    assert "Aggregate" not in folded._jdf.queryExecution().executedPlan().toString()
 
 
 ORDER = "id long, user_id long, final_total_amount decimal(18,2), original_total_amount decimal(18,2), create_time string"
@@ -117,76 +102,124 @@ def sales(n, seed):
     return orders, details
 
 
-def fill(feeds, orders, details, parts=3):
-    """Both sides in time order, the details one part behind; one order is sent twice."""
-    size = -(-len(orders) // parts)
-    for p in range(parts):
-        some = orders[p * size:(p + 1) * size]
-        feeds[0].add(some + some[:1])
-        last = {r[0] for r in orders[(p - 1) * size:p * size]} if p else set()
-        now = {r[0] for r in some[: size // 2]}
-        sent = {r[0] for r in orders[: (p - 1) * size + size // 2]} if p else set()
-        feeds[1].add([d for d in details if d[1] in (last | now) and not (d[1] in sent)])
-    feeds[1].add([d for d in details if d[1] in {r[0] for r in orders[-size:]}])
+def fill(feeds, orders, details, parts=3, seed=0):
+    """Both sides in no order, some rows sent twice."""
+    for feed, rows in zip(feeds, (orders, details)):
+        rows = [*rows, *rows[:5]]
+        random.Random(seed).shuffle(rows)
+        for p in range(parts):
+            feed.add(rows[p::parts])
+
+
+def store(spark, tmp_path, feeds, name="store"):
+    return pairs.PairStore(spark, str(tmp_path / name), feeds[0].schema, feeds[1].schema, 900)
+
+
+FUTURE = (777, 1, None, None, "2199-01-01 00:00:00")
 
 
-@pytest.mark.parametrize("pair, batch", [
-    (state.interval_wide_stream, dws.interval_join), (state.hop_wide_stream, dws.hop_join)])
+@pytest.mark.parametrize("pair, batch", [(pairs.interval_pairs, dws.interval_join),
+                                         (pairs.hop_pairs, dws.hop_join)])
 def test_paired_streams_equal_the_batch_join(spark, tmp_path, feeds, pair, batch):
     orders, details = sales(12, 4)
+    feeds[0].add([FUTURE, (778, 1, None, None, "no time"), (None, 1, None, None, at(0))])
     fill(feeds, orders, details)
-    wide = state.dedup_pairs_stream(pair(feeds[0].stream(), feeds[1].stream(), splits=3))
-    got = sorted((r.order_id, r.order_detail_id)
-                 for r in collected(wide.drop("event_time"), tmp_path))
+    held, got = store(spark, tmp_path, feeds), {}
+
+    def write(rows, n):
+        for _ in range(2):      # as if the first attempt had failed just before its commit
+            got[n] = pair(held, rows, n).select("order_id", "order_detail_id").collect()
+
+    run(pairs.side_by_side(feeds[0].stream(), feeds[1].stream()), write, tmp_path)
+    found = sorted(tuple(r) for rows in got.values() for r in rows)
     timed = [spark.createDataFrame(rows, shape).withColumn("event_time", F.to_timestamp("create_time"))
              for rows, shape in ((orders, ORDER), (details, DETAIL))]
     want = batch(*timed).select("o.id", "d.id").collect()
-    assert got == sorted(tuple(r) for r in want) and got
+    assert found == sorted(tuple(r) for r in want) and found and len(got) > 2
+    assert pairs.undated(held).count() == 2
+    alone = pairs.lonely(held, spark.createDataFrame(found, "order_id long, order_detail_id long"))
+    met = [{f[i] for f in found} for i in (0, 1)]
+    assert {(r.side, r.order_id, r.order_detail_id) for r in alone.collect()} == (
+        {("order", o[0], None) for o in [*orders, FUTURE] if o[0] not in met[0]}
+        | {("detail", None, d[0]) for d in details if d[0] not in met[1]})
 
 
-def test_amounts_split_over_batches_add_up(spark, tmp_path, feeds):
+def test_amounts_split_over_batches_equal_the_whole(spark, tmp_path, feeds):
+    """Shares, and the detail that takes an order's remainder, are those of the whole."""
     orders, details = sales(12, 6)
-    fill(feeds, orders, details)
-    sums, out, staged = (str(tmp_path / n) for n in ("sums", "wide", "staged"))
-    wide = state.dedup_pairs_stream(
-        state.interval_wide_stream(feeds[0].stream(), feeds[1].stream()))
-
-    def write(batch, n):
-        for _ in range(2):      # as if the first attempt had failed just before its commit
-            rows, kept = state.split_batch(runtime.staged(batch, staged, n), n, sums)
-            tables.append_table(rows.select(*schemas.ORDER_WIDE.names), out, n)
-            state.remember_sums(kept, n, sums)
-
-    query = run(wide, write, tmp_path)
-    rows = tables.read_appended(spark, out, schemas.ORDER_WIDE).collect()
-    assert sorted(r.order_detail_id for r in rows) == sorted(d[0] for d in details)
+    fill(feeds, orders, details, seed=3)
+    held = store(spark, tmp_path, feeds)
+
+    def write(rows, n):
+        for _ in range(2):
+            found = runtime.staged(pairs.interval_pairs(held, rows, n), str(tmp_path / "staged"), n)
+            pairs.settle(held, found, n)
+
+    query = run(pairs.side_by_side(feeds[0].stream(), feeds[1].stream()), write, tmp_path)
+    rows = pairs.settled(held).collect()
+    o, d = spark.createDataFrame(orders, ORDER), spark.createDataFrame(details, DETAIL)
+    whole = dws.apportion(dws.to_wide(dws.batch_join(o, d), o, d))
+    amounts = lambda some: sorted((r.order_detail_id, r.final_detail_amount) for r in some)
+    assert amounts(rows) == amounts(whole.collect())
     for order in orders:
         assert sum(r.final_detail_amount for r in rows if r.order_id == order[0]) == order[2]
     assert len(runtime.progress(query)) == 2
 
 
-def test_full_outer_emits_lonely_rows_behind_the_watermark(spark, tmp_path, feeds):
-    from decimal import Decimal as D
-    one = D("1.00")
-    feeds[0].add([(1, 1, one, one, at(0)), (2, 1, one, one, at(0))])
-    feeds[1].add([(11, 1, one, 1, at(5)), (31, 3, one, 1, at(5))])
-    feeds[0].add([(9, 1, one, one, at(7200))])
-    feeds[1].add([(91, 9, one, 1, at(7200))])
-    got = collected(state.full_outer_stream(feeds[0].stream(), feeds[1].stream()), tmp_path)
-    assert {(r.side, r.order_id, r.order_detail_id) for r in got} == {
-        ("both", 1, 11), ("order", 2, None), ("detail", None, 31), ("both", 9, 91)}
+def test_a_batch_opens_the_folders_of_its_rows(spark, tmp_path, feeds):
+    orders, details = sales(60, 2)      # an hour of orders: five folders of 900 seconds
+    held = store(spark, tmp_path, feeds)
+    both = lambda o, d: pairs.side_by_side(
+        spark.createDataFrame(o, feeds[0].schema), spark.createDataFrame(d, feeds[1].schema))
+    pairs.interval_pairs(held, both(orders, details[:1]), 0)
+    found = pairs.interval_pairs(held, both([], details[1:2]), 1)
+    opened = {f.split("bucket=")[1].split("/")[0] for f in held.known(
+        "o", 1, held.around([19723 * 96], 600)).inputFiles() if "bucket=" in f}
+    assert len(os.listdir(f"{held.table('o')}/gen=0/batch=0")) >= 5 and found.count() == 1
+    plan = held.known("o", 1, [19723 * 96])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and f"bucket" in plan.split("PartitionFilters")[1]
+    assert opened
+
+
+def test_one_user_opens_one_folder(spark, tmp_path):
+    table = str(tmp_path / "users")
+    users = spark.range(2000).select(F.col("id").cast("string").alias("user_id"),
+                                     F.lit("1").alias("if_consumed"))
+    tables.upsert(users, table, ["user_id"], 0, slots=state.USER_SLOTS)
+    one = spark.createDataFrame([("7",)], "user_id string")
+    slots = tables.slots_of(one, "user_id", state.USER_SLOTS)
+    known = tables.read_batches(spark, table, schemas.USER_STATE, 1, slots=slots)
+    assert len(slots) == 1 and known.where("user_id = '7'").count() == 1
+    assert known.count() < 2000 / state.USER_SLOTS * 3
+    assert len(os.listdir(f"{table}/gen=0/batch=0")) > state.USER_SLOTS
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "slot" in plan.split("PartitionFilters")[1].split("]")[0]
+
+
+def test_first_flags_move_when_an_earlier_order_arrives_late(spark, tmp_path):
+    firsts, flags = str(tmp_path / "firsts"), str(tmp_path / "flags")
+    shape = "id long, user_id long, create_time string"
+    batches = [[(1, 5, at(50)), (2, 5, at(60)), (3, None, at(1)), (8, 6, at(9))],
+               [(4, 5, at(10)), (4, 5, at(10)), (5, None, at(0)), (9, 6, at(10))],
+               [(6, 5, at(30)), (7, 7, at(30))]]
+    for n, rows in enumerate(batches):
+        for _ in range(2):
+            state.flag_by_time(spark.createDataFrame(rows, shape), n, firsts, flags)
+    got = {r.id: r.if_first_order for r in
+           tables.read_keyed(spark, flags, state.FLAGS, ["id"]).collect()}
+    assert {i for i, f in got.items() if f == "1"} == {4, 7, 8} and set(got) == set(range(1, 10))
 
 
 def test_a_restarted_query_goes_on_where_it_stopped(spark, tmp_path):
     feed = Feed(spark, tmp_path / "in", schemas.DAU_INFO)
     rows = start_rows(60, 9)
-    table, keys = str(tmp_path / "dau"), ["dt", "mid"]
-    write = lambda batch, n: tables.upsert(batch, table, keys, n, "dt")
+    table = str(tmp_path / "dau")
+    write = lambda batch, n: state.store_visits(batch, n, table)
     for part in (rows[:30], rows[30:]):
         feed.add(as_starts(spark, part).collect())
-        query = run(state.first_visit_stream(feed.stream()), write, tmp_path, "update")
+        query = run(feed.stream(), write, tmp_path)
         assert sum(p["numInputRows"] for p in query.recentProgress) == 30
-    got = tables.read_keyed(spark, table, schemas.DAU_INFO, keys).collect()
+    got = state.read_visits(spark, table).collect()
     assert sorted(got) == sorted(dau.first_visit(as_starts(spark, rows)).collect())
 
 

@@ -48,6 +48,20 @@ def parse_typed(messages: DataFrame, schema: T.StructType, value: str = "value",
                                 for f in schema.fields])
 
 
+def parse_marked(messages: DataFrame, schema: T.StructType, required: tuple[str, ...] = (),
+                 value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """As ``parse_typed``, with the raw ``value`` and ``malformed``: true for text that is no
+    object, and for records without one of the ``required`` fields."""
+    shape = ", ".join(f"`{f.name}` string" for f in schema.fields)
+    marked = parse_envelope(messages.select(*keep, value), shape, value)
+    typed = [as_type(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields]
+    rows = marked.select(*keep, F.col(value).alias("value"), "malformed", *typed)
+    bad = F.col("malformed")
+    for name in required:
+        bad = bad | F.col(name).isNull()
+    return rows.withColumn("malformed", bad)
+
+
 def encode(rows: DataFrame, *columns: str) -> Column:
     """JSON text of the named columns (all by default); NULL fields are left out."""
     return F.to_json(F.struct(*(columns or rows.columns)))

@@ -17,7 +17,9 @@ def amount(cents_: Column) -> Column:
 
 
 def proportional(paid: Column, part: Column, total: Column) -> Column:
-    """paid * part / total in cents, rounded half up; 0 when the total is 0."""
+    """paid * part / total in cents, rounded half away from zero, so that a refund is the negative
+    of the payment; 0 when the total is 0. Exact for |paid * part * 2| + |total| below 10**38; above
+    ``_BIGINT_SAFE`` in decimals, whose quotient has to fit a BIGINT."""
     small = (F.greatest(F.abs(paid), F.abs(part), F.abs(total)) <= _BIGINT_SAFE)
     wide = [c.cast("decimal(19,0)") for c in (paid, part, total)]
     return (F.when(total == 0, F.lit(0).cast("bigint"))
@@ -26,4 +28,6 @@ def proportional(paid: Column, part: Column, total: Column) -> Column:
 
 
 def _half_up(paid: Column, part: Column, total: Column) -> Column:
-    return F.call_function("div", 2 * paid * part + total, 2 * total)
+    whole = F.call_function("div", F.abs(2 * paid * part) + F.abs(total), F.abs(2 * total))
+    return whole * F.signum(paid).cast("bigint") * F.signum(part).cast("bigint") * F.signum(
+        total).cast("bigint")

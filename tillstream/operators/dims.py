@@ -6,15 +6,18 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tillstream.functions import codec
 
-ARRIVAL = "_offset"
+# A topic keeps the messages of one id in one partition, where offsets tell their order; what
+# reached several partitions is ordered by time first.
+ARRIVAL = ["_timestamp", "_offset"]
 
 
 def dim_rows(messages: DataFrame, schema: T.StructType, key: str = "id") -> DataFrame:
     """Typed rows of a dimension topic with their arrival position; a row without its key
     cannot be stored. Rows of any change type arrive here, deletes among them, and all are
     stored as the latest known value."""
-    rows = codec.parse_typed(messages, schema, keep=("offset",))
-    return rows.withColumnRenamed("offset", ARRIVAL).where(F.col(key).isNotNull())
+    rows = codec.parse_typed(messages, schema, keep=("timestamp", "offset"))
+    renamed = rows.withColumnsRenamed({"timestamp": ARRIVAL[0], "offset": ARRIVAL[1]})
+    return renamed.where(F.col(key).isNotNull())
 
 
 def user_state_rows(orders: DataFrame) -> DataFrame:

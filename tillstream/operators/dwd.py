@@ -17,9 +17,12 @@ def first_order_flag(orders: DataFrame, user_state: DataFrame) -> DataFrame:
     """Add ``if_first_order``: "1" on the earliest order of a user not known to have ordered.
 
     Only one row per user meets the state table, and the flag travels back on the unique
-    order id, so no step gathers the orders of a busy user.
+    order id, so no step gathers the orders of a busy user. Orders without a user are nobody's
+    first; of an order sent several times one copy is kept.
     """
-    firsts = orders.groupBy("user_id").agg(F.min(F.struct("create_time", "id")).alias("_first"))
+    orders = orders.dropDuplicates(["id"])
+    firsts = (orders.where(F.col("user_id").isNotNull()).groupBy("user_id")
+              .agg(F.min(F.struct("create_time", "id")).alias("_first")))
     consumed = (user_state.where(F.col("if_consumed") == "1")
                           .select(F.col("user_id").try_cast("bigint").alias("user_id")))
     fresh = (firsts.join(consumed, "user_id", "left_anti")

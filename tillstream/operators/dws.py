@@ -162,6 +162,19 @@ def apportion(wide: DataFrame) -> DataFrame:
     return _settle(shares, order_sums(shares)).select(*wide.columns)
 
 
+def order_amounts(wide: DataFrame) -> DataFrame:
+    """Per order its day, the paid amount counted once per detail, and what its details' shares add
+    up to: the paid amount if the order is complete, else the shares given. Nothing is settled by
+    detail for that. Columns are named as in the wide rows."""
+    sums = with_shares(wide).groupBy("order_id").agg(
+        F.max("dt").alias("dt"), F.sum("final_total_amount").alias("final_total_amount"),
+        F.sum("_part").alias("_seen"), F.sum("_share").alias("_given"),
+        F.max("_paid").alias("_paid"), F.max("_total").alias("_total"))
+    whole = F.coalesce(F.col("_seen") == F.col("_total"), F.lit(False))
+    return sums.select("order_id", "dt", "final_total_amount", money.amount(
+        F.when(whole, F.col("_paid")).otherwise(F.col("_given"))).alias("final_detail_amount"))
+
+
 def apportion_onto(wide: DataFrame, before: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Apportion some of the details, going on from the running sums of earlier ones.
 
@@ -186,9 +199,3 @@ def apportion_onto(wide: DataFrame, before: DataFrame) -> tuple[DataFrame, DataF
                     F.col("given").alias("share"),
                     F.greatest("_to", "_old_at").alias("last_at")))
     return rows, kept
-
-
-def sums_alive(sums: DataFrame) -> Column:
-    """Which running sums can still count, going by the newest of them."""
-    newest = sums.agg(F.max("last_at")).first()[0]
-    return F.col("last_at") >= F.lit(newest) - SUMS_TTL

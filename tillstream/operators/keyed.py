@@ -48,13 +48,7 @@ def look_up(facts: DataFrame, dim: DataFrame, key: str, dim_key: str) -> DataFra
     return facts.join(dim, same_key(facts[key], dim[dim_key]), "left")
 
 
-# Keys that may be sent to every task; they are ids, so some 50 MB at most.
-BROADCAST_KEYS = 1_000_000
-
-
 def only_keys(table: DataFrame, keys: DataFrame, on: str) -> DataFrame:
-    """Rows of a large table whose key is among those of a micro-batch. Up to
-    ``BROADCAST_KEYS`` of them, counted first, the table is filtered where it is scanned;
-    beyond that both sides shuffle."""
-    few = keys.count() <= BROADCAST_KEYS
-    return table.join(F.broadcast(keys) if few else keys, on, "left_semi")
+    """Rows of a table whose key is among those of a micro-batch; AQE broadcasts the keys if they
+    turn out small."""
+    return table.join(keys, on, "left_semi")

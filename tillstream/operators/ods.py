@@ -29,7 +29,14 @@ def _fan(parsed: DataFrame, accepted: Column, messages: Column) -> DataFrame:
             .when(accepted, messages)
             .otherwise(F.array().cast(_NOTHING)))
     return (parsed.select(F.explode(out).alias("m"))
-                  .select("m.topic", F.lit(None).cast("string").alias("key"), "m.value"))
+                  .select("m.topic", _key(F.col("m.topic"), F.col("m.value")).alias("key"),
+                          "m.value"))
+
+
+def _key(topic: Column, value: Column) -> Column:
+    """Dimension rows travel under their id, so that changes of one row keep their order."""
+    return F.when(topic.isin(*[f"ODS_{t.upper()}" for t in DIM_TABLES]),
+                  F.get_json_object(value, "$.id"))
 
 
 def fanout_array(messages: DataFrame) -> DataFrame:

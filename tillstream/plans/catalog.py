@@ -12,9 +12,10 @@ from tillstream.functions import codec
 from tillstream.operators import dau, dims, dwd, dws, ingest, keyed, ods, search, serve
 from tillstream.plans import views
 from tillstream.plans.views import sql_with
-from tillstream.session import run_dir, size_shuffles, tune
-from tillstream.sinks import tables as sink_tables
-from tillstream.sources.tables import query_table, rows_as_json
+from tillstream.session import run_dir, tune
+from tillstream.sinks import tables as sink_tables, topics as sink_topics
+from tillstream.sources.streams import TopicSpec, topic_rows
+from tillstream.sources.tables import query_table, read_day, rows_as_json
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,8 +36,7 @@ def query(sql: str | None = None, *with_views: str) -> Callable[[Query], Query]:
     """Register a query under its function's name, with the SQL that must give the same rows."""
     def register(run: Query) -> Query:
         def tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
-            size_shuffles(tune(spark), sf_dir)
-            return run(spark, sf_dir)
+            return run(tune(spark), sf_dir)
         tuned.__name__, tuned.__doc__ = run.__name__, run.__doc__
         CATALOG[run.__name__] = Entry(tuned, None if sql is None else sql_with(sql, *with_views))
         return tuned
@@ -136,6 +136,36 @@ def realtime_hour_json(spark, sf_dir):
     return serve.realtime_hour_json(_visits(spark, sf_dir), DAU_DAY)
 
 
+@query(f"""select 'dau' metric, count(*) as buckets from (select distinct dt, hr from dau
+      where dt in ('{DAU_DAY}', '{DAU_DAY_BEFORE}'))
+    union all select 'no_such_metric', 0""", "app_log", "dau")
+def realtime_hour_unknown(spark, sf_dir):
+    """Hours with visits of a known metric, and of one nobody keeps: none."""
+    visits = _visits(spark, sf_dir)
+    counts = [serve.realtime_hour(visits, DAU_DAY, metric).agg(
+        F.lit(metric).alias("metric"), F.count(F.lit(1)).alias("buckets"))
+        for metric in (serve.DAU_ID, "no_such_metric")]
+    return counts[0].unionByName(counts[1])
+
+
+def _stored_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of first visits, laid out by day."""
+    path = run_dir(spark, "visits")
+    sink_tables.append_table(_visits(spark, sf_dir), path, 0, "dt")
+    return sink_tables.read_appended(spark, path, schemas.DAU_INFO)
+
+
+@query(f"select count(*) total from dau where dt = '{DAU_DAY}'", "app_log", "dau")
+def dau_total_stored(spark, sf_dir):
+    return serve.dau_total(read_day(_stored_visits(spark, sf_dir), DAU_DAY), DAU_DAY)
+
+
+@query(f"""select hr, count(*) visits from dau where dt = '{DAU_DAY}' group by hr
+    order by visits desc, hr limit 24""", "app_log", "dau")
+def dau_by_hour_stored(spark, sf_dir):
+    return serve.dau_by_hour(read_day(_stored_visits(spark, sf_dir), DAU_DAY), DAU_DAY)
+
+
 # ---- change-log fan-out -------------------------------------------------------------------
 
 @query("""select case when o_orderkey % 2 = 0 then 'ODS_ORDER_DETAIL' else 'ODS_ORDER_INFO' end
@@ -247,18 +277,56 @@ def user_state_upsert(spark, sf_dir):
     return sink_tables.read_keyed(spark, table, schemas.USER_STATE, ["user_id"])
 
 
-@query("""select id, name as name, area_code, iso_3166_2 from province
-    where name <> 'NATION_0'""", "province")
+@query("""select id, name as name, area_code, iso_3166_2 from province_all
+    where name <> 'NATION_0'""", "province_all")
 def dim_query(spark, sf_dir):
-    views.province(spark, sf_dir).createOrReplaceTempView("province_info")
+    views.province(spark, sf_dir, every=True).createOrReplaceTempView("province_info")
     return query_table(spark, "select id, name, area_code, iso_3166_2 from province_info "
                               "where name <> 'NATION_0'")
 
 
 @query("""select '{"id":"' || id || '","name":"' || name || '","area_code":"' || area_code
-    || '"}' as row from province""", "province")
+    || '"}' as row from province_all""", "province_all")
 def dim_rows_json(spark, sf_dir):
-    return rows_as_json(views.province(spark, sf_dir).select("id", "name", "area_code"))
+    return rows_as_json(views.province(spark, sf_dir, every=True)
+                        .select("id", "name", "area_code"))
+
+
+@query("""select c_custkey id, c_name || ' v3' as name from customer""")
+def dim_changes_latest(spark, sf_dir):
+    """Three changes of each user in one batch of a change log, the texts in no order: through the
+    fan-out and a topic into the keyed table, which keeps the last."""
+    folder = run_dir(spark, "dim-changes")
+    topics = TopicSpec("files", f"{folder}/topics")
+    key = F.col("c_custkey").cast("string")
+    versions = F.explode(F.array(F.lit(" v2"), F.lit(" v9"), F.lit(" v3"))).alias("v")
+    users = views.load(spark, sf_dir, "customer").select(key.alias("id"), "c_name", versions)
+    data = F.to_json(F.struct("id", F.concat("c_name", "v").alias("name")))
+    log = users.select(F.concat(F.lit('{"table":"user_info","type":"update","data":'), data,
+                                F.lit("}")).alias("value"))
+    sink_topics.write_topics(ods.fanout_object(log), topics, 0)
+    rows = dims.dim_rows(topic_rows(spark, topics, "ODS_USER_INFO"), schemas.USER_INFO)
+    sink_tables.upsert(rows, f"{folder}/table", ["id"], 0, order=dims.ARRIVAL)
+    return (sink_tables.read_keyed(spark, f"{folder}/table", schemas.USER_INFO, ["id"])
+            .select("id", "name"))
+
+
+@query("""select o_orderkey id, o_orderkey % 7 in (0, 1, 2) malformed,
+      case o_orderkey % 7 when 0 then 'oops ' || o_orderkey when 1 then '{"id":' || o_orderkey
+        when 2 then '{"user_id":"' || o_orderkey || '"}' end as value from orders""")
+def typed_parse_rejects(spark, sf_dir):
+    """Order messages, some of them no JSON, cut off, or without id: what is quarantined keeps its
+    text, the rest its id."""
+    key, kind = F.col("o_orderkey").cast("string"), F.col("o_orderkey") % 7
+    text = (F.when(kind == 0, F.concat(F.lit("oops "), key))
+             .when(kind == 1, F.concat(F.lit('{"id":'), key))
+             .when(kind == 2, F.concat(F.lit('{"user_id":"'), key, F.lit('"}')))
+             .otherwise(F.concat(F.lit('{"id":"'), key, F.lit('","user_id":"1"}'))))
+    sent = views.load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("sent"),
+                                                      text.alias("value"))
+    marked = codec.parse_marked(sent, schemas.ORDER_INFO, ("id",), keep=("sent",))
+    return marked.select(F.coalesce("id", F.col("sent")).alias("id"), "malformed",
+                         F.when(F.col("malformed"), F.col("value")).alias("value"))
 
 
 # ---- wide orders --------------------------------------------------------------------------
@@ -338,6 +406,16 @@ def apportion(spark, sf_dir):
                          _cents("final_detail_amount").alias("cents"))
 
 
+@query("""select order_id, detail_id order_detail_id, -cents cents from shares""",
+       "order_info", "order_detail", "shares")
+def apportion_refunds(spark, sf_dir):
+    """A refund is split as the payment was: its shares are the negatives to the cent."""
+    wide = _wide(spark, sf_dir)
+    shared = dws.apportion(wide.withColumn("final_total_amount", -F.col("final_total_amount")))
+    return shared.select("order_id", "order_detail_id",
+                         _cents("final_detail_amount").alias("cents"))
+
+
 @query("""select '{"order_id":' || i.id || ',"order_detail_id":' || d.id || ',"order_status":"'
       || order_status || '","user_id":' || user_id || ',"sku_id":' || sku_id || ',"sku_num":'
       || sku_num || ',"sku_name":"' || sku_name || '"}' as json
@@ -358,7 +436,7 @@ def order_amount_total(spark, sf_dir):
 @query(f"""select cast(sum(cents) as bigint) cents from shares
     where strftime(made, '%Y-%m-%d') = '{ORDER_DAY}'""", "order_info", "order_detail", "shares")
 def order_amount_total_exact(spark, sf_dir):
-    total = serve.order_amount_total(dws.apportion(_wide(spark, sf_dir)), ORDER_DAY,
+    total = serve.order_amount_total(dws.order_amounts(_wide(spark, sf_dir)), ORDER_DAY,
                                      "final_detail_amount")
     return total.select(_cents("sum_amount").alias("cents"))
 
@@ -367,7 +445,7 @@ def order_amount_total_exact(spark, sf_dir):
       cast(sum(cents) as bigint) detail_cents from shares group by 1""",
        "order_info", "order_detail", "shares")
 def order_amount_by_day(spark, sf_dir):
-    days = serve.order_amount_by_day(dws.apportion(_wide(spark, sf_dir)))
+    days = serve.order_amount_by_day(dws.order_amounts(_wide(spark, sf_dir)))
     return days.select("dt", _cents("sum_amount").alias("cents"),
                        _cents("sum_detail_amount").alias("detail_cents"))
 
@@ -380,6 +458,20 @@ def order_amount_by_hour(spark, sf_dir):
     return hours.select("hrm", _cents("am").alias("cents"))
 
 
+@query(f"""select hour(made) hrm, cast(sum(final_cents) as bigint) cents
+    from (select i.made, i.final_cents from order_info i join order_detail d on i.id = d.order_id)
+    where strftime(made, '%Y-%m-%d') = '{ORDER_DAY}' group by 1""", "order_info", "order_detail")
+def order_amount_by_hour_stored(spark, sf_dir):
+    """One day of the stored wide table, which lies in files by ranges of days: the test orders are
+    few for their 2,400 days, a folder each would be all overhead."""
+    path = run_dir(spark, "order-wide")
+    by_day = _wide(spark, sf_dir).repartitionByRange("dt").sortWithinPartitions("dt")
+    sink_tables.append_table(by_day, path, 0, None)
+    day = read_day(sink_tables.read_appended(spark, path, schemas.ORDER_WIDE), ORDER_DAY)
+    hours = serve.order_amount_by_hour(day, ORDER_DAY)
+    return hours.select("hrm", _cents("am").alias("cents"))
+
+
 @query("""select strftime(made, '%Y-%m-%d') dt, hour(made) hrm, cast(sum(final_cents) as bigint) cents
     from (select i.made, i.final_cents from order_info i join order_detail d on i.id = d.order_id)
     group by 1, 2""", "order_info", "order_detail")

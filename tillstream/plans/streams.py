@@ -3,7 +3,7 @@ until it has read all of it, and what its sink holds is the answer."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillstream import schemas
 from tillstream.operators import dau, dwd, ingest
@@ -11,84 +11,115 @@ from tillstream.plans import views
 from tillstream.plans.catalog import (FIRST_ORDER, HOP, WIDE, WITHIN, _cents, _wide_columns,
                                       query)
 from tillstream.session import run_dir
-from tillstream.sinks import tables as sink_tables
-from tillstream.streaming import runtime, state
+from tillstream.sinks import tables as sink_tables, topics as sink_topics
+from tillstream.sources.streams import TopicSpec, topic_stream
+from tillstream.streaming import pairs, runtime, state
+
+# What a micro-batch takes from each source at most. Results do not depend on it.
+TRIGGER = {"maxBytesPerTrigger": str(1 << 30)}
+# The test orders span seven years, so their folders hold a year; live orders would have a day's.
+PAIR_BUCKET = 366 * 86_400
+
+
+def _read(spark: SparkSession, path: str, schema) -> DataFrame:
+    return spark.readStream.schema(schema).options(**TRIGGER).parquet(path)
 
 
 def _stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     schema = views.load(spark, sf_dir, table).schema
     # A stream reads folders or patterns; as a pattern, the name also fits a table of one file.
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{table}.[p]arquet")
+    return _read(spark, f"{sf_dir}/{table}.[p]arquet", schema)
 
 
-def _drain(stream: DataFrame, write, folder: str, mode: str = "append") -> None:
-    # As many state partitions as there are cores: the state of a query cannot be re-cut later.
-    width = stream.sparkSession.sparkContext.defaultParallelism
-    runtime.finish(runtime.start(stream, write, f"{folder}/checkpoint", mode, drain=True,
-                                 state_partitions=width))
+def _as_messages(rows: DataFrame, folder: str) -> DataFrame:
+    """Rows stored as they would lie in a topic, and streamed from there."""
+    rows.write.parquet(folder)
+    return _read(rows.sparkSession, folder, rows.schema)
 
 
-def _appended(stream: DataFrame, name: str) -> DataFrame:
-    spark = stream.sparkSession
-    folder = run_dir(spark, name)
-    _drain(stream, lambda batch, n: sink_tables.append_table(batch, f"{folder}/table", n, None),
-           folder)
-    return sink_tables.read_appended(spark, f"{folder}/table", stream.schema)
+def _drain(stream: DataFrame, write, folder: str) -> None:
+    runtime.finish(runtime.start(stream, write, f"{folder}/checkpoint", drain=True))
+    runtime.discard(stream.sparkSession, f"{folder}/checkpoint", f"{folder}/staged")
 
 
 @query("select * from dau", "app_log", "dau")
 def stream_dau(spark, sf_dir):
     routed = ingest.route_app_log(views.app_log_from(_stream(spark, sf_dir, "events")))
     starts = dau.to_dau_info(routed.where(F.col("topic") == ingest.START))
-    folder, keys = run_dir(spark, "stream-dau"), ["dt", "mid"]
-    _drain(state.first_visit_stream(starts),
-           lambda batch, n: sink_tables.upsert(batch, f"{folder}/table", keys, n, "dt"),
-           folder, "update")
-    return sink_tables.read_keyed(spark, f"{folder}/table", schemas.DAU_INFO, keys)
+    folder = run_dir(spark, "stream-dau")
+    _drain(starts, lambda batch, n: state.store_visits(batch, n, f"{folder}/table"), folder)
+    return state.read_visits(spark, f"{folder}/table")
+
+
+@query("select * from dau", "app_log", "dau")
+def stream_dau_topics(spark, sf_dir):
+    """The same by way of a topic, read as the jobs read theirs."""
+    folder = run_dir(spark, "stream-dau-topics")
+    topics = TopicSpec("files", f"{folder}/topics", TRIGGER)
+    routed = ingest.route_app_log(views.app_log(spark, sf_dir))
+    sink_topics.write_topics(routed.withColumn("key", F.lit(None).cast("string")), topics, 0)
+    starts = dau.to_dau_info(topic_stream(spark, topics, ingest.START))
+    _drain(starts, lambda batch, n: state.store_visits(batch, n, f"{folder}/table"), folder)
+    return state.read_visits(spark, f"{folder}/table")
 
 
 @query(FIRST_ORDER, "order_info", "user_state")
 def stream_first_order(spark, sf_dir):
+    """First orders by time, whatever order they arrive in."""
     orders = views.order_head_from(_stream(spark, sf_dir, "orders")).drop("event_time")
     folder = run_dir(spark, "stream-first-order")
-    users, table = f"{folder}/user-state", f"{folder}/orders"
-    # What is known before the stream starts is the state table's base.
-    sink_tables.upsert(views.user_state(spark, sf_dir), users, ["user_id"],
-                       sink_tables.BASE_BATCH)
-
-    def write(batch: DataFrame, n: int) -> None:
-        flagged = state.first_orders(runtime.staged(batch, f"{folder}/staged", n), n, users)
-        sink_tables.append_table(flagged, table, n, None)
-        state.remember_users(flagged, n, users)
-
-    _drain(orders, write, folder)
-    shape = T.StructType([*orders.schema.fields, T.StructField("if_first_order", T.StringType())])
-    return (sink_tables.read_appended(spark, table, shape)
-            .select("id", "user_id", "if_first_order"))
+    firsts, flags = f"{folder}/firsts", f"{folder}/flags"
+    # Who has ordered before the stream starts comes before any time.
+    before = views.user_state(spark, sf_dir).select(
+        F.col("user_id").cast("bigint").alias("user_id"), F.lit("").alias("create_time"),
+        F.lit(None).cast("bigint").alias("id"))
+    sink_tables.upsert(before, firsts, ["user_id"], sink_tables.BASE_BATCH, slots=state.USER_SLOTS)
+    _drain(orders, lambda batch, n: state.flag_by_time(batch, n, firsts, flags), folder)
+    return sink_tables.read_keyed(spark, flags, state.FLAGS, ["id"])
+
+
+def _pair_store(spark: SparkSession, sf_dir: str, name: str) -> tuple[pairs.PairStore, DataFrame]:
+    """The store, and orders and details, built once, as one stream of messages."""
+    folder = run_dir(spark, name)
+    orders = dwd.with_create_parts(views.order_info(spark, sf_dir)).drop("event_time")
+    details = views.order_detail(spark, sf_dir).drop("event_time")
+    store = pairs.PairStore(spark, folder, orders.schema, details.schema, PAIR_BUCKET)
+    return store, pairs.side_by_side(_as_messages(orders, f"{folder}/in-orders"),
+                                     _as_messages(details, f"{folder}/in-details"))
 
 
-def _pair_streams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    static = {t: views.load(spark, sf_dir, t) for t in ("lineitem", "orders", "part")}
-    heads = views.order_head_from(_stream(spark, sf_dir, "orders"))
-    totals = views.order_totals(static["lineitem"])
-    orders = (heads.join(totals, "id", "left")
-              .withColumn("original_total_amount", views.money.amount(F.col("_cents")))
-              .drop("_cents", "event_time"))
-    details = views.detail_from(_stream(spark, sf_dir, "lineitem"), static["orders"],
-                                static["part"]).drop("event_time")
-    return dwd.with_create_parts(orders), details
+def _stream_pairs(spark: SparkSession, sf_dir: str, name: str, find) -> tuple[pairs.PairStore, DataFrame]:
+    """Run the stream; the store, and the pairs that all batches found."""
+    store, rows = _pair_store(spark, sf_dir, name)
+    table = store.table("pairs")
+    _drain(rows, lambda batch, n: sink_tables.append_table(find(store, batch, n), table, n, None),
+           store.root)
+    return store, sink_tables.read_appended(spark, table, schemas.ORDER_WIDE)
 
 
 @query(WIDE + WITHIN, "order_info", "order_detail")
 def stream_order_wide(spark, sf_dir):
-    wide = state.dedup_pairs_stream(state.interval_wide_stream(*_pair_streams(spark, sf_dir)))
-    return _wide_columns(_appended(wide.select(*schemas.ORDER_WIDE.names), "stream-order-wide"))
+    return _wide_columns(_stream_pairs(spark, sf_dir, "stream-wide", pairs.interval_pairs)[1])
 
 
 @query(WIDE + HOP, "order_info", "order_detail")
 def stream_hop_wide(spark, sf_dir):
-    wide = state.dedup_pairs_stream(state.hop_wide_stream(*_pair_streams(spark, sf_dir)))
-    return _wide_columns(_appended(wide.select(*schemas.ORDER_WIDE.names), "stream-hop-wide"))
+    return _wide_columns(_stream_pairs(spark, sf_dir, "stream-hop", pairs.hop_pairs)[1])
+
+
+_SIDES = f"""select * from (with met as (select i.id oid, d.id did from order_info i join order_detail d
+    on i.id = d.order_id {WITHIN})
+  select 'both' side, oid order_id, did order_detail_id from met
+  union all select 'order', id, null from order_info where id not in (select oid from met)
+  union all select 'detail', null, id from order_detail where id not in (select did from met))"""
+
+
+@query(_SIDES, "order_info", "order_detail")
+def stream_full_outer(spark, sf_dir):
+    """Pairs as they are completed, and at the end the rows that have stayed alone."""
+    store, met = _stream_pairs(spark, sf_dir, "stream-outer", pairs.interval_pairs)
+    sides = met.withColumn("side", F.lit("both")).unionByName(pairs.lonely(store, met))
+    return sides.select("side", "order_id", "order_detail_id")
 
 
 # Only pairs within ten minutes meet, so an order with a later detail is never completed and
@@ -104,16 +135,27 @@ STREAM_SHARES = """select order_id, order_detail_id, case when seen = original_c
 
 @query(STREAM_SHARES, "order_info", "order_detail")
 def stream_apportion(spark, sf_dir):
-    wide = state.dedup_pairs_stream(state.interval_wide_stream(*_pair_streams(spark, sf_dir)))
-    folder = run_dir(spark, "stream-apportion")
-    sums, table = f"{folder}/sums", f"{folder}/table"
+    store, rows = _pair_store(spark, sf_dir, "stream-apportion")
 
     def write(batch: DataFrame, n: int) -> None:
-        rows, kept = state.split_batch(runtime.staged(batch, f"{folder}/staged", n), n, sums)
-        sink_tables.append_table(rows, table, n, None)
-        state.remember_sums(kept, n, sums)
-
-    _drain(wide, write, folder)
-    shared = sink_tables.read_appended(spark, table, schemas.ORDER_WIDE)
-    return shared.select("order_id", "order_detail_id",
-                         _cents("final_detail_amount").alias("cents"))
+        found = pairs.interval_pairs(store, batch, n)
+        pairs.settle(store, runtime.staged(found, f"{store.root}/staged", n), n)
+
+    _drain(rows, write, store.root)
+    return pairs.settled(store).select("order_id", "order_detail_id",
+                                       _cents("final_detail_amount").alias("cents"))
+
+
+@query("""select strftime(ts, '%Y-%m-%d') as dt, count(*) as lines from events group by 1""")
+def archive_written(spark, sf_dir):
+    """Raw lines through the archive writer, and the lines of each day read back: the archive is
+    laid out by the day received, the days asked for are those in the lines."""
+    folder = run_dir(spark, "archive")
+    lines = views.app_log_from(_stream(spark, sf_dir, "events"))
+    writer = sink_topics.archive_raw(lines, f"{folder}/lines")
+    runtime.finish(writer.option("checkpointLocation", f"{folder}/checkpoint")
+                   .trigger(availableNow=True).start())
+    back = spark.read.text(f"{folder}/lines")
+    at = F.timestamp_millis(F.get_json_object("value", "$.ts").cast("bigint"))
+    return back.groupBy(F.date_format(at, "yyyy-MM-dd").alias("dt")).agg(F.count(F.lit(1)).alias("lines"))
+

@@ -42,16 +42,10 @@ def tune(spark: SparkSession) -> SparkSession:
 BYTES_PER_PARTITION = 2 << 30
 
 
-def size_shuffles(spark: SparkSession, folder: str) -> int:
-    """Set how finely AQE cuts shuffles to begin with, by the input's size and the cluster's
-    cores; it merges what turns out small, but it cannot cut finer afterwards except for skew."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    total = fs.getContentSummary(path).getLength()
-    partitions = max(spark.sparkContext.defaultParallelism, -(-total // BYTES_PER_PARTITION))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
-    return partitions
+def shuffle_width(input_bytes: int, cores: int) -> int:
+    """``spark.sql.shuffle.partitions`` for a cluster that reads so much in a query. Whoever builds
+    the session sets it once; AQE merges what turns out small and splits skewed partitions."""
+    return max(cores, -(-input_bytes // BYTES_PER_PARTITION))
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -12,9 +12,10 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tillstream.operators.keyed import latest_per_key, only_keys
+from tillstream.operators.keyed import earliest_per_key, latest_per_key, only_keys
 
 BASE_BATCH = -1
+SLOT = "slot"
 
 
 def _generation(spark: SparkSession, path: str) -> int:
@@ -46,13 +47,25 @@ def append_table(rows: DataFrame, path: str, batch_id: int, partition: str | Non
 
 
 def upsert(rows: DataFrame, path: str, keys: Sequence[str], batch_id: int,
-           partition: str | None = None, order: Sequence[str] = ()) -> None:
+           partition: str | None = None, order: Sequence[str] = (), slots: int = 0) -> None:
     """Insert or replace by key. Within a batch the row with the largest ``order`` is kept.
-    With ``partition``, that column must be one of the keys."""
+    With ``partition``, that column must be one of the keys. With ``slots``, rows are dealt over as
+    many folders by a hash of the first key, so that a reader of few keys opens few folders."""
     last = latest_per_key(rows, keys, order).drop(*[c for c in order if c.startswith("_")])
+    if slots:
+        last, partition = last.withColumn(SLOT, slot_of(F.col(keys[0]), slots)), SLOT
     _write(last, _batch_folder(rows.sparkSession, path, batch_id), partition)
 
 
+def slot_of(key: Column, slots: int) -> Column:
+    return F.pmod(F.xxhash64(key.cast("string")), F.lit(slots)).cast("int")
+
+
+def slots_of(keys: DataFrame, name: str, slots: int) -> list[int]:
+    """The folders that some keys are in: at most ``slots`` numbers."""
+    return [r[0] for r in keys.select(slot_of(F.col(name), slots)).distinct().collect()]
+
+
 def _stored(spark: SparkSession, path: str, schema: T.StructType, generation: int) -> DataFrame:
     base = f"{path}/gen={generation}"
     with_batch = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
@@ -68,39 +81,72 @@ def read_appended(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType, before_batch: int,
-                 with_batch: bool = False) -> DataFrame:
+                 with_batch: bool = False, slots: list[int] | None = None) -> DataFrame:
     """Rows that batches before the given one wrote to a keyed table, earlier values of a key
-    included: what that batch, or a replay of it, has to see."""
-    stored = _stored(spark, path, schema, _generation(spark, path))
+    included: what that batch, or a replay of it, has to see. ``slots`` opens those folders only."""
+    kept = schema if slots is None else T.StructType([*schema.fields,
+                                                      T.StructField(SLOT, T.IntegerType())])
+    stored = _stored(spark, path, kept, _generation(spark, path))
+    if slots is not None:
+        stored = stored.where(F.col(SLOT).isin(slots))
     return stored.where(F.col("batch") < before_batch).select(
         *schema.names, *(["batch"] if with_batch else []))
 
 
+def read_batch(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
+    """The rows of one batch, for a writer that goes on from what it has stored."""
+    return spark.read.schema(schema).parquet(_batch_folder(spark, path, batch_id))
+
+
+def _current(stored: DataFrame, schema: T.StructType, keys: Sequence[str],
+             earliest: Sequence[str]) -> DataFrame:
+    """Per key the row of the latest batch or, with ``earliest``, the one smallest by it."""
+    if earliest:
+        return earliest_per_key(stored.drop("batch"), keys, earliest).select(*schema.names)
+    return latest_per_key(stored, keys, ["batch"]).select(*schema.names)
+
+
+def _only_base(spark: SparkSession, path: str, generation: int) -> bool:
+    """Has nothing been written since the compaction that made this generation?"""
+    if not generation:
+        return False
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/gen={generation}")
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(root)] == [f"batch={BASE_BATCH}"]
+
+
 def read_keyed(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
-               only: DataFrame | None = None) -> DataFrame:
-    """Current rows of a keyed table: per key those of the latest batch. ``only``, the distinct
-    values of the first key that are asked for, filters the table where it is scanned."""
-    stored = _stored(spark, path, schema, _generation(spark, path))
+               only: DataFrame | None = None, earliest: Sequence[str] = ()) -> DataFrame:
+    """Current rows of a keyed table: per key those of the latest batch, or with ``earliest`` the
+    row that is smallest by these columns, whichever batch it came in. ``only``, the distinct values
+    of the first key that are asked for, filters the table. A table just compacted is read as it is."""
+    generation = _generation(spark, path)
+    stored = _stored(spark, path, schema, generation)
     if only is not None:
         stored = only_keys(stored, only, keys[0])
-    return latest_per_key(stored, keys, ["batch"]).select(*schema.names)
+    if _only_base(spark, path, generation):
+        return stored.select(*schema.names)
+    return _current(stored, schema, keys, earliest)
 
 
 def compact(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
             before_batch: int, partition: str | None = None,
-            keep: Callable[[DataFrame], Column] | None = None) -> int:
+            keep: Callable[[DataFrame], Column] | None = None, earliest: Sequence[str] = (),
+            slots: int = 0) -> int:
     """Fold the batches before the given one into the base of the next generation.
 
     Run it at the beginning of that batch: a replay of the batch folds again and still sees
     nothing of its own. A crash on the way leaves the old generation in force. ``keep`` gives
-    the condition for rows worth keeping. Generations older than the one replaced, which no
+    the condition for rows worth keeping; ``earliest`` and ``slots`` are those of reader and writer. Generations older than the one replaced, which no
     reader can have open any more, are removed. Returns the new generation.
     """
     current = _generation(spark, path)
     stored = _stored(spark, path, schema, current).where(F.col("batch") < before_batch)
-    rows = latest_per_key(stored, keys, ["batch"]).select(*schema.names)
+    rows = _current(stored, schema, keys, earliest)
     if keep is not None:
         rows = rows.where(keep(rows))
+    if slots:
+        rows, partition = rows.withColumn(SLOT, slot_of(F.col(keys[0]), slots)), SLOT
     _write(rows, _batch_folder(spark, path, BASE_BATCH, current + 1), partition)
     for old in range(current):
         folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/gen={old}")
@@ -116,7 +162,11 @@ def jdbc_options(url: str, table: str, batch_size: int = 100, writers: int = 4,
 
 
 def append_jdbc(rows: DataFrame, options: dict[str, str]) -> None:
-    rows.write.format("jdbc").options(**options).mode("append").save()
+    """Append rows, in as many parallel writers as the options say. Pass rows of a stored table: the
+    exchange in front keeps the plan behind them from being narrowed to that number of tasks. The
+    database has no notion of batches, so a replayed batch is appended again (at least once)."""
+    writers = int(options.get("numPartitions", 1))
+    rows.repartition(writers).write.format("jdbc").options(**options).mode("append").save()
 
 
 def preview(rows: DataFrame, n: int = 1000) -> None:

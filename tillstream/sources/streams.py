@@ -37,17 +37,30 @@ def topic_folder(spec: TopicSpec, topic: str) -> str:
 
 def topic_stream(spark: SparkSession, spec: TopicSpec, topic: str, group: str | None = None,
                  starting_offsets: dict[int, int] | str = "latest") -> DataFrame:
-    """Messages of a topic: key, value, topic, offset, timestamp."""
+    """Messages of a topic: key, value, topic, partition, offset, timestamp."""
     if spec.kind == "kafka":
         raw = spark.readStream.format("kafka").options(
             **kafka_options(spec, topic, group, starting_offsets)).load()
         return raw.select(F.col("key").cast("string"), F.col("value").cast("string"), "topic",
-                          "offset", "timestamp")
-    # A folder has no broker offsets: arrival order is that of the files.
-    raw = (spark.readStream.schema(MESSAGE_FILE).options(**spec.options)
-           .parquet(topic_folder(spec, topic)))
+                          "partition", "offset", "timestamp")
+    return _from_files(spark.readStream.schema(MESSAGE_FILE).options(**spec.options)
+                       .parquet(topic_folder(spec, topic)), topic)
+
+
+def topic_rows(spark: SparkSession, spec: TopicSpec, topic: str) -> DataFrame:
+    """All messages a topic holds now, as a batch; columns as those of ``topic_stream``."""
+    if spec.kind == "kafka":
+        raw = spark.read.format("kafka").options(
+            **kafka_options(spec, topic, None, "earliest")).load()
+        return raw.select(F.col("key").cast("string"), F.col("value").cast("string"), "topic",
+                          "partition", "offset", "timestamp")
+    return _from_files(spark.read.schema(MESSAGE_FILE).parquet(topic_folder(spec, topic)), topic)
+
+
+def _from_files(raw: DataFrame, topic: str) -> DataFrame:
+    # A folder has no broker offsets: arrival order is that of the files, then of their rows.
     return raw.select("key", "value", F.lit(topic).alias("topic"),
-                      F.unix_micros("_metadata.file_modification_time").alias("offset"),
+                      F.lit(0).alias("partition"), F.col("_metadata.row_index").alias("offset"),
                       F.col("_metadata.file_modification_time").alias("timestamp"))
 
 

@@ -6,18 +6,18 @@ application or in several; they meet only in topics and tables.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tillstream import schemas
 from tillstream.functions import codec
-from tillstream.operators import dau, dims, dwd, dws, ingest, ods
+from tillstream.operators import dau, dims, dwd, ingest, ods
 from tillstream.sinks import tables as sink_tables, topics as sink_topics
 from tillstream.sources import streams
 from tillstream.sources.tables import read_dim
-from tillstream.streaming import runtime, state
+from tillstream.streaming import pairs, runtime, state
 
 DIMENSIONS: dict[str, T.StructType] = {
     "base_province": schemas.PROVINCE, "user_info": schemas.USER_INFO,
@@ -40,8 +40,12 @@ class Site:
     def table(self, name: str) -> str:
         return f"{self.root}/tables/{name}"
 
+    starting_offsets: dict[str, dict[int, int] | str] = field(default_factory=dict)
+
     def read(self, topic: str, group: str | None = None) -> DataFrame:
-        return streams.topic_stream(self.spark, self.topics, topic, group)
+        """A topic, from the offsets that ``starting_offsets`` names for it if a query is new."""
+        return streams.topic_stream(self.spark, self.topics, topic, group,
+                                    self.starting_offsets.get(topic, "latest"))
 
     def run(self, job: str, stream: DataFrame, write, mode: str = "append") -> StreamingQuery:
         return runtime.start(stream, write, f"{self.root}/checkpoints/{job}", mode, self.drain,
@@ -54,12 +58,22 @@ class Site:
         sink_topics.write_topics(batch, self.topics, batch_id, job)
 
     def fold(self, table: str, schema: T.StructType, keys: list[str], batch_id: int,
-             partition: str | None = None, keep=None) -> None:
+             partition: str | None = None, **how) -> None:
         """At the beginning of every so many batches, compact a keyed table, so that reading
         it stays cheap."""
         if self.compact_every and batch_id and batch_id % self.compact_every == 0:
             sink_tables.compact(self.spark, self.table(table), schema, keys, batch_id, partition,
-                                keep)
+                                **how)
+
+    def typed(self, job: str, batch: DataFrame, n: int, schema: T.StructType,
+              required: tuple[str, ...] = ("id",)) -> DataFrame:
+        """Typed rows of a batch of messages; text that is no record, or has no id, goes to the
+        quarantine topic as it came."""
+        marked = codec.parse_marked(batch, schema, required)
+        lost = marked.where("malformed").select(F.lit(ingest.QUARANTINE).alias("topic"),
+                                                F.lit(None).cast("string").alias("key"), "value")
+        self.publish(f"{job}-rejects", lost, n)
+        return marked.where(~F.col("malformed")).select(*schema.names)
 
 
 # ---- app log ------------------------------------------------------------------------------
@@ -80,18 +94,16 @@ def archive_logs(site: Site, folder: str) -> StreamingQuery:
 
 
 def daily_active(site: Site) -> StreamingQuery:
-    """Start logs to the table of first visits, one row per day and device. Row counts before
-    and after the filter are in the query's progress under ``before`` and ``after``."""
+    """Start logs to the table of first visits, one row per day and device, however late a log
+    comes. The number of logs is in the query's progress under ``before``."""
     starts = dau.to_dau_info(site.read(ingest.START, "dau_group"))
     counted = starts.observe("before", F.count(F.lit(1)).alias("rows"))
-    visits = state.first_visit_stream(counted).observe("after", F.count(F.lit(1)).alias("rows"))
-    keys = ["dt", "mid"]
 
     def write(batch: DataFrame, n: int) -> None:
-        site.fold("dau", schemas.DAU_INFO, keys, n, "dt")
-        sink_tables.upsert(batch, site.table("dau"), keys, n, "dt")
+        site.fold("dau", schemas.DAU_INFO, state.VISIT, n, "dt", earliest=state.VISIT_ORDER)
+        state.store_visits(batch, n, site.table("dau"))
 
-    return site.run("daily_active", visits, write, "update")
+    return site.run("daily_active", counted, write)
 
 
 def start_log_rejects(site: Site) -> StreamingQuery:
@@ -104,7 +116,7 @@ def start_log_rejects(site: Site) -> StreamingQuery:
 
 
 def dau_table(site: Site) -> DataFrame:
-    return sink_tables.read_keyed(site.spark, site.table("dau"), schemas.DAU_INFO, ["dt", "mid"])
+    return state.read_visits(site.spark, site.table("dau"))
 
 
 # ---- change log ---------------------------------------------------------------------------
@@ -123,7 +135,7 @@ def dimension(site: Site, name: str) -> StreamingQuery:
 
     def write(batch: DataFrame, n: int) -> None:
         site.fold(name, schema, ["id"], n)
-        sink_tables.upsert(batch, site.table(name), ["id"], n, order=[dims.ARRIVAL])
+        sink_tables.upsert(batch, site.table(name), ["id"], n, order=dims.ARRIVAL)
 
     return site.run(f"dim_{name}", rows, write)
 
@@ -137,11 +149,12 @@ def _dim(site: Site, name: str, batch: DataFrame | None = None, key: str = "id")
 def order_info(site: Site) -> StreamingQuery:
     """Orders with date parts, first-order flag, province and user, to DWD_ORDER_INFO (keyed
     by order id) and the user-state table."""
-    orders = codec.parse_typed(site.read("ODS_ORDER_INFO", "order_info_group"), schemas.ORDER_INFO)
+    orders = site.read("ODS_ORDER_INFO", "order_info_group").select("value")
 
     def write(batch: DataFrame, n: int) -> None:
-        site.fold("user_state", schemas.USER_STATE, ["user_id"], n)
-        arrived = site.staged("order_info_in", dwd.with_create_parts(batch), n)
+        site.fold("user_state", schemas.USER_STATE, ["user_id"], n, slots=state.USER_SLOTS)
+        typed = site.typed("order_info", batch, n, schemas.ORDER_INFO)
+        arrived = site.staged("order_info_in", dwd.with_create_parts(typed), n)
         flagged = state.first_orders(arrived, n, site.table("user_state"))
         rich = dwd.with_user(dwd.with_province(flagged, _dim(site, "base_province")),
                              _dim(site, "user_info", arrived, "user_id"))
@@ -154,11 +167,11 @@ def order_info(site: Site) -> StreamingQuery:
 
 def order_detail(site: Site) -> StreamingQuery:
     """Details with their product attributes to DWD_ORDER_DETAIL."""
-    details = codec.parse_typed(site.read("ODS_ORDER_DETAIL", "order_detail_group"),
-                                schemas.ORDER_DETAIL)
+    details = site.read("ODS_ORDER_DETAIL", "order_detail_group").select("value")
 
     def write(batch: DataFrame, n: int) -> None:
-        arrived = site.staged("order_detail_in", batch, n)
+        typed = site.typed("order_detail", batch, n, schemas.ORDER_DETAIL, ("id", "order_id"))
+        arrived = site.staged("order_detail_in", typed, n)
         rich = dwd.with_sku_dims(arrived, _dim(site, "sku_info", arrived, "sku_id"),
                                  _dim(site, "spu_info"), _dim(site, "base_trademark"),
                                  _dim(site, "base_category3"))
@@ -169,30 +182,33 @@ def order_detail(site: Site) -> StreamingQuery:
 
 # ---- wide orders --------------------------------------------------------------------------
 
+def _pair_store(site: Site) -> pairs.PairStore:
+    return pairs.PairStore(site.spark, site.table("order_wide"), schemas.ORDER_INFO_DWD,
+                           schemas.ORDER_DETAIL)
+
+
 def order_wide(site: Site, join: str = "interval", jdbc: dict[str, str] | None = None,
                **join_options) -> StreamingQuery:
-    """Orders and details to wide rows with apportioned amounts, appended to the order_wide
-    table by day, and to a database table if ``jdbc`` options are given (see
-    ``sinks.tables.jdbc_options``). ``join`` is ``interval`` or ``hop``."""
-    pair = {"interval": state.interval_wide_stream, "hop": state.hop_wide_stream}[join]
-    orders = codec.parse_typed(site.read("DWD_ORDER_INFO", "dws_order_info_group"),
-                               schemas.ORDER_INFO_DWD)
-    details = codec.parse_typed(site.read("DWD_ORDER_DETAIL", "dws_order_detail_group"),
-                                schemas.ORDER_DETAIL)
-    wide = state.dedup_pairs_stream(pair(orders, details, **join_options))
-    sums = site.table("order_sums")
+    """Orders and details to wide rows with apportioned amounts in the order_wide table, whatever
+    order they arrive in, and to a database table if ``jdbc`` options are given (see
+    ``sinks.tables.jdbc_options``): there an amount that changes is a further row. ``join`` is
+    ``interval`` or ``hop``."""
+    find = {"interval": pairs.interval_pairs, "hop": pairs.hop_pairs}[join]
+    store = _pair_store(site)
+    sides = []
+    for topic, group, schema in (
+            ("DWD_ORDER_INFO", "dws_order_info_group", store.orders),
+            ("DWD_ORDER_DETAIL", "dws_order_detail_group", store.details)):
+        sides.append(codec.parse_typed(site.read(topic, group), schema))
 
     def write(batch: DataFrame, n: int) -> None:
-        site.fold("order_sums", dws.RUNNING_SUMS, ["order_id"], n, keep=dws.sums_alive)
-        rows, kept = state.split_batch(site.staged("order_wide_in", batch, n), n, sums)
-        rows = rows.select(*schemas.ORDER_WIDE.names)
-        sink_tables.append_table(rows, site.table("order_wide"), n)
-        state.remember_sums(kept, n, sums)
+        found = find(store, batch, n, **join_options)
+        rows = pairs.settle(store, site.staged("order_wide_found", found, n), n)
         if jdbc is not None:
             sink_tables.append_jdbc(rows, jdbc)
 
-    return site.run("order_wide", wide, write)
+    return site.run("order_wide", pairs.side_by_side(*sides), write)
 
 
 def order_wide_table(site: Site) -> DataFrame:
-    return sink_tables.read_appended(site.spark, site.table("order_wide"), schemas.ORDER_WIDE)
+    return pairs.settled(_pair_store(site))

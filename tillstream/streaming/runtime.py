@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.session import tune
@@ -71,6 +71,13 @@ def finish(query: StreamingQuery, seconds: int | None = None) -> StreamingQuery:
     return query
 
 
+def discard(spark: SparkSession, *folders: str) -> None:
+    """Remove folders of a finished run that its result does not read."""
+    for folder in folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def progress(query: StreamingQuery) -> list[dict]:
     """Per source, where the last batch began and ended, as the checkpoint records it."""
     last = query.lastProgress

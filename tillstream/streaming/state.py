@@ -1,50 +1,37 @@
-"""Stream operators that remember earlier rows.
+"""Stream operators that remember earlier rows, without dropping any.
 
-Two kinds of memory are used, neither of which leaves the JVM:
-
-* what Structured Streaming keeps by itself in the checkpoint: running aggregates, the sides
-  of a stream-stream join, the keys already seen;
-* keyed tables, for decisions that need "what was known before this micro-batch": who has
-  ordered, and how much of an order has been split so far. Their rows carry the number of the
-  batch that wrote them and a batch reads only those of earlier ones, so a replayed batch
-  decides as it did the first time.
+Memory is kept in tables, not behind watermarks, so an answer does not depend on how the input is cut
+into micro-batches or on the order in which rows arrive. A table's rows carry the number of the batch
+that wrote them and a batch reads only those of earlier ones, so a replayed batch decides as it did
+the first time. Pairs of orders and details are in ``pairs``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tillstream import schemas
-from tillstream.functions import codec
-from tillstream.operators import dims, dwd, dws
-from tillstream.operators.keyed import latest_per_key, only_keys
+from tillstream.operators import dau, dims, dwd
+from tillstream.operators.keyed import earliest_per_key
 from tillstream.sinks import tables as sink_tables
 
-# Fixed value: how long a pair is remembered.
-PAIR_TTL = "600 seconds"
+# Folders that user tables are dealt over by a hash of the user.
+USER_SLOTS = 64
 
 
 # ---- first visit of a device -------------------------------------------------------------
 
-def first_visit_stream(starts: DataFrame, late: str = "1 day") -> DataFrame:
-    """Earliest start log so far per (day, device): update mode, for an upsert by both.
+VISIT, VISIT_ORDER = ["dt", "mid"], ["ts"]
 
-    A streaming aggregate reduces rows per task before the shuffle. The state of a day is
-    dropped once the watermark has passed it.
-    """
-    timed = starts.withColumn("_at", F.timestamp_millis("ts")).withWatermark("_at", late)
-    day = F.window("_at", "1 day").alias("_day")
-    rest = ["ts", "uid", "ar", "ch", "vc", "hr", "mi"]
-    best = timed.groupBy(day, "dt", "mid").agg(F.min(F.struct(*rest)).alias("_row"))
-    return best.select(*[F.col("_row")[c].alias(c) if c in rest else F.col(c)
-                         for c in starts.columns])
+
+def store_visits(batch: DataFrame, n: int, table: str) -> None:
+    """Add a micro-batch's earliest start log per (day, device) to the table of visits."""
+    sink_tables.append_table(dau.first_visit(batch), table, n, "dt")
 
 
-def first_arrival_stream(starts: DataFrame, late: str = "1 day") -> DataFrame:
-    """First start log to arrive per (day, device): append mode, each one is emitted once."""
-    timed = starts.withColumn("_at", F.timestamp_millis("ts")).withWatermark("_at", late)
-    dated = timed.withColumn("_day", F.window("_at", "1 day")).drop("_at")
-    return dated.dropDuplicates(["_day", "mid"]).select(*starts.columns)
+def read_visits(spark, table: str) -> DataFrame:
+    """The earliest visit per (day, device) over all batches, late ones included."""
+    return sink_tables.read_keyed(spark, table, schemas.DAU_INFO, VISIT, earliest=VISIT_ORDER)
 
 
 # ---- first order of a user ---------------------------------------------------------------
@@ -53,96 +40,51 @@ def first_orders(batch: DataFrame, batch_id: int, table: str) -> DataFrame:
     """Flag a micro-batch of orders against the user-state table as of before the batch.
     Between batches arrival decides who is first, inside a batch ``create_time``, then ``id``.
 
-    Of the table only the user ids are read, and only those in the batch leave the scan.
+    Of the table only the folders that the batch's users hash to are opened.
     """
-    known = sink_tables.read_batches(batch.sparkSession, table, schemas.USER_STATE, batch_id)
     users = batch.select(F.col("user_id").cast("string").alias("user_id")).distinct()
-    return dwd.first_order_flag(batch, only_keys(known, users, "user_id"))
+    known = sink_tables.read_batches(batch.sparkSession, table, schemas.USER_STATE, batch_id,
+                                     slots=sink_tables.slots_of(users, "user_id", USER_SLOTS))
+    return dwd.first_order_flag(batch, known)
 
 
 def remember_users(flagged: DataFrame, batch_id: int, table: str) -> None:
     """Add the users whose first order the batch holds; all others are in the table already."""
     fresh = dims.user_state_rows(flagged.where(F.col("if_first_order") == "1"))
-    sink_tables.upsert(fresh, table, ["user_id"], batch_id)
-
-
-# ---- pairs of orders and details ---------------------------------------------------------
-
-def _timed(rows: DataFrame, late: str) -> DataFrame:
-    at = F.try_to_timestamp("create_time", F.lit(codec.TIME_FORMAT))
-    return rows.withColumn("event_time", at).withWatermark("event_time", late)
-
-
-def _spread(orders: DataFrame, details: DataFrame, splits: int) -> tuple[DataFrame, DataFrame]:
-    """Cut an order's details into ``splits`` parts and give each part a copy of the order.
-    The cut rides on the join key, as streams have no adaptive re-planning."""
-    copies = orders.withColumn("_split", F.explode(F.sequence(F.lit(0), F.lit(splits - 1))))
-    return copies, details.withColumn("_split", F.pmod(F.xxhash64("id"), F.lit(splits)).cast("int"))
-
-
-def _match(orders: DataFrame, details: DataFrame, seconds: int, splits: int, late: str,
-           also: Column | None = None) -> DataFrame:
-    o, d = _spread(_timed(orders, late), _timed(details, late), splits)
-    span = F.expr(f"interval {int(seconds)} seconds")
-    order_at, detail_at = F.col("o.event_time"), F.col("d.event_time")
-    on = ((F.col("o.id") == F.col("d.order_id")) & (F.col("o._split") == F.col("d._split"))
-          & (detail_at >= order_at - span) & (detail_at <= order_at + span))
-    pairs = o.alias("o").join(d.alias("d"), on if also is None else on & also)
-    # One event time may go on, the order's; the detail's becomes a number.
-    return dws.to_wide(pairs, orders, details, F.col("o.event_time").alias("event_time"),
-                       F.unix_seconds("d.event_time").alias(dws.DETAIL_AT))
-
-
-def interval_wide_stream(orders: DataFrame, details: DataFrame, wait: int = dws.CACHE_WAIT,
-                         splits: int = 2, late: str = PAIR_TTL) -> DataFrame:
-    """Wide rows of pairs at most ``wait`` seconds apart, whichever side came first."""
-    return _match(orders, details, wait, splits, late)
-
-
-def hop_wide_stream(orders: DataFrame, details: DataFrame, window: int = dws.HOP_WINDOW,
-                    slide: int = dws.HOP_SLIDE, splits: int = 2,
-                    late: str = PAIR_TTL) -> DataFrame:
-    """Wide rows of pairs that share a hopping window, each pair once."""
-    together = dws.same_hop_window(F.unix_seconds("o.event_time"), F.unix_seconds("d.event_time"),
-                                   window, slide)
-    return _match(orders, details, window, splits, late, also=together)
-
-
-def full_outer_stream(orders: DataFrame, details: DataFrame, wait: int = dws.CACHE_WAIT,
-                      late: str = PAIR_TTL) -> DataFrame:
-    """Pairs at once, lonely rows when the watermark says nothing can match them any more.
-
-    An order cannot be copied to several parts here, as each copy could turn out lonely; a hot
-    order's details of the last ``wait`` seconds therefore stay in one partition. The wide-row
-    jobs use the inner joins above."""
-    o, d = _timed(orders, late), _timed(details, late)
-    span = F.expr(f"interval {int(wait)} seconds")
-    order_at, detail_at = F.col("o.event_time"), F.col("d.event_time")
-    on = ((F.col("o.id") == F.col("d.order_id"))
-          & (detail_at >= order_at - span) & (detail_at <= order_at + span))
-    pairs = o.alias("o").join(d.alias("d"), on, "full")
-    side = (F.when(F.col("o.id").isNull(), "detail").when(F.col("d.id").isNull(), "order")
-             .otherwise("both"))
-    return dws.to_wide(pairs, orders, details, side.alias("side"))
-
-
-def dedup_pairs_stream(wide: DataFrame) -> DataFrame:
-    """Each (order, detail) once; repeats are recognised for as long as the watermark of
-    ``wide`` lags behind."""
-    return wide.dropDuplicatesWithinWatermark(["order_id", "order_detail_id"])
-
-
-# ---- splitting the paid amount -----------------------------------------------------------
-
-def split_batch(wide: DataFrame, batch_id: int, table: str) -> tuple[DataFrame, DataFrame]:
-    """Apportion a micro-batch of wide rows, going on from the running sums in ``table``.
-    Returns the finished rows and the sums to remember (see ``dws.apportion_onto``)."""
-    stored = sink_tables.read_batches(wide.sparkSession, table, dws.RUNNING_SUMS, batch_id,
-                                      with_batch=True)
-    orders = wide.select("order_id").distinct()
-    recent = latest_per_key(only_keys(stored, orders, "order_id"), ["order_id"], ["batch"])
-    return dws.apportion_onto(wide, recent.drop("batch"))
-
-
-def remember_sums(sums: DataFrame, batch_id: int, table: str) -> None:
-    sink_tables.upsert(sums, table, ["order_id"], batch_id)
+    sink_tables.upsert(fresh, table, ["user_id"], batch_id, slots=USER_SLOTS)
+
+
+FIRSTS = T.StructType([T.StructField("user_id", T.LongType()),
+                       T.StructField("create_time", T.StringType()), T.StructField("id", T.LongType())])
+FLAGS = T.StructType([T.StructField("id", T.LongType()), T.StructField("user_id", T.LongType()),
+                      T.StructField("if_first_order", T.StringType())])
+
+
+def flag_by_time(batch: DataFrame, n: int, firsts: str, flags: str) -> None:
+    """Flag a micro-batch by the time of the orders whatever order they arrive in, and take the flag
+    back from an order that a later batch shows not to have been the first.
+
+    ``firsts`` holds the earliest order known of each user (an id of null: has ordered before all
+    of them), ``flags`` the current flag of every order. Users without id are nobody's first."""
+    spark = batch.sparkSession
+    orders = batch.select("id", "user_id", "create_time")
+    users = orders.where(F.col("user_id").isNotNull()).select("user_id").distinct()
+    known = sink_tables.read_batches(spark, firsts, FIRSTS, n,
+                                     slots=sink_tables.slots_of(users, "user_id", USER_SLOTS))
+    known = (earliest_per_key(known.join(users, "user_id", "left_semi"), ["user_id"],
+                              ["create_time", "id"])
+             .select(F.col("user_id").alias("_user"), F.col("create_time").alias("_time"),
+                     F.col("id").alias("_id")))
+    own = earliest_per_key(orders.where(F.col("user_id").isNotNull() & F.col("id").isNotNull()),
+                           ["user_id"], ["create_time", "id"])
+    met = own.join(known, F.col("user_id") == F.col("_user"), "left")
+    first = F.col("_user").isNull() | (F.struct("create_time", "id") < F.struct("_time", "_id"))
+    fresh = met.where(first)
+    sink_tables.upsert(fresh.select(*FIRSTS.names), firsts, ["user_id"], n, slots=USER_SLOTS)
+    now = sink_tables.read_batch(spark, firsts, FIRSTS, n).select(F.col("id").alias("_first"))
+    flagged = (orders.dropDuplicates(["id"]).join(now, F.col("id") == F.col("_first"), "left")
+               .select("id", "user_id", F.when(F.col("_first").isNotNull(), "1").otherwise("0")
+                       .alias("if_first_order")))
+    back = (fresh.where(F.col("_id").isNotNull() & (F.col("_id") != F.col("id")))
+            .select(F.col("_id").alias("id"), "user_id", F.lit("0").alias("if_first_order")))
+    sink_tables.append_table(flagged.unionByName(back), flags, n, None)
