@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# No broadcast hint appears anywhere in this package. Catalyst compares a side's estimated
+# No warehouse operator carries a broadcast hint. Catalyst compares a side's estimated
 # size with autoBroadcastJoinThreshold and AQE compares its measured size again at run time;
 # beyond the threshold the join shuffles, and AQE splits the partitions of hot keys.
 SETTINGS = {
@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # What Python workers are handed at once; the rest of an executor's memory is the JVM's.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     # Split a hot partition even where that costs one more exchange behind the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }

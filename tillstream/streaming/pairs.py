@@ -85,17 +85,26 @@ def _arrive(store: PairStore, batch: DataFrame, n: int, side: str) -> tuple[Data
     whole = F.col(BUCKET).isNotNull()
     for key in keys:
         whole = whole & F.col(key).isNotNull()
-    lost = rows.where(~whole).drop("event_time", BUCKET)
-    sink_tables.append_table(lost.select(F.lit(side).alias("side"), codec.encode(lost).alias("row")),
-                             store.table(f"undated-{side}"), n, None)
-    some = rows.where(whole).dropDuplicates(keys)
-    buckets = _buckets(some)
+    # One pass over the keys tells which folders are touched, whether a key comes twice, and whether
+    # anything is lost; wide rows are only sorted out where that is so.
+    seen = (rows.select(*keys, F.when(whole, F.col(BUCKET)).alias(BUCKET))
+            .groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("n"))
+            .groupBy(BUCKET).agg(F.max("n").alias("most")).collect())
+    buckets = [r[BUCKET] for r in seen if r[BUCKET] is not None]
+    if len(buckets) < len(seen):
+        lost = rows.where(~whole).drop("event_time", BUCKET)
+        sink_tables.append_table(
+            lost.select(F.lit(side).alias("side"), codec.encode(lost).alias("row")),
+            store.table(f"undated-{side}"), n, None)
+    fresh = rows.where(whole)
+    if any(r["most"] > 1 for r in seen if r[BUCKET] is not None):
+        fresh = fresh.dropDuplicates(keys)
     # A row sent again has the time it had, so its folder shows whether it is known.
-    seen = store.known(side, n, buckets).select(*[F.col(k).alias(f"_{k}") for k in keys])
+    known = store.known(side, n, buckets).select(*[F.col(k).alias(f"_{k}") for k in keys])
     again = same_key(F.col(keys[-1]), F.col(f"_{keys[-1]}"))
     for key in keys[:-1]:
         again = again & (F.col(key) == F.col(f"_{key}"))
-    fresh = some.join(seen, again, "left_anti")
+    fresh = fresh.join(known, again, "left_anti")
     sink_tables.append_table(fresh, store.table(side), n, BUCKET)
     return (sink_tables.read_batch(store.spark, store.table(side), store.schema(side), n), buckets)
 
