@@ -12,12 +12,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillstream.llm import bpe, decontaminate, secret_scan, simhash, toxicity
-from tillstream.session import run_dir
+from tillstream.session import run_dir, tune
 
 
 def clean_of_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents not predicted toxic, by a scorer learnt from the labels."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labels = tune(spark).read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.drop_toxic(docs, toxicity.fit(docs, labels))
 
 
@@ -50,7 +50,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = tune(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = run_dir(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)

@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillstream.llm import (bpe, decontaminate, language, secret_scan, sharding, simhash,
                             token_counts, toxicity, url_rules, vectors)
+from tillstream.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
