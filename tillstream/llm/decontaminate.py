@@ -36,8 +36,8 @@ from tillstream.llm.texts import ASCII_LOWER, steps, utf8, word_hashes, word_spa
 from tillstream.session import run_dir
 
 WINDOW = 13
-# Words of benchmark searched in one pass; some 100 bytes each travel with a task.
-SLICE_WORDS = 500_000
+# Words of benchmark searched in one pass; a window of each, about 1 KB, travels with a task.
+SLICE_WORDS = 50_000
 _BLOCK = "docs array<struct<id:{0},words:int>>, terms array<int>, counts array<int>, places array<int>"
 
 
