@@ -87,6 +87,21 @@ def test_counting_takes_better_continuations_first():
     assert merges.count(["abcd", "ababcd", "", "zz", "é"]).tolist() == [2, 3, 0, 2, 2]
 
 
+def test_long_texts_are_taken_in_parts(monkeypatch, tricky, tik):
+    import regex
+    from tillstream.llm import recent
+    text = " ".join(tricky)
+    for module in (bpe, token_counts):
+        monkeypatch.setattr(module, "LONG_TEXT", 1000)
+    monkeypatch.setattr(recent, "PART", 333)
+    packed = bpe.encode_texts([text, "short"], RANKS, regex.compile(public_tokenizers.PATTERN))
+    assert [np.frombuffer(p, "<u4").tolist() for p in packed] == [
+        tik.encode_ordinary(text), tik.encode_ordinary("short")]
+    model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    assert token_counts.count_texts([text, "short"], MODEL) == [len(model.encode(t))
+                                                                for t in (text, "short")]
+
+
 def test_recent_keeps_what_recurs():
     asked = []
     memo = Recent(lambda keys: asked.extend(keys) or [k * 2 for k in keys], room=2)

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -30,7 +30,7 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame
 
-from tillstream.llm.recent import Recent
+from tillstream.llm.recent import LONG_TEXT, Recent
 from tillstream.llm.texts import steps, strings
 
 _MEMO_ROOM = 1_000_000
@@ -157,21 +157,26 @@ def later_code_points() -> tuple[regex.Pattern, dict[int, str]]:
     return regex.compile(f"[{spans}]" if spans else r"(?!)"), {ord(c): "\uffff" for c in later}
 
 
-def split(text: str, splitter: regex.Pattern) -> list[str]:
-    """The pieces whose bytes are merged."""
+def split(text: str, splitter: regex.Pattern) -> Iterable[str]:
+    """The pieces whose bytes are merged; those of a long text one by one."""
     try:
         text.encode("latin-1")  # a quick way to see that nothing later is in it
     except UnicodeEncodeError:
         later, table = later_code_points()
         if later.search(text):
             masked = text.translate(table)
-            return [text[m.start():m.end()] for m in splitter.finditer(masked)]
+            return (text[m.start():m.end()] for m in splitter.finditer(masked))
+    if len(text) >= LONG_TEXT:
+        return (m[0] for m in splitter.finditer(text))
     return splitter.findall(text)
 
 
 def encode_texts(texts: list[str], rank_file: str, splitter: regex.Pattern) -> list[bytes]:
     """Ids of whole texts, packed as little-endian unsigned 32-bit integers."""
-    return list(map(b"".join, _memo_of(rank_file).rows([split(t, splitter) for t in texts])))
+    memo = _memo_of(rank_file)
+    if any(len(text) >= LONG_TEXT for text in texts):
+        return [b"".join(map(b"".join, memo.parts(split(text, splitter)))) for text in texts]
+    return list(map(b"".join, memo.rows([list(split(text, splitter)) for text in texts])))
 
 
 def encode(docs: DataFrame, rank_file: str, pattern: str, id_column: str = "doc_id",

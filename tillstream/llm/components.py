@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tillstream.operators.keyed import same_key
 from tillstream.session import run_dir
+from tillstream.streaming.runtime import discard
 
 
 def spanning_forest(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -48,11 +49,11 @@ def _thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"node": node, "least": least})
 
 
-def _stored(links: DataFrame) -> DataFrame:
-    """The links as a table in the shared folder."""
+def _stored(links: DataFrame) -> tuple[DataFrame, str]:
+    """The links as a table in the shared folder, and where it is."""
     spark, path = links.sparkSession, run_dir(links.sparkSession, "links")
     links.write.parquet(path)
-    return spark.read.schema(links.schema).parquet(path)
+    return spark.read.schema(links.schema).parquet(path), path
 
 
 def _to_least(links: DataFrame, both_ways: bool) -> DataFrame:
@@ -74,13 +75,14 @@ def _to_least(links: DataFrame, both_ways: bool) -> DataFrame:
 def components(links: DataFrame, left: str, right: str) -> DataFrame:
     """``node`` and ``least``, the smallest node reachable from it, for each node with a link to
     another one. Columns are longs without nulls."""
-    now = _stored(links.where(F.col(left) != F.col(right))
+    now, path = _stored(links.where(F.col(left) != F.col(right))
                   .select(F.greatest(left, right).alias("node"), F.least(left, right).alias("least"))
                   .mapInArrow(_thinned, "node long, least long").distinct())
     mark = None
     while True:
-        stars = _to_least(_to_least(now, both_ways=True), both_ways=False)
-        now = _stored(stars)
+        before = path
+        now, path = _stored(_to_least(_to_least(now, both_ways=True), both_ways=False))
+        discard(links.sparkSession, before)  # a round reads nothing but the last round's table
         # Sums of hashes tell whether the set of links is still the same.
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("node", "least").cast("decimal(38,0)")),
                        F.sum(F.xxhash64("least", "node").cast("decimal(38,0)"))).first()

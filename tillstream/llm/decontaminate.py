@@ -30,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tillstream.llm.names import fresh
 from tillstream.llm.texts import ASCII_LOWER, steps, utf8, word_hashes, word_spans
@@ -49,6 +50,15 @@ def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return word_hashes(lowered, starts, ends), firsts
 
 
+def _known(hashes: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which words are in the vocabulary, and their numbers there."""
+    if not len(vocabulary):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    term = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
+    known = np.flatnonzero(vocabulary[term] == hashes)
+    return known, term[known]
+
+
 class Phrases:
     """Benchmark windows over numbered terms. ``items``: (item id, its words' hashes)."""
 
@@ -93,15 +103,12 @@ def build_index(docs: DataFrame, vocabulary: np.ndarray, path: str, gap: int = W
             hashes, firsts = _words(step["text"])
             words = np.diff(firsts)
             shift = np.repeat(np.arange(len(words)) * gap, words)
-            term = np.searchsorted(vocabulary, hashes)
-            term[term == len(vocabulary)] = 0
-            known = np.flatnonzero(vocabulary[term] == hashes) if len(vocabulary) else []
-            term = term[known] if len(vocabulary) else np.empty(0, np.int64)
+            known, term = _known(hashes, vocabulary)
+            # Narrow numbers are sorted by radix; the order keeps the positions of a term ascending.
             narrow = term.astype(np.uint16 if len(vocabulary) <= 1 << 16 else np.int32)
             order = np.argsort(narrow, kind="stable")
-            places = (np.asarray(known, np.int64) + shift[known] if len(term)
-                      else np.empty(0, np.int64))[order].astype(np.int32)
-            counts = np.bincount(term, minlength=0)
+            places = (known + shift[known])[order].astype(np.int32)
+            counts = np.bincount(term)
             present = np.flatnonzero(counts)
             listed = pa.StructArray.from_arrays(
                 [step["id"], pa.array(words, pa.int32())], ["id", "words"])
@@ -236,7 +243,6 @@ def phrase_matches(index: DataFrame, phrases: Phrases, frequency: np.ndarray,
 
 
 def _arrow_type(index: DataFrame) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
     return to_arrow_type(index.schema["docs"].dataType.elementType["id"].dataType)
 
 

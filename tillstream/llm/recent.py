@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from itertools import chain
+from collections.abc import Callable, Iterable, Iterator
+from itertools import batched, chain
 from typing import Any
 
+# Keys held at once by ``Recent.parts``, and the length from which a text is taken that way.
+PART, LONG_TEXT = 500_000, 4_000_000
+
 
 class Recent:
     """Remembers values between batches in two generations of some ``room`` keys: a full young
@@ -16,6 +19,11 @@ class Recent:
         self._compute, self._room = compute, room
         self._young, self._old = {}, {}
 
+    def parts(self, keys: Iterable) -> Iterator[map]:
+        """The values of keys too many to hold at once, some at a time."""
+        for some in batched(keys, PART):
+            yield self.rows([some])[0]
+
     def rows(self, keyed: list[list]) -> list[map]:
         """For each list of keys, an iterator over their values."""
         if len(self._young) >= self._room:

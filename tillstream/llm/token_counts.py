@@ -19,7 +19,7 @@ or null ids give one output row each; other columns are ignored.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -27,7 +27,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from tillstream.llm.recent import Recent
+from tillstream.llm.recent import LONG_TEXT, Recent
 from tillstream.llm.texts import steps, strings, utf8
 
 BLANK = "▁"
@@ -118,9 +118,14 @@ class RankMerges:
             symbols, weights, owner = symbols[open_], weights[open_], owner[open_]
         return counts
 
-    def pre_tokens(self, text: str) -> list[str]:
+    def pre_tokens(self, text: str) -> Iterable[str]:
+        """The pre-tokens of a text; those of a long one come one by one."""
         marked = text.replace(" ", BLANK)
-        return self._split.findall(BLANK + marked if self.add_prefix and marked else marked)
+        if self.add_prefix and marked:
+            marked = BLANK + marked
+        if len(text) >= LONG_TEXT:
+            return (m[0] for m in self._split.finditer(marked))
+        return self._split.findall(marked)
 
 
 @lru_cache(maxsize=4)
@@ -140,8 +145,10 @@ def _memo_of(model_file: str) -> Recent:
 
 def count_texts(texts: list[str], model_file: str) -> list[int]:
     """Tokens of each text."""
-    pieces = list(map(merges_of(model_file).pre_tokens, texts))
-    return list(map(sum, _memo_of(model_file).rows(pieces)))
+    memo, cut = _memo_of(model_file), merges_of(model_file).pre_tokens
+    if any(len(text) >= LONG_TEXT for text in texts):
+        return [sum(map(sum, memo.parts(cut(text)))) for text in texts]
+    return list(map(sum, memo.rows(list(map(cut, texts)))))
 
 
 def token_counts(docs: DataFrame, model_file: str, limit: int = 4096, id_column: str = "doc_id",
