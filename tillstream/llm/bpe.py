@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -104,7 +105,7 @@ class Merges:
         whole = self._ranks.get(piece)
         if whole is not None:
             return [whole]
-        size, length, shorter = len(piece), self._length, self._shorter
+        size, length, shorter, memo = len(piece), self._length, self._shorter, self._memo
         longest = [-1] * (size + 1)
         for end, token in self._trie.iter(piece.decode("latin-1")):
             longest[end + 1 - length[token]] = token  # later, longer matches replace shorter ones
@@ -112,8 +113,13 @@ class Merges:
         while at < size:
             while token >= 0:
                 end = at + length[token]
-                if not dead[end] and (not ids or self.fit(ids[-1], token)):
-                    break
+                if not dead[end]:
+                    if not ids:
+                        break
+                    pair = ids[-1], token
+                    fits = memo.get(pair)
+                    if self.fit(*pair) if fits is None else fits:
+                        break
                 token = shorter[token]
             if token >= 0:
                 ids.append(token)
@@ -138,8 +144,8 @@ def merges_of(rank_file: str) -> Merges:
 @lru_cache(maxsize=4)
 def _memo_of(rank_file: str) -> Recent:
     merges = merges_of(rank_file)
-    return Recent(lambda pieces: [np.array(merges.encode(piece.encode()), "<u4").tobytes()
-                                  for piece in pieces])
+    return Recent(lambda pieces: [struct.pack(f"<{len(ids)}I", *ids) for ids in
+                                  (merges.encode(piece.encode()) for piece in pieces)])
 
 
 @lru_cache(maxsize=1)

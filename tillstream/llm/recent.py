@@ -14,7 +14,7 @@ class Recent:
     """Remembers values between batches in two generations of some ``room`` keys: a full young
     generation becomes the old one, and what is used again returns to the young one."""
 
-    def __init__(self, compute: Callable[[list], Iterable[Any]], room: int = 120_000):
+    def __init__(self, compute: Callable[[list], Iterable[Any]], room: int = 200_000):
         """``compute`` gives the values of a list of distinct keys, in their order."""
         self._compute, self._room = compute, room
         self._young, self._old = {}, {}
