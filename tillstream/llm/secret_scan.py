@@ -39,6 +39,11 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _MIN_VALUE, _MIN_ACCESS = 12, 18
 
+# Header segments of signed tokens, from the first place that could open a JSON object ({" or { and
+# white space), and the two segments behind. A segment is passed over as a whole, so long ones cost no
+# more than their length.
+_HEADER = re.compile(r"e[yw][A-Za-z0-9+/_-]*+(?=(\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++={0,2})?)")
+_OPENING = re.compile(r"e[yw]")
 # Runs worth decoding, and armoured blocks whose body runs over several lines.
 _RUN = re.compile(r"[A-Za-z0-9+/_-]{24,}(?:\.[A-Za-z0-9_-]+){0,2}={0,2}")
 _ARMOUR = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----([A-Za-z0-9+/=\s]+)-----END ")
@@ -155,13 +160,32 @@ def is_signed_token(run: str) -> bool:
     return bool(header) and isinstance(header.get("alg"), str) and _json_object(parts[1]) is not None
 
 
+def token_spans(text: str) -> list[Span]:
+    """Signed tokens, wherever in their first segment the header begins."""
+    found = []
+    for m in _HEADER.finditer(text):
+        segment = m[0]
+        # A JSON object ends in }; the last bytes depend only on where groups of four begin.
+        ends = [None] * 4
+        for place in _OPENING.finditer(segment) if m[1] else ():
+            start = place.start()
+            if ends[start % 4] is None:
+                tail = segment[max(start, start + (len(segment) - start - 8) // 4 * 4):]
+                last = unbase64(tail)
+                ends[start % 4] = last is not None and last.rstrip()[-1:] in (b"}", b"")
+            if ends[start % 4] and is_signed_token(segment[start:] + m[1]):
+                found.append(("jwt", m.start() + start, m.end(1)))
+                break
+    return found
+
+
 def _is_key(data: bytes | None) -> bool:
     return bool(data) and (is_der_key(data) or is_ssh_key(data))
 
 
 def confirmed_spans(text: str) -> list[Span]:
     """Spans of candidates whose decoded structure parses."""
-    found = []
+    found = token_spans(text)
     for m in _ARMOUR.finditer(text):
         if _is_key(unbase64("".join(m[1].split()))):
             found.append(("key", m.start(1), m.end(1)))
@@ -177,7 +201,7 @@ def confirmed_spans(text: str) -> list[Span]:
         elif body[0] in "Mb" and _is_key(unbase64(body)):  # a SEQUENCE or the OpenSSH magic
             whole = run if len(body) + len(tail) == len(run) else body
             found.append(("key", m.start(), m.start() + len(whole)))
-    return found
+    return list(dict.fromkeys(found))
 
 
 def in_order(spans: list[Span]) -> list[Span]:
