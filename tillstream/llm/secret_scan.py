@@ -2,9 +2,11 @@
 
 Three base patterns report by shape alone. Beyond them, every run that could be base64, base64url or
 hex is decoded and reported only if its bytes parse as what they claim to be: nested DER lengths
-that fill the whole value in the form of a private key (PKCS#1, PKCS#8, SEC1), the nested lengths
+that fill the whole value in the form of a private key (PKCS#1, PKCS#8, SEC1, DSA), the nested lengths
 of an OpenSSH private key, or a signed token whose header and payload are JSON objects and whose
-header names an algorithm. Random text does not parse, so these reports need no score.
+header names an algorithm. A run is tried at every place where one of these could begin, since
+paths, names and prefixes (/ _ - + 0x) run into it, and an armoured body may hold its line ends as
+escapes. Random text does not parse, so these reports need no score.
 
 A span is (kind, start, end) in code points, end exclusive. Kinds, in the order used for equal
 starts: ``assign``, ``access``, ``hex`` (base), ``jwt``, ``key`` (confirmed).
@@ -46,8 +48,13 @@ _HEADER = re.compile(r"e[yw][A-Za-z0-9+/_-]*+(?=(\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-
 _OPENING = re.compile(r"e[yw]")
 # Runs worth decoding, and armoured blocks whose body runs over several lines.
 _RUN = re.compile(r"[A-Za-z0-9+/_-]{24,}(?:\.[A-Za-z0-9_-]+){0,2}={0,2}")
-_ARMOUR = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----([A-Za-z0-9+/=\s]+)-----END ")
-_HEX_DIGITS = re.compile(r"(?:[0-9a-fA-F]{2}){24,}")
+_ARMOUR = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----([A-Za-z0-9+/=\s\\]+)-----END ")
+# What stands between lines of an armoured body: white space, or its escape in JSON and the like.
+_BREAKS = re.compile(r"\s+|\\+[nrt]|\\+(?=/)")
+_HEX_DIGITS = re.compile(r"[0-9a-fA-F]{48,}")
+# Where a key may begin inside a run: a SEQUENCE of 16 bytes or more, or the OpenSSH magic.
+_KEY_BASE64 = re.compile(r"M[B-I]|b3BlbnNzaC1rZXkt")
+_KEY_HEX = re.compile(r"30(?=[1-8])|6[fF]70656[eE]7373682[dD]6[bB]65792[dD]")
 
 Span = tuple[str, int, int]
 
@@ -99,6 +106,8 @@ def is_der_key(data: bytes) -> bool:
     tags = [tag for tag, _ in inner]
     if len(tags) >= 9 and set(tags[:9]) == {_INTEGER}:
         return True  # PKCS#1: version, modulus, exponents, primes, coefficients
+    if tags == [_INTEGER] * 6:
+        return inner[0][1] == b"\x00"  # DSA: version, p, q, g, public and private value
     if tags[1:3] == [_SEQUENCE, _OCTETS]:
         algorithm = der_items(inner[1][1])
         return bool(algorithm) and algorithm[0][0] == _OID  # PKCS#8
@@ -108,10 +117,11 @@ def is_der_key(data: bytes) -> bool:
 _SSH_MAGIC = b"openssh-key-v1\x00"
 
 
-def is_ssh_key(data: bytes) -> bool:
-    """An OpenSSH private key: cipher, KDF, options, key count, public keys, private part."""
+def ssh_key_size(data: bytes) -> int:
+    """Bytes of the OpenSSH private key that ``data`` begins with (cipher, KDF, options, key count,
+    public keys, private part), or -1."""
     if not data.startswith(_SSH_MAGIC):
-        return False
+        return -1
 
     def string(at: int) -> int:
         end = at + 4 + int.from_bytes(data[at:at + 4])
@@ -121,13 +131,17 @@ def is_ssh_key(data: bytes) -> bool:
     for _ in range(3):
         at = string(at) if at >= 0 else -1
     if at < 0 or at + 4 > len(data):
-        return False
+        return -1
     keys, at = int.from_bytes(data[at:at + 4]), at + 4
     if not 1 <= keys <= 16:
-        return False
+        return -1
     for _ in range(keys + 1):
         at = string(at) if at >= 0 else -1
-    return at == len(data)
+    return at
+
+
+def is_ssh_key(data: bytes) -> bool:
+    return ssh_key_size(data) == len(data) > 0
 
 
 def unbase64(run: str) -> bytes | None:
@@ -183,24 +197,72 @@ def _is_key(data: bytes | None) -> bool:
     return bool(data) and (is_der_key(data) or is_ssh_key(data))
 
 
+def _der_size(head: bytes | None) -> int:
+    """Bytes of the SEQUENCE that begins with ``head`` (eight bytes or more), by its length; -1 if
+    it does not open with an INTEGER of one byte, as every key does."""
+    if not head or len(head) < 8 or head[0] != _SEQUENCE:
+        return -1
+    width = head[1] & 0x7F if head[1] & 0x80 else 0
+    if width > 4 or head[1] == 0x80 or head[2 + width:4 + width] != b"\x02\x01":
+        return -1
+    return 2 + width + (int.from_bytes(head[2:2 + width]) if width else head[1])
+
+
+def _base64_keys(body: str) -> Iterator[tuple[int, int]]:
+    """Keys in a run of base64 or base64url, from any place in it to its end or to a character that
+    may also be a separator (/ _ - +). The length at the place says where a key ends."""
+    at = 0
+    for m in _KEY_BASE64.finditer(body):
+        start = m.start()
+        if start < at:
+            continue
+        if body[start] == "M":
+            size = _der_size(unbase64(body[start:start + 12]))
+        else:
+            left = len(body) - start
+            size = ssh_key_size(unbase64(body[start:start + left - (left % 4 == 1)]) or b"")
+        end = start + (4 * size + 2) // 3
+        if size < 0 or end > len(body) or end < len(body) and body[end] not in "/_-+":
+            continue
+        if _is_key(unbase64(body[start:end])):
+            yield start, end
+            at = end
+
+
+def _hex_keys(body: str) -> Iterator[tuple[int, int]]:
+    """Keys in a stretch of hex digits, from any place in it to its end."""
+    for m in _KEY_HEX.finditer(body):
+        start = m.start()
+        if (len(body) - start) % 2 or body[start] == "3" and _der_size(
+                bytes.fromhex(body[start:start + 16])) * 2 != len(body) - start:
+            continue
+        if _is_key(bytes.fromhex(body[start:])):
+            yield start, len(body)
+            return
+
+
 def confirmed_spans(text: str) -> list[Span]:
     """Spans of candidates whose decoded structure parses."""
     found = token_spans(text)
     for m in _ARMOUR.finditer(text):
-        if _is_key(unbase64("".join(m[1].split()))):
+        if _is_key(unbase64(_BREAKS.sub("", m[1]))):
             found.append(("key", m.start(1), m.end(1)))
     for m in _RUN.finditer(text):
         run = m[0]
         if is_signed_token(run):
             found.append(("jwt", m.start(), m.end()))
             continue
-        body, tail = run.split(".")[0], run[len(run.rstrip("=")):]
-        hexadecimal = _HEX_DIGITS.fullmatch(body)
-        if hexadecimal and _is_key(bytes.fromhex(body)):
-            found.append(("key", m.start(), m.start() + len(body)))
-        elif body[0] in "Mb" and _is_key(unbase64(body)):  # a SEQUENCE or the OpenSSH magic
-            whole = run if len(body) + len(tail) == len(run) else body
-            found.append(("key", m.start(), m.start() + len(whole)))
+        bare = run.rstrip("=")
+        at = m.start()
+        for body in bare.split("."):
+            for h in _HEX_DIGITS.finditer(body):
+                found += [("key", at + h.start() + start, at + h.start() + end)
+                          for start, end in _hex_keys(h[0])]
+            for start, end in _base64_keys(body):
+                # Padding belongs to a key that ends the run.
+                whole = at + end == m.start() + len(bare)
+                found.append(("key", at + start, m.end() if whole else at + end))
+            at += len(body) + 1
     return list(dict.fromkeys(found))
 
 
