@@ -79,6 +79,21 @@ def test_several_passes_give_the_same(make_docs, bench, suspects):
     assert sorted(map(tuple, got.collect()), key=by_id) == wanted
 
 
+@pytest.mark.parametrize("equal_rows", [2, 4096])
+def test_several_passes_keep_every_row(make_docs, bench, suspects, monkeypatch, equal_rows):
+    monkeypatch.setattr(decontaminate, "EQUAL_ROWS", equal_rows)
+    items, table = bench
+    passage = " ".join(f"w{i}" for i in range(30))
+    rows = suspects + [(20, passage), (20, "other " * 900), (20, None), (None, passage),
+                       (None, "tiny item here"), *[(None, passage)] * 3, *[(24, suspects[-6][1])] * 4]
+    got = decontaminate.contamination(decontaminate.matches(make_docs(rows), table, slice_words=20))
+    assert got.columns == ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    wanted = sorted(plain_contamination(rows, items), key=by_id)
+    assert sorted(map(tuple, got.collect()), key=by_id) == wanted
+    kept = decontaminate.drop_contaminated(make_docs(rows), table, slice_words=20)
+    assert kept.count() == sum(not w[5] for w in wanted)
+
+
 def test_contamination_of_nothing(make_docs, bench, suspects):
     _, table = bench
     none = decontaminate.contamination(decontaminate.matches(make_docs(suspects), table.limit(0)))

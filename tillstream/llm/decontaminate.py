@@ -15,17 +15,19 @@ intersects ranges instead of single positions.
 
 The phrases travel with the tasks. They come from the benchmark, whose size is checked:
 ``slice_words`` words are searched at a time, and a larger benchmark is searched in several passes
-whose matches are merged per document.
+whose matches are merged per row: rows are told apart by id and digest of the text, and rows equal in
+both are counted and written out again as often.
 
 Edge rows: a null text has no words; documents without words have no hits and are clean; null or
-repeated ids give one output row per input row while one pass suffices, and one per id with several
-passes; benchmark items that are null or without words match nothing; an empty benchmark leaves
+repeated ids give one output row per input row, whatever the number of passes; benchmark items that are null or without words match nothing; an empty benchmark leaves
 every document clean. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,8 @@ from tillstream.session import run_dir
 WINDOW = 13
 # Words of benchmark searched in one pass; a window of each, about 1 KB, travels with a task.
 SLICE_WORDS = 50_000
+# Equal rows that one task writes out again after several passes.
+EQUAL_ROWS = 4096
 _BLOCK = "docs array<struct<id:{0},words:int>>, terms array<int>, counts array<int>, places array<int>"
 
 
@@ -269,7 +273,7 @@ def proximity_matches(index: DataFrame, phrases: Phrases, frequency: np.ndarray,
     return index.mapInArrow(run, f"id {id_type}, item string")
 
 
-_MERGED = """aggregate(array_sort(flatten(collect_list(hits))),
+_MERGED = """aggregate(array_sort(flatten(collect_set(hits))),
   cast(array() as array<struct<start:int,end:int>>),
   (kept, h) -> if(size(kept) > 0 and element_at(kept, -1).end >= h.start,
     concat(slice(kept, 1, size(kept) - 1), array(named_struct('start', element_at(kept, -1).start,
@@ -282,20 +286,39 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
             width: int = WINDOW, slice_words: int = SLICE_WORDS) -> DataFrame:
     """Exact matches of all windows of ``width`` words of the benchmark in all documents, as
     ``phrase_matches`` gives them, with the id column under its own name."""
-    parts = []
-    for phrases in phrases_of(benchmark, item_id, item_text, width, slice_words):
-        index = build_index(docs, phrases.vocabulary, run_dir(docs.sparkSession, "postings"), width,
-                            id_column, text_column)
-        frequency = document_frequencies(index, len(phrases.vocabulary))
-        parts.append(phrase_matches(index, phrases, frequency, width))
-    found = parts[0]
-    if len(parts) > 1:
-        for part in parts[1:]:
-            found = found.unionByName(part)
-        found = found.groupBy("id").agg(
-            F.max("n_words").alias("n_words"), F.expr(_MERGED).alias("hits"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    return found.withColumnRenamed("id", id_column)
+    slices = phrases_of(benchmark, item_id, item_text, width, slice_words)
+    first, second = next(slices), next(slices, None)
+    if second is None:
+        found = _one_pass(docs, first, width, id_column, text_column)
+        return found.withColumnRenamed("id", id_column)
+    digest = F.unhex(F.sha2(F.col(text_column), 256))
+    rows = docs.select(F.struct(F.col(id_column).alias("id"), digest.alias("digest")).alias("id"),
+                       F.col(text_column).alias("text"))
+    parts = [_one_pass(rows, phrases, width, "id", "text")
+             for phrases in chain([first, second], slices)]
+    return _merged(parts).withColumnRenamed("id", id_column)
+
+
+def _one_pass(docs: DataFrame, phrases: Phrases, width: int, id_column: str,
+              text_column: str) -> DataFrame:
+    index = build_index(docs, phrases.vocabulary, run_dir(docs.sparkSession, "postings"), width,
+                        id_column, text_column)
+    return phrase_matches(index, phrases, document_frequencies(index, len(phrases.vocabulary)), width)
+
+
+def _merged(parts: list[DataFrame]) -> DataFrame:
+    """Matches of several passes over the same rows, whose ``id`` is a struct that holds the id; a
+    row per row of each pass. Equal rows match alike, so sets keep a group as small as one row's."""
+    found = reduce(DataFrame.unionByName, parts).groupBy("id").agg(
+        F.max("n_words").alias("n_words"), F.expr(_MERGED).alias("hits"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
+        (F.count(F.lit(1)) / len(parts)).cast("long").alias("n"))
+    # Many equal rows are dealt out in shares, so that no task writes them all.
+    shares = F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {EQUAL_ROWS}"))
+    found = found.withColumn("share", F.explode(shares)).repartition("id", "share")
+    copies = F.least(F.lit(EQUAL_ROWS).cast("long"), F.col("n") - F.col("share") * EQUAL_ROWS)
+    found = found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
+    return found.select(F.col("id.id").alias("id"), "n_words", "hits", "items")
 
 
 def contamination(found: DataFrame, id_column: str = "doc_id") -> DataFrame:
