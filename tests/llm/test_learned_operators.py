@@ -256,6 +256,20 @@ def test_mined_rules_keep_support_confidence_and_brevity(spark):
     assert rules["b",].support == pytest.approx(30 / 196)
 
 
+def test_rules_may_need_many_tokens(spark):
+    # a+b+c+d is sure as a whole only: each three of them hold in 30 of 70. x adds nothing; of p to s
+    # each is sure alone.
+    rows = [(["a", "b", "c", "d", "x"], True)] * 30 + [(list("pqrs"), True)] * 20
+    rows += [([t for t in "abcdx" if t != out], False) for out in "abcd"] * 40
+    rows += [(["x"], False)] * 300
+    table = spark.createDataFrame(rows, "tokens array<string>, bad boolean")
+    rules = url_rules.mine(table)
+    assert {tuple(r.antecedent) for r in rules.collect()} == {("a", "b", "c", "d"), *zip("pqrs")}
+    urls = spark.createDataFrame([("all", list("abcdz")), ("three", list("abcz"))],
+                                 "url string, tokens array<string>")
+    assert [r.url for r in url_rules.match(urls, rules).collect()] == ["all"]
+
+
 def test_urls_without_labels(spark, pages):
     rows, table = pages
     labels = spark.createDataFrame([], "doc_id long, quality int")

@@ -1,7 +1,7 @@
 """URL filtering by listed rules and mined association rules.
 
-A URL is cut into tokens: the words of its host and their pairs with the top-level domain, the
-segments of its path and the keys of its query. Labelled pages are the transactions of an FP-growth
+A URL is cut into tokens: the words of its host, its top-level domain, the segments of its path and
+the keys of its query; rules combine any number of them. Labelled pages are the transactions of an FP-growth
 run in Spark: the tokens of a page plus, if its label is bad, the item ``BLOCK``. Rules ``tokens =>
 BLOCK`` are kept if they hold often enough (support), surely enough (confidence) and more often than
 chance (lift), and dropped if a rule with fewer of the same tokens is at least as sure.
@@ -34,8 +34,6 @@ BLOCK = "=block"
 MIN_SUPPORT, MIN_CONFIDENCE, MIN_LIFT = 0.002, 0.5, 1.5
 # Bad pages that a rule must cover however few pages are labelled.
 LEAST_PAGES = 5
-# Longer rules are left to the shorter ones they contain.
-MOST_TOKENS_PER_RULE = 3
 
 
 @dataclass(frozen=True)
@@ -132,24 +130,45 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT,
                      minConfidence=min_confidence).fit(baskets)
     rules = (model.associationRules.where((F.size("consequent") == 1)
                                           & (F.element_at("consequent", 1) == BLOCK)
-                                          & (F.size("antecedent") <= MOST_TOKENS_PER_RULE)
                                           & (F.col("lift") >= min_lift))
              .select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support"))
     path = run_dir(spark, "url-rules")
     rules.write.parquet(path)
     rules = spark.read.schema(_RULES).parquet(path)
-    # A rule is needless if a part of it is a rule that is at least as sure.
-    parts = F.flatten(F.array(
-        F.transform("antecedent", lambda x: F.array(x)),
-        F.flatten(F.transform("antecedent", lambda x: F.transform(
-            F.filter("antecedent", lambda y: y > x), lambda y: F.array(x, y))))))
-    inner = rules.select("antecedent", "confidence", F.explode(parts).alias("part"))
-    inner = inner.where(F.size("part") < F.size("antecedent"))
-    smaller = rules.select(F.col("antecedent").alias("known"), F.col("confidence").alias("sure"))
-    needless = (inner.join(smaller, (F.col("part") == F.col("known"))
+    return _needed(rules)
+
+
+def _filed(rules: DataFrame, frequency: DataFrame) -> DataFrame:
+    """Rules (``antecedent``) with the ``rarest`` of their tokens by ``frequency`` (``token``,
+    ``n``); a rule none of whose tokens occurs there is left out."""
+    return (rules.select("antecedent", F.explode("antecedent").alias("own"))
+            .join(frequency, F.col("own") == F.col("token"))
+            .groupBy("antecedent").agg(F.min(F.struct("n", "own"))["own"].alias("rarest")))
+
+
+def _needed(rules: DataFrame) -> DataFrame:
+    """Rules no part of which is a rule that is at least as sure. By number of tokens, so that longer
+    rules, of whatever length, are compared with the needed shorter ones only."""
+    spark = rules.sparkSession
+    kept, rest = rules.limit(0), rules
+    while (size := rest.agg(F.min(F.size("antecedent"))).first()[0]) is not None:
+        level = rest.where(F.size("antecedent") == size)
+        longer = rest.where(F.size("antecedent") > size)
+        kept = kept.unionByName(level)
+        posted = longer.select("antecedent", "confidence", F.explode("antecedent").alias("token"))
+        frequency = posted.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+        known = (_filed(level, frequency).withColumnRenamed("antecedent", "known")
+                 .join(level.select("antecedent", F.col("confidence").alias("sure")),
+                       F.col("known") == F.col("antecedent")).drop("antecedent"))
+        needless = (posted.join(known, same_key(F.col("token"), F.col("rarest")))
+                    .where((F.size(F.array_except("known", "antecedent")) == 0)
                            & (F.col("sure") >= F.col("confidence")))
-                .select(F.col("antecedent").alias("dropped")).distinct())
-    return rules.join(needless, F.col("antecedent") == F.col("dropped"), "left_anti")
+                    .select(F.col("antecedent").alias("dropped")).distinct())
+        path = run_dir(spark, "url-rules-left")
+        (longer.join(needless, F.col("antecedent") == F.col("dropped"), "left_anti")
+         .write.parquet(path))
+        rest = spark.read.schema(_RULES).parquet(path)
+    return kept
 
 
 def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
@@ -157,10 +176,7 @@ def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
     distinct = urls.where(F.size("tokens") > 0).select("url", "tokens").distinct()
     posted = distinct.select("url", "tokens", F.explode("tokens").alias("token"))
     frequency = posted.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    ranked = (rules.select("antecedent", F.explode("antecedent").alias("own"))
-              .join(frequency, F.col("own") == F.col("token"))
-              .groupBy("antecedent").agg(F.min(F.struct("n", "own"))["own"].alias("rarest")))
-    hit = (posted.join(ranked, same_key(F.col("token"), F.col("rarest")))
+    hit = (posted.join(_filed(rules, frequency), same_key(F.col("token"), F.col("rarest")))
            .where(F.size(F.array_except("antecedent", "tokens")) == 0))
     return hit.select("url").distinct()
 
