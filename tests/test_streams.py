@@ -181,6 +181,16 @@ def test_a_batch_opens_the_folders_of_its_rows(spark, tmp_path, feeds):
     assert opened
 
 
+def test_repeats_in_two_folders_are_dropped(spark, tmp_path, feeds):
+    twice = [(1, 1, None, None, "2024-01-01 00:00:00"), (1, 1, None, None, "2024-01-01 05:00:00"),
+             (2, 1, None, None, "2024-01-01 00:00:00"), (3, 1, None, None, "no time")]
+    batch = pairs.side_by_side(spark.createDataFrame(twice, feeds[0].schema),
+                               spark.createDataFrame([], feeds[1].schema))
+    held = store(spark, tmp_path, feeds)
+    pairs.interval_pairs(held, batch, 0)
+    assert sorted(r.id for r in held.known("o", 1).collect()) == [1, 2]
+
+
 def test_one_user_opens_one_folder(spark, tmp_path):
     table = str(tmp_path / "users")
     users = spark.range(2000).select(F.col("id").cast("string").alias("user_id"),

@@ -88,7 +88,10 @@ def _arrive(store: PairStore, batch: DataFrame, n: int, side: str) -> tuple[Data
     # One pass over the keys tells which folders are touched, whether a key comes twice, and whether
     # anything is lost; wide rows are only sorted out where that is so.
     seen = (rows.select(*keys, F.when(whole, F.col(BUCKET)).alias(BUCKET))
-            .groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("n"))
+            .groupBy(*keys).agg(F.count(BUCKET).alias("n"), F.collect_set(BUCKET).alias("dated"),
+                                F.max(F.col(BUCKET).isNull()).alias("lost"))
+            .select("n", F.explode(F.when(F.col("lost"), F.concat(
+                "dated", F.array(F.lit(None).cast("int")))).otherwise(F.col("dated"))).alias(BUCKET))
             .groupBy(BUCKET).agg(F.max("n").alias("most")).collect())
     buckets = [r[BUCKET] for r in seen if r[BUCKET] is not None]
     if len(buckets) < len(seen):
