@@ -41,7 +41,8 @@ from tillstream.session import run_dir
 BLOCK_ROWS, PIVOTS, SAMPLE = 16_384, 1_024, 4_096
 # Blocks whose centres and radii are looked through together.
 PAGE = 4_096
-FAN, LEAF = 64, 128
+# Children of a node at most, and rows that are scored together.
+FAN, LEAF = 64, 512
 MOST = 1 << 20
 _SLACK = 1e-9
 _BELOW, _ABOVE = -(1 << 62), 1 << 62
@@ -119,7 +120,7 @@ def build(ids: np.ndarray, labels: np.ndarray, vectors: np.ndarray, longest: flo
         members = order[low:high]
         at = np.flatnonzero(members == centre[node])[0]  # a centre goes on to be its own child
         members[0], members[at] = members[at], members[0]
-        chosen, mine, gap = _net(points[members], fan)
+        chosen, mine, gap = _net(points[members], min(fan, 2 * -(-len(members) // leaf)))
         if len(chosen) < 2:
             continue
         by = np.argsort(mine, kind="stable")
@@ -180,11 +181,13 @@ class Search:
                 for child in np.flatnonzero(open_).tolist():
                     heappush(queue, (-above[child], int(down) + child))
                 continue
-            rows = slice(tree.first[node], tree.stop[node])
-            fits = ((tree.labels[rows] == label) == same) & (tree.ids[rows] != own)
-            if not fits.any():
+            start = tree.first[node]
+            scores = self._scores(start, tree.stop[node], asked, real)
+            maybe = np.flatnonzero((scores >= floors.min()) & (scores <= high.max()))
+            maybe = maybe[((tree.labels[start + maybe] == label) == same) & (tree.ids[start + maybe] != own)]
+            if not len(maybe):
                 continue
-            scores, ids = self._scores(rows.start, rows.stop, asked, real)[fits], tree.ids[rows][fits]
+            scores, ids = scores[maybe], tree.ids[start + maybe]
             for w in range(len(low)):
                 inside = np.flatnonzero((scores >= floors[w]) & (scores <= high[w]))
                 if not len(inside):
