@@ -83,13 +83,13 @@ def test_tree_covers_its_rows_and_searches_little():
             assert tree.first[below[0]] == tree.first[node] and tree.stop[below[-1]] == tree.stop[node]
             assert tree.radius[list(below)].max() <= tree.radius[node] * 2
     assert sorted(tree.ids) == sorted(ids)
-    search, scored = hard.Search(tree, longest), []
-    search._scores, plain = (lambda *a: scored.append(a[1] - a[0]) or plain(*a)), search._scores
+    search = hard.Search(tree, longest)
+    search.attend(vectors[:1])
     low, high = np.array([hard._BELOW]), np.array([hard._ABOVE])
-    best = search.best(vectors[0].astype(np.int64), 0, int(labels[0]), True, low, high, 5)[0]
+    best = search.best(0, 0, int(labels[0]), True, low, high, 5)[0]
     exact = sorted((-int(vectors[0] @ v), i) for i, l, v in zip(ids, labels, vectors) if l == labels[0] and i)
     assert best == [(-s, i) for s, i in exact[:5]]
-    assert sum(scored) < len(rows) / 4
+    assert sum(scores.shape[1] for scores, _ in search._seen.values()) < len(rows) / 4
 
 
 def test_blocks_that_cannot_hold_an_answer_get_no_party(spark, monkeypatch):

@@ -39,6 +39,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tillstream.session import run_dir
 
 BLOCK_ROWS, PIVOTS, SAMPLE = 16_384, 1_024, 4_096
+# Anchors that score a leaf together.
+PARTY = 256
 # Blocks whose centres and radii are looked through together.
 PAGE = 4_096
 # Children of a node at most, and rows that are scored together.
@@ -153,17 +155,29 @@ class Search:
         self._heads = self._rows[tree.centre]
         self._largest = float(np.abs(self._rows).max())
 
-    def _scores(self, low: int, high: int, asked: np.ndarray, real: np.ndarray) -> np.ndarray:
+    def attend(self, party: np.ndarray) -> None:
+        """Take up a party of anchors: a leaf that one of them opens is scored for all of them."""
+        self._party, self._real = party, party.astype(np.float64)
         # Products of doubles are exact as long as no sum can reach 2**53.
-        if self._largest * float(np.abs(real).max()) * len(real) < 1 << 53:
-            return (self._rows[low:high] @ real).astype(np.int64)
-        return self._tree.vectors[low:high].astype(np.int64) @ asked
-
-    def best(self, asked: np.ndarray, own: int, label: int, same: bool, low: np.ndarray,
+        most = self._largest * float(np.abs(self._real).max()) * self._real.shape[1]
+        self._exact, self._seen = most < 1 << 53, {}
+
+    def _scores(self, node: int) -> tuple[np.ndarray, np.ndarray]:
+        """Every anchor's scores with the members of a leaf, and the best of each anchor."""
+        if node not in self._seen:
+            rows = slice(self._tree.first[node], self._tree.stop[node])
+            if self._exact:
+                scores = (self._real @ self._rows[rows].T).astype(np.int64)
+            else:
+                scores = self._party @ self._tree.vectors[rows].astype(np.int64).T
+            self._seen[node] = scores, scores.max(axis=1)
+        return self._seen[node]
+
+    def best(self, anchor: int, own: int, label: int, same: bool, low: np.ndarray,
              high: np.ndarray, count: int) -> list[list[tuple[int, int]]]:
-        """Per window ``low[w]`` to ``high[w]``: the ``count`` best (score, id) among rows of the same
-        or of another label that are not the anchor's own."""
-        tree, real = self._tree, asked.astype(np.float64)
+        """For the party's anchor of that number, per window ``low[w]`` to ``high[w]``: the ``count``
+        best (score, id) among rows of the same or of another label that are not the anchor's own."""
+        tree, real = self._tree, self._real[anchor]
         norm = float(np.sqrt(real @ real))
         slack = _SLACK * (norm * self._reach + 1)
         floors, kept = low.copy(), [[] for _ in low]
@@ -181,8 +195,10 @@ class Search:
                 for child in np.flatnonzero(open_).tolist():
                     heappush(queue, (-above[child], int(down) + child))
                 continue
-            start = tree.first[node]
-            scores = self._scores(start, tree.stop[node], asked, real)
+            start, (scores, most) = tree.first[node], self._scores(node)
+            if most[anchor] < floors.min():
+                continue
+            scores = scores[anchor]
             maybe = np.flatnonzero((scores >= floors.min()) & (scores <= high.max()))
             maybe = maybe[((tree.labels[start + maybe] == label) == same) & (tree.ids[start + maybe] != own)]
             if not len(maybe):
@@ -266,7 +282,7 @@ def _trees(rows: DataFrame, longest: float) -> DataFrame:
         plant, "block int, middle array<bigint>, radius double, parts array<binary>"), "trees")
 
 
-_FIELDS = ("key", "own", "label", "vector", "low", "high")
+_FIELDS = ("key", "own", "label", "low", "high")
 Handler = Callable[[list], Callable[[int, pa.Array], pa.RecordBatch]]
 
 
@@ -338,8 +354,10 @@ def _found(parties: DataFrame, trees: DataFrame, longest: float, same: bool, cou
 
         def answer(home: int, party: pa.Array) -> pa.RecordBatch:
             rows, asked = [], _asked(party)
-            for key, own, label, vector, low, high in zip(*(asked[f] for f in _FIELDS)):
-                best = search.best(vector, own, label, same, np.array(low, np.int64),
+            for n, (key, own, label, low, high) in enumerate(zip(*(asked[f] for f in _FIELDS))):
+                if n % PARTY == 0:
+                    search.attend(asked["vector"][n:n + PARTY])
+                best = search.best(n % PARTY, own, label, same, np.array(low, np.int64),
                                    np.array(high, np.int64), count)
                 rows += [(key, w, *one) for w, some in enumerate(best) for one in some]
             columns = np.array(rows, np.int64).reshape(-1, 4).T
