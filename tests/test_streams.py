@@ -112,7 +112,7 @@ def fill(feeds, orders, details, parts=3, seed=0):
 
 
 def store(spark, tmp_path, feeds, name="store"):
-    return pairs.PairStore(spark, str(tmp_path / name), feeds[0].schema, feeds[1].schema, 900)
+    return pairs.PairStore(spark, str(tmp_path / name), feeds[0].schema, feeds[1].schema, 5)
 
 
 FUTURE = (777, 1, None, None, "2199-01-01 00:00:00")
@@ -166,29 +166,82 @@ def test_amounts_split_over_batches_equal_the_whole(spark, tmp_path, feeds):
     assert len(runtime.progress(query)) == 2
 
 
-def test_a_batch_opens_the_folders_of_its_rows(spark, tmp_path, feeds):
-    orders, details = sales(60, 2)      # an hour of orders: five folders of 900 seconds
+def both(spark, feeds, orders, details):
+    return pairs.side_by_side(spark.createDataFrame(orders, feeds[0].schema),
+                              spark.createDataFrame(details, feeds[1].schema))
+
+
+def test_a_batch_lists_the_folders_of_its_rows_only(spark, tmp_path, feeds):
+    """After batches that had folders of their own, a batch of one order lists one folder."""
+    held = store(spark, tmp_path, feeds)
+    for n in range(4):
+        pairs.interval_pairs(held, both(spark, feeds, [(5 * n, 1, None, None, at(n))],
+                                        [(n, 5 * n, None, 1, at(n))]), n)
+    known = held.known("d", 20, [3])
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "(1 paths)" in plan and known.count() == 1
+    assert len(known.inputFiles()) == 1 and "/slot=3/batch=3/" in known.inputFiles()[0]
+    found = pairs.interval_pairs(held, both(spark, feeds, [], [(99, 15, None, 1, at(1))]), 20)
+    assert [tuple(r) for r in found.select("order_id", "order_detail_id").collect()] == [(15, 99)]
+
+
+def test_repeats_are_dropped_and_versions_kept(spark, tmp_path, feeds):
+    twice = [(1, 1, None, None, at(0)), (1, 1, None, None, at(18_000)), (2, 1, None, None, at(0)),
+             (2, 1, None, None, at(0)), (3, 1, None, None, "no time")]
+    held = store(spark, tmp_path, feeds)
+    for n in (0, 1):
+        pairs.interval_pairs(held, both(spark, feeds, twice, []), n)
+    assert sorted(r.id for r in held.known("o", 9).collect()) == [1, 1, 2]
+    assert sorted(r.order_id for r in pairs.lonely(held, held.known("o").selectExpr(
+        "id AS order_id", "id AS order_detail_id").where("order_id > 9")).collect()) == [1, 2]
+
+
+DAY_END = ("2024-01-01 23:59:00", "2024-01-01 23:59:30", "2024-01-02 00:01:00")
+
+
+@pytest.mark.parametrize("cuts", [[[0, 1, 2]], [[0, 1], [2]], [[0], [1, 2]], [[2], [1], [0]], [[2, 0], [1]]])
+def test_a_row_sent_again_with_another_time_makes_one_pair(spark, tmp_path, feeds, cuts):
+    rows = {0: ("o", (1, 1, None, None, DAY_END[0])), 1: ("d", (7, 1, None, 1, DAY_END[1])),
+            2: ("o", (1, 1, None, None, DAY_END[2]))}
     held = store(spark, tmp_path, feeds)
-    both = lambda o, d: pairs.side_by_side(
-        spark.createDataFrame(o, feeds[0].schema), spark.createDataFrame(d, feeds[1].schema))
-    pairs.interval_pairs(held, both(orders, details[:1]), 0)
-    found = pairs.interval_pairs(held, both([], details[1:2]), 1)
-    opened = {f.split("bucket=")[1].split("/")[0] for f in held.known(
-        "o", 1, held.around([19723 * 96], 600)).inputFiles() if "bucket=" in f}
-    assert len(os.listdir(f"{held.table('o')}/gen=0/batch=0")) >= 5 and found.count() == 1
-    plan = held.known("o", 1, [19723 * 96])._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan and f"bucket" in plan.split("PartitionFilters")[1]
-    assert opened
-
-
-def test_repeats_in_two_folders_are_dropped(spark, tmp_path, feeds):
-    twice = [(1, 1, None, None, "2024-01-01 00:00:00"), (1, 1, None, None, "2024-01-01 05:00:00"),
-             (2, 1, None, None, "2024-01-01 00:00:00"), (3, 1, None, None, "no time")]
-    batch = pairs.side_by_side(spark.createDataFrame(twice, feeds[0].schema),
-                               spark.createDataFrame([], feeds[1].schema))
+    for n, cut in enumerate(cuts):
+        some = [[rows[i][1] for i in cut if rows[i][0] == side] for side in "od"]
+        pairs.store_pairs(held, pairs.interval_pairs(held, both(spark, feeds, *some), n), n)
+    got = pairs.read_pairs(held).select("order_id", "order_detail_id", "create_time").collect()
+    assert [tuple(r) for r in got] == [(1, 7, DAY_END[0])]
+
+
+@pytest.mark.parametrize("seed, parts", [(1, 1), (2, 3), (3, 5)])
+def test_pairs_and_amounts_do_not_depend_on_versions_or_cuts(spark, tmp_path, feeds, seed, parts):
+    """A third of the rows is sent again, earlier or later by up to an hour, in any file."""
+    orders, details = sales(20, 8)
+    rng = random.Random(8)
+    moved = lambda r: (*r[:-1], at(max(0, 60 * r[0 if r in orders else 1] + rng.randint(-3600, 3600))))
+    sent = [("o", r) for r in orders + [moved(r) for r in orders[::3]]]
+    sent += [("d", r) for r in details + [moved(r) for r in details[::3]]]
+    rng.shuffle(sent)
+    random.Random(seed).shuffle(sent)
     held = store(spark, tmp_path, feeds)
-    pairs.interval_pairs(held, batch, 0)
-    assert sorted(r.id for r in held.known("o", 1).collect()) == [1, 2]
+    for n in range(parts):
+        some = [[r for s, r in sent[n::parts] if s == side] for side in "od"]
+        for _ in range(2):
+            found = runtime.staged(pairs.interval_pairs(held, both(spark, feeds, *some), n),
+                                   str(tmp_path / "staged"), n)
+            pairs.store_pairs(held, found, n)
+            pairs.settle(held, found, n)
+    seconds = lambda r: sum(int(x) * f for x, f in zip(r[-1][11:].split(":"), (3600, 60, 1)))
+    want = {}
+    for o in (r for s, r in sent if s == "o"):
+        for d in (r for s, r in sent if s == "d" and r[1] == o[0]):
+            if abs(seconds(o) - seconds(d)) <= dws.CACHE_WAIT:
+                want[o[0], d[0]] = min(o[-1], want.get((o[0], d[0]), "9"))
+    got = {(r.order_id, r.order_detail_id): r.create_time for r in pairs.read_pairs(held).collect()}
+    assert got == want
+    settled = pairs.settled(held).collect()
+    assert {(r.order_id, r.order_detail_id): r.create_time for r in settled} == want
+    whole = dws.apportion(pairs.read_pairs(held)).collect()
+    amounts = lambda some: sorted((r.order_detail_id, r.final_detail_amount) for r in some)
+    assert amounts(settled) == amounts(whole)
 
 
 def test_one_user_opens_one_folder(spark, tmp_path):

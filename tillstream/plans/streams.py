@@ -17,8 +17,6 @@ from tillstream.streaming import pairs, runtime, state
 
 # What a micro-batch takes from each source at most. Results do not depend on it.
 TRIGGER = {"maxBytesPerTrigger": str(1 << 30)}
-# The test orders span seven years, so their folders hold a year; live orders would have a day's.
-PAIR_BUCKET = 366 * 86_400
 
 
 def _read(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -83,7 +81,7 @@ def _pair_store(spark: SparkSession, sf_dir: str, name: str) -> tuple[pairs.Pair
     folder = run_dir(spark, name)
     orders = dwd.with_create_parts(views.order_info(spark, sf_dir)).drop("event_time")
     details = views.order_detail(spark, sf_dir).drop("event_time")
-    store = pairs.PairStore(spark, folder, orders.schema, details.schema, PAIR_BUCKET)
+    store = pairs.PairStore(spark, folder, orders.schema, details.schema)
     return store, pairs.side_by_side(_as_messages(orders, f"{folder}/in-orders"),
                                      _as_messages(details, f"{folder}/in-details"))
 
@@ -91,10 +89,8 @@ def _pair_store(spark: SparkSession, sf_dir: str, name: str) -> tuple[pairs.Pair
 def _stream_pairs(spark: SparkSession, sf_dir: str, name: str, find) -> tuple[pairs.PairStore, DataFrame]:
     """Run the stream; the store, and the pairs that all batches found."""
     store, rows = _pair_store(spark, sf_dir, name)
-    table = store.table("pairs")
-    _drain(rows, lambda batch, n: sink_tables.append_table(find(store, batch, n), table, n, None),
-           store.root)
-    return store, sink_tables.read_appended(spark, table, schemas.ORDER_WIDE)
+    _drain(rows, lambda batch, n: pairs.store_pairs(store, find(store, batch, n), n), store.root)
+    return store, pairs.read_pairs(store)
 
 
 @query(WIDE + WITHIN, "order_info", "order_detail")

@@ -154,6 +154,33 @@ def compact(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence
     return current + 1
 
 
+def append_slots(rows: DataFrame, path: str, batch_id: int, slot: str = SLOT) -> None:
+    """Append a batch to a table that lies in folders by ``slot``, then batch; the same batch again
+    replaces itself."""
+    tagged = rows.withColumn("batch", F.lit(batch_id).cast("long")).hint("rebalance", slot)
+    (tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(slot, "batch").parquet(path))
+
+
+def read_slots(spark: SparkSession, path: str, schema: T.StructType, slots: Sequence[int] | None = None,
+               before_batch: int | None = None, only_batch: int | None = None,
+               slot: str = SLOT) -> DataFrame:
+    """Rows of such a table, ``batch`` among their columns. With ``slots`` no other folder is listed,
+    however many there are; ``only_batch`` lists the folders of that batch alone."""
+    whole = T.StructType([*[f for f in schema.fields if f.name != slot],
+                          T.StructField(slot, T.LongType()), T.StructField("batch", T.LongType())])
+    inside = "" if only_batch is None else f"/batch={only_batch}"
+    folders = [path] if slots is None else [f"{path}/{slot}={n}{inside}" for n in sorted(slots)]
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    present = [f for f in folders if fs.exists(jvm.org.apache.hadoop.fs.Path(f))]
+    if not present:
+        return spark.createDataFrame([], whole)
+    rows = spark.read.schema(whole).option("basePath", path).parquet(*present)
+    return rows if before_batch is None else rows.where(F.col("batch") < before_batch)
+
+
 def jdbc_options(url: str, table: str, batch_size: int = 100, writers: int = 4,
                  **more: str) -> dict[str, str]:
     """Writer options of the wide table: rows per statement, parallel writers, no transaction."""

@@ -195,19 +195,23 @@ def order_wide(site: Site, join: str = "interval", jdbc: dict[str, str] | None =
     ``interval`` or ``hop``."""
     find = {"interval": pairs.interval_pairs, "hop": pairs.hop_pairs}[join]
     store = _pair_store(site)
-    sides = []
-    for topic, group, schema in (
-            ("DWD_ORDER_INFO", "dws_order_info_group", store.orders),
-            ("DWD_ORDER_DETAIL", "dws_order_detail_group", store.details)):
-        sides.append(codec.parse_typed(site.read(topic, group), schema))
+    orders, details = (site.read(topic, group).select("value") for topic, group in (
+        ("DWD_ORDER_INFO", "dws_order_info_group"), ("DWD_ORDER_DETAIL", "dws_order_detail_group")))
+
+    def typed(batch: DataFrame, n: int, side: str, schema: T.StructType, keys: tuple[str, ...]) -> DataFrame:
+        texts = batch.where(F.col(side).isNotNull()).select(f"{side}.value")
+        return site.typed(f"order_wide_{side}", texts, n, schema, keys)
 
     def write(batch: DataFrame, n: int) -> None:
-        found = find(store, batch, n, **join_options)
+        batch = site.staged("order_wide_in", batch, n)
+        rows = pairs.side_by_side(typed(batch, n, "o", store.orders, ("id",)),
+                                  typed(batch, n, "d", store.details, ("id", "order_id")))
+        found = find(store, rows, n, **join_options)
         rows = pairs.settle(store, site.staged("order_wide_found", found, n), n)
         if jdbc is not None:
             sink_tables.append_jdbc(rows, jdbc)
 
-    return site.run("order_wide", pairs.side_by_side(*sides), write)
+    return site.run("order_wide", pairs.side_by_side(orders, details), write)
 
 
 def order_wide_table(site: Site) -> DataFrame:

@@ -1,15 +1,18 @@
 """Pairing orders with details whatever order they arrive in.
 
-There is no watermark and nothing is forgotten: what arrives is stored, by event time, and every
-micro-batch joins its new orders with all details known so far and its new details with all orders
-known before. The pairs found are those of the whole, however the input is cut into batches, and one
-row with a time far in the future touches no other row.
-
-Tables lie in folders per ``bucket`` seconds of event time. A batch opens the folders its rows fall
-into and those within the join's reach, so its cost follows the batch and not the history. Every row
-carries the number of its batch and a batch reads those of earlier ones and its own, so a replay finds
-what the first attempt found. Rows without id or readable time can match nothing: they are kept, as
-JSON, in a table of their own, where they can be counted (``undated``).
+There is no watermark and nothing is forgotten: what arrives is stored, and every micro-batch joins
+its new orders with all details known so far and its new details with all orders known before. A row
+may be sent again, with another time or other values; every version counts. An order and a detail
+make one pair if any of their versions meet, and the pair carries the earliest ones that do. So the
+pairs are those of the whole, however the input is cut into batches, and one row with a time far in
+the future touches no other row.
+
+All tables lie in folders by order id, ``span`` ids each, and below that by batch. The versions of an
+order, its details and its pairs are therefore in one folder, whatever their times; a batch lists and
+opens only the folders of its own orders. Ids handed out in sequence keep these few. Every row carries
+the number of its batch and a batch reads those of earlier ones and its own, so a replay finds what the
+first attempt found. Rows without id or readable time can match nothing: they are kept, as JSON, in a
+table of their own, where they can be counted (``undated``).
 """
 
 from __future__ import annotations
@@ -22,10 +25,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tillstream import schemas
 from tillstream.functions import codec
 from tillstream.operators import dws
-from tillstream.operators.keyed import latest_per_key, same_key
+from tillstream.operators.keyed import earliest_per_key, latest_per_key, same_key
 from tillstream.sinks import tables as sink_tables
 
-BUCKET = "bucket"
+SLOT = sink_tables.SLOT
 UNDATED = T.StructType([T.StructField("side", T.StringType()), T.StructField("row", T.StringType())])
 _ORDER, _DETAIL = "o", "d"
 _PAIR = ["order_id", "order_detail_id"]
@@ -33,18 +36,18 @@ _PAIR = ["order_id", "order_detail_id"]
 
 @dataclass(frozen=True)
 class PairStore:
-    """Folder of the tables, the two record schemas, and how many seconds share a folder."""
+    """Folder of the tables, the two record schemas, and how many order ids share a folder."""
 
     spark: SparkSession
     root: str
     orders: T.StructType
     details: T.StructType
-    bucket: int = 86_400
+    span: int = 1_000_000
 
     def schema(self, side: str) -> T.StructType:
         fields = self.orders.fields if side == _ORDER else self.details.fields
         return T.StructType([*fields, T.StructField("event_time", T.TimestampType()),
-                             T.StructField(BUCKET, T.IntegerType())])
+                             T.StructField("version", T.LongType())])
 
     def keys(self, side: str) -> list[str]:
         return ["id"] if side == _ORDER else ["order_id", "id"]
@@ -52,17 +55,13 @@ class PairStore:
     def table(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def bucket_of(self, time: Column) -> Column:
-        return F.floor(F.unix_seconds(time) / self.bucket).cast("int")
+    def slot_of(self, order_id: Column) -> Column:
+        return F.floor(order_id / self.span).cast("long")
 
-    def known(self, side: str, before: int, buckets: list[int] | None = None) -> DataFrame:
-        """Rows of one side that earlier batches stored, in the given folders."""
-        rows = sink_tables.read_batches(self.spark, self.table(side), self.schema(side), before)
-        return rows if buckets is None else rows.where(F.col(BUCKET).isin(buckets))
-
-    def around(self, buckets: list[int], seconds: int) -> list[int]:
-        reach = -(-seconds // self.bucket)
-        return sorted({b + step for b in buckets for step in range(-reach, reach + 1)})
+    def known(self, side: str, before: int | None = None, slots: list[int] | None = None) -> DataFrame:
+        """Versions of the rows of one side that earlier batches stored, in the given folders."""
+        schema = self.schema(side)
+        return sink_tables.read_slots(self.spark, self.table(side), schema, slots, before).select(*schema.names)
 
 
 def side_by_side(orders: DataFrame, details: DataFrame) -> DataFrame:
@@ -71,53 +70,53 @@ def side_by_side(orders: DataFrame, details: DataFrame) -> DataFrame:
     return orders.select(o).unionByName(details.select(d), allowMissingColumns=True)
 
 
-def _buckets(rows: DataFrame) -> list[int]:
-    """The folders that rows fall into: as many as the batch has days."""
-    return [r[0] for r in rows.select(BUCKET).distinct().collect()]
-
-
 def _arrive(store: PairStore, batch: DataFrame, n: int, side: str) -> tuple[DataFrame, list[int]]:
-    """Store the rows of one side that were not known yet; returns them, and their folders."""
+    """Store the versions of one side that were not known yet; returns them, and their folders."""
     rows = batch.where(F.col(side).isNotNull()).select(f"{side}.*")
+    names = rows.columns
     rows = rows.withColumn("event_time", F.try_to_timestamp("create_time", F.lit(codec.TIME_FORMAT)))
-    rows = rows.withColumn(BUCKET, store.bucket_of(F.col("event_time")))
+    rows = rows.withColumns({"version": F.xxhash64(*names),
+                             SLOT: store.slot_of(F.col(store.keys(side)[0]))})
     keys = store.keys(side)
-    whole = F.col(BUCKET).isNotNull()
+    whole = F.col("event_time").isNotNull()
     for key in keys:
         whole = whole & F.col(key).isNotNull()
     # One pass over the keys tells which folders are touched, whether a key comes twice, and whether
     # anything is lost; wide rows are only sorted out where that is so.
-    seen = (rows.select(*keys, F.when(whole, F.col(BUCKET)).alias(BUCKET))
-            .groupBy(*keys).agg(F.count(BUCKET).alias("n"), F.collect_set(BUCKET).alias("dated"),
-                                F.max(F.col(BUCKET).isNull()).alias("lost"))
-            .select("n", F.explode(F.when(F.col("lost"), F.concat(
-                "dated", F.array(F.lit(None).cast("int")))).otherwise(F.col("dated"))).alias(BUCKET))
-            .groupBy(BUCKET).agg(F.max("n").alias("most")).collect())
-    buckets = [r[BUCKET] for r in seen if r[BUCKET] is not None]
-    if len(buckets) < len(seen):
-        lost = rows.where(~whole).drop("event_time", BUCKET)
+    seen = (rows.groupBy(SLOT, *keys).agg(F.count_if(whole).alias("n"), F.max(~whole).alias("lost"))
+            .groupBy(SLOT).agg(F.max("n").alias("most"), F.max("lost").alias("lost")).collect())
+    slots = [r[SLOT] for r in seen if r["most"]]
+    if any(r["lost"] for r in seen):
+        lost = rows.where(~whole).select(*names)
         sink_tables.append_table(
             lost.select(F.lit(side).alias("side"), codec.encode(lost).alias("row")),
             store.table(f"undated-{side}"), n, None)
     fresh = rows.where(whole)
-    if any(r["most"] > 1 for r in seen if r[BUCKET] is not None):
-        fresh = fresh.dropDuplicates(keys)
-    # A row sent again has the time it had, so its folder shows whether it is known.
-    known = store.known(side, n, buckets).select(*[F.col(k).alias(f"_{k}") for k in keys])
-    again = same_key(F.col(keys[-1]), F.col(f"_{keys[-1]}"))
+    if any(r["most"] > 1 for r in seen):
+        fresh = fresh.dropDuplicates([*keys, "event_time", "version"])
+    known = store.known(side, n, slots).select(*[F.col(k).alias(f"_{k}") for k in (*keys, "version")])
+    again = same_key(F.col(keys[-1]), F.col(f"_{keys[-1]}")) & (F.col("version") == F.col("_version"))
     for key in keys[:-1]:
         again = again & (F.col(key) == F.col(f"_{key}"))
-    fresh = fresh.join(known, again, "left_anti")
-    sink_tables.append_table(fresh, store.table(side), n, BUCKET)
-    return (sink_tables.read_batch(store.spark, store.table(side), store.schema(side), n), buckets)
+    sink_tables.append_slots(fresh.join(known, again, "left_anti"), store.table(side), n)
+    schema = store.schema(side)
+    return sink_tables.read_slots(store.spark, store.table(side), schema, slots,
+                                  only_batch=n).select(*schema.names), slots
 
 
-def _paired(store: PairStore, batch: DataFrame, n: int, reach: int,
+def _one_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The earliest row of each key. Wide rows are only compared if some key has several."""
+    if rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        return rows
+    return earliest_per_key(rows, keys, order)
+
+
+def _paired(store: PairStore, batch: DataFrame, n: int,
             join: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
-    orders, order_days = _arrive(store, batch, n, _ORDER)
-    details, detail_days = _arrive(store, batch, n, _DETAIL)
-    old_orders = store.known(_ORDER, n, store.around(detail_days, reach))
-    old_details = store.known(_DETAIL, n, store.around(order_days, reach))
+    orders, order_slots = _arrive(store, batch, n, _ORDER)
+    details, detail_slots = _arrive(store, batch, n, _DETAIL)
+    old_orders = store.known(_ORDER, n, detail_slots)
+    old_details = store.known(_DETAIL, n, order_slots)
     every = old_details.unionByName(details)
     one = dws.to_wide(join(orders, every), orders, every)
     return one.unionByName(dws.to_wide(join(old_orders, details), old_orders, details))
@@ -125,14 +124,26 @@ def _paired(store: PairStore, batch: DataFrame, n: int, reach: int,
 
 def interval_pairs(store: PairStore, batch: DataFrame, n: int,
                    wait: int = dws.CACHE_WAIT) -> DataFrame:
-    """Wide rows of the pairs at most ``wait`` seconds apart that batch ``n`` completes."""
-    return _paired(store, batch, n, wait, lambda o, d: dws.interval_join(o, d, wait))
+    """Wide rows of the versions at most ``wait`` seconds apart that batch ``n`` brings together; a
+    pair sent in several versions comes as often (``store_pairs``, ``read_pairs``)."""
+    return _paired(store, batch, n, lambda o, d: dws.interval_join(o, d, wait))
 
 
 def hop_pairs(store: PairStore, batch: DataFrame, n: int, window: int = dws.HOP_WINDOW,
               slide: int = dws.HOP_SLIDE) -> DataFrame:
     """Wide rows of the pairs sharing a hopping window that batch ``n`` completes."""
-    return _paired(store, batch, n, window, lambda o, d: dws.hop_join(o, d, window, slide))
+    return _paired(store, batch, n, lambda o, d: dws.hop_join(o, d, window, slide))
+
+
+def store_pairs(store: PairStore, found: DataFrame, n: int, table: str = "pairs") -> None:
+    """Keep the pairs that batch ``n`` found, in the folders of their orders."""
+    sink_tables.append_slots(found.withColumn(SLOT, store.slot_of(F.col("order_id"))), store.table(table), n)
+
+
+def read_pairs(store: PairStore, table: str = "pairs") -> DataFrame:
+    """All pairs found so far, each once: the earliest of its versions."""
+    rows = sink_tables.read_slots(store.spark, store.table(table), schemas.ORDER_WIDE)
+    return _one_per_key(rows.select(*schemas.ORDER_WIDE.names), _PAIR, ["create_time"])
 
 
 def undated(store: PairStore) -> DataFrame:
@@ -146,7 +157,7 @@ def lonely(store: PairStore, pairs: DataFrame) -> DataFrame:
     """Orders and details without a partner in ``pairs`` so far, as wide rows with their ``side``."""
     parts = []
     for side, key, kind in ((_ORDER, "order_id", "order"), (_DETAIL, "order_detail_id", "detail")):
-        rows = store.known(side, 1 << 62)
+        rows = _one_per_key(store.known(side), store.keys(side), ["event_time"])
         met = pairs.select(F.col(key).alias("_met")).distinct()
         alone = rows.join(met, same_key(F.col("id"), F.col("_met")), "left_anti").alias(side)
         sides = (rows, None) if side == _ORDER else (None, rows)
@@ -156,31 +167,31 @@ def lonely(store: PairStore, pairs: DataFrame) -> DataFrame:
 
 # ---- splitting the paid amount ----------------------------------------------------------------
 
-_WIDE_STORED = T.StructType([*schemas.ORDER_WIDE.fields, T.StructField(BUCKET, T.IntegerType())])
-
-
 def settle(store: PairStore, wide: DataFrame, n: int) -> DataFrame:
     """Apportion the orders that the new wide rows belong to and store every row whose amount is
     new or has changed: shares do not depend on what else has arrived, but the remainder goes to the
     last detail of a complete order, which may be known already. Returns the rows stored.
 
-    Of the history only the rows of these orders are used, from the folders of their days."""
-    path = store.table("wide")
-    fresh = wide.withColumn(BUCKET, store.bucket_of(
-        F.try_to_timestamp("create_time", F.lit(codec.TIME_FORMAT))))
-    stored = sink_tables.read_batches(store.spark, path, _WIDE_STORED, n, with_batch=True)
+    Of the history only the rows of these orders are used, from the folders of their ids. A pair that
+    is known already counts once, by its earliest version."""
+    path, names = store.table("wide"), schemas.ORDER_WIDE.names
+    fresh = wide.withColumn(SLOT, store.slot_of(F.col("order_id")))
+    # As many numbers as the batch has folders.
+    slots = [r[0] for r in fresh.select(SLOT).distinct().collect()]
+    stored = sink_tables.read_slots(store.spark, path, schemas.ORDER_WIDE, slots, n)
     touched = fresh.select(F.col("order_id").alias("_touched")).distinct()
-    old = (stored.where(F.col(BUCKET).isin(_buckets(fresh)))
-           .join(touched, same_key(F.col("order_id"), F.col("_touched")), "left_semi"))
+    old = stored.join(touched, same_key(F.col("order_id"), F.col("_touched")), "left_semi")
     old = latest_per_key(old, _PAIR, ["batch"]).drop("batch")
     old = old.withColumn("_was", F.col("final_detail_amount"))
     new = fresh.withColumn("_was", F.lit(None).cast(schemas.MONEY))
-    done = dws.apportion(old.unionByName(new))
+    order = ["create_time", *[c for c in names if c not in ("create_time", "final_detail_amount", *_PAIR)]]
+    done = dws.apportion(_one_per_key(old.unionByName(new), _PAIR, order))
     changed = done.where(~F.col("_was").eqNullSafe(F.col("final_detail_amount"))).drop("_was")
-    sink_tables.append_table(changed.select(*_WIDE_STORED.names), path, n, BUCKET)
-    return sink_tables.read_batch(store.spark, path, _WIDE_STORED, n).drop(BUCKET)
+    sink_tables.append_slots(changed.select(*names, SLOT), path, n)
+    return sink_tables.read_slots(store.spark, path, schemas.ORDER_WIDE, slots, only_batch=n).select(*names)
 
 
 def settled(store: PairStore) -> DataFrame:
     """All wide rows with their current amounts."""
-    return sink_tables.read_keyed(store.spark, store.table("wide"), schemas.ORDER_WIDE, _PAIR)
+    rows = sink_tables.read_slots(store.spark, store.table("wide"), schemas.ORDER_WIDE)
+    return latest_per_key(rows.select(*schemas.ORDER_WIDE.names, "batch"), _PAIR, ["batch"]).drop("batch")
