@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillstream import schemas
 from tillstream.operators import dau, dwd, ingest
 from tillstream.plans import views
-from tillstream.plans.catalog import (FIRST_ORDER, HOP, WIDE, WITHIN, _cents, _wide_columns,
-                                      query)
+from tillstream.plans.catalog import (DAU_DAY, FIRST_ORDER, HOP, WIDE, WITHIN, _cents,
+                                      _wide_columns, query)
 from tillstream.session import run_dir
 from tillstream.sinks import tables as sink_tables, topics as sink_topics
 from tillstream.sources.streams import TopicSpec, topic_stream
-from tillstream.streaming import pairs, runtime, state
+from tillstream.streaming import kept, pairs, runtime, state
 
 # What a micro-batch takes from each source at most. Results do not depend on it.
 TRIGGER = {"maxBytesPerTrigger": str(1 << 30)}
@@ -142,6 +142,45 @@ def stream_apportion(spark, sf_dir):
                                        _cents("final_detail_amount").alias("cents"))
 
 
+@query("select dt, hr, count(*) visits from dau group by dt, hr", "app_log", "dau")
+def dau_hours_kept(spark, sf_dir):
+    """Visits by day and hour, kept as the logs come in."""
+    routed = ingest.route_app_log(views.app_log_from(_stream(spark, sf_dir, "events")))
+    starts = dau.to_dau_info(routed.where(F.col("topic") == ingest.START))
+    folder = run_dir(spark, "dau-kept")
+    _drain(starts, lambda batch, n: kept.keep_hours(batch, n, f"{folder}/kept"), folder)
+    return kept.hours(spark, f"{folder}/kept")
+
+
+@query(f"""select hr, count(*) visits from dau where dt = '{DAU_DAY}' group by hr""", "app_log", "dau")
+def dau_day_kept(spark, sf_dir):
+    """The same answer about one day: only its folder is opened."""
+    routed = ingest.route_app_log(views.app_log_from(_stream(spark, sf_dir, "events")))
+    starts = dau.to_dau_info(routed.where(F.col("topic") == ingest.START))
+    folder = run_dir(spark, "dau-day-kept")
+    _drain(starts, lambda batch, n: kept.keep_hours(batch, n, f"{folder}/kept"), folder)
+    return kept.hours(spark, f"{folder}/kept", [DAU_DAY]).select("hr", "visits")
+
+
+@query("""select strftime(made, '%%Y-%%m-%%d') dt, hour(made) hrm, cast(sum(final_cents) as bigint) cents,
+      cast(sum(cents) as bigint) detail_cents
+    from (%s) join (select id order_id, made from order_info) using (order_id) group by 1, 2"""
+       % STREAM_SHARES.replace("end cents from", "end cents, final_cents from"), "order_info", "order_detail")
+def order_amount_kept(spark, sf_dir):
+    """Amounts by day and hour, kept while pairs come in and remainders move."""
+    store, rows = _pair_store(spark, sf_dir, "amounts-kept")
+
+    def write(batch: DataFrame, n: int) -> None:
+        found = pairs.interval_pairs(store, batch, n)
+        settled = pairs.settle(store, runtime.staged(found, f"{store.root}/staged", n), n)
+        kept.keep_amounts(store, settled, n, f"{store.root}/kept")
+
+    _drain(rows, write, store.root)
+    sums = kept.amounts(spark, f"{store.root}/kept")
+    return sums.select("dt", "hrm", _cents("sum_amount").alias("cents"),
+                       _cents("sum_detail_amount").alias("detail_cents"))
+
+
 @query("""select strftime(ts, '%Y-%m-%d') as dt, count(*) as lines from events group by 1""")
 def archive_written(spark, sf_dir):
     """Raw lines through the archive writer, and the lines of each day read back: the archive is

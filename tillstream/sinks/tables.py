@@ -162,13 +162,14 @@ def append_slots(rows: DataFrame, path: str, batch_id: int, slot: str = SLOT) ->
      .partitionBy(slot, "batch").parquet(path))
 
 
-def read_slots(spark: SparkSession, path: str, schema: T.StructType, slots: Sequence[int] | None = None,
+def read_slots(spark: SparkSession, path: str, schema: T.StructType, slots: Sequence | None = None,
                before_batch: int | None = None, only_batch: int | None = None,
                slot: str = SLOT) -> DataFrame:
     """Rows of such a table, ``batch`` among their columns. With ``slots`` no other folder is listed,
     however many there are; ``only_batch`` lists the folders of that batch alone."""
+    kind = schema[slot].dataType if slot in schema.names else T.LongType()
     whole = T.StructType([*[f for f in schema.fields if f.name != slot],
-                          T.StructField(slot, T.LongType()), T.StructField("batch", T.LongType())])
+                          T.StructField(slot, kind), T.StructField("batch", T.LongType())])
     inside = "" if only_batch is None else f"/batch={only_batch}"
     folders = [path] if slots is None else [f"{path}/{slot}={n}{inside}" for n in sorted(slots)]
     jvm = spark.sparkContext._jvm
