@@ -287,3 +287,58 @@ def test_queries_cover_their_tables(spark, sf_dir, name):
         assert rows.count() == spark.read.parquet(f"{sf_dir}/{table}.parquet").count()
     else:
         assert rows.count() > 0
+
+
+def test_samples_are_bounded_whatever_an_id_repeats(spark):
+    """One id with most of the rows, drawn or not: samples stay near their bounds."""
+    docs = spark.range(20_000).selectExpr("IF(id < 16000, 7, id) AS id", "concat('text ', id) AS text")
+    labels = spark.createDataFrame([(7, 1), (16_001, 1), (16_002, 0), (16_003, 0)], "id long, toxic int")
+    sample, prior = toxicity._sample(docs, labels, 400, 1_000)
+    sizes = {r["positive"]: r["count"] for r in sample.groupBy("positive").count().collect()}
+    assert sizes[True] <= 600 and sizes[False] <= 1_500 and 0 < prior < 1
+    few = docs.where("id <> 7")
+    sample, _ = toxicity._sample(few, labels, 400, 100_000)
+    assert sample.where("NOT positive").count() == few.where(~toxicity.held_out("id")).count()
+
+
+def test_gradient_of_the_risk_is_its_slope():
+    """One step of the fit from a known point against finite differences of the plain risk."""
+    rng = np.random.default_rng(4)
+    rows, features = 60, 5
+    dense = rng.random((rows, features)) < 0.4
+    text, feature = np.nonzero(dense)
+    positive, prior = np.arange(rows) < 25, 0.3
+
+    def risk(theta):
+        z = dense @ theta[:-1] + theta[-1]
+        toxic = np.logaddexp(0, -z)
+        clean = np.logaddexp(0, z)
+        last = clean[~positive].mean() - prior * clean[positive].mean()
+        return prior * toxic[positive].mean() + max(0, last)
+
+    weights, intercept = toxicity.fit_nnpu(feature, text, positive, features, prior, rounds=2000, rate=0.02,
+                                           decay=0)
+    theta = np.append(weights, intercept)
+    start = np.append(np.zeros(features), np.log(prior / (1 - prior)))
+    assert risk(theta) < risk(start)
+    for k in range(features + 1):  # no single weight can be moved to lower the risk by much
+        for step in (-0.05, 0.05):
+            moved = theta.copy()
+            moved[k] += step
+            assert risk(moved) > risk(theta) - 2e-3
+
+
+def test_vectors_that_share_an_id_and_exact_radius(spark):
+    """A third of the rows has one id; a given radius of all bits finds the exact neighbours."""
+    rng = np.random.default_rng(6)
+    points = rng.normal(size=(600, 8))
+    rows = [(20 if i < 200 else i, points[i].tolist()) for i in range(600)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = vectors.nearest(table, neighbours=5, radius=vectors.BITS, block_rows=100, query_rows=10).collect()
+    own = min(points[:200].tolist())
+    for query in {r["query_id"] for r in got}:
+        asked = np.array(own if query == 20 else points[query])
+        scored = sorted((-float((points[i] * asked).sum()), rows[i][0]) for i in range(600) if rows[i][0] != query)
+        found = sorted((r["rank"], r["vec_id"]) for r in got if r["query_id"] == query)
+        assert [i for _, i in found] == [i for _, i in scored[:5]]
+    assert {r["query_id"] for r in got} == {20, *range(200, 600, 20)}

@@ -248,3 +248,27 @@ def test_redaction_keeps_rows_and_columns(spark, make_docs, edge_rows):
     rows = {r.doc_id: r for r in got.collect()}
     assert rows[50].text == "my [assign] ok [hex]" and rows[50].n_chars == 20
     assert rows[1].text is None and rows[2].text == "" and got.count() == len(edge_rows) + 1
+
+
+def test_unbroken_runs_are_counted_in_linear_time():
+    import random
+    import time
+    import sentencepiece
+    rng, file = random.Random(3), public_tokenizers.path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=file)
+    texts = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=200_000)), "ABCDEFGHIJ" * 5_000, "x" * 70_000,
+             "".join(rng.choices("etaoin", k=60_000)), "中文字" * 9_000]
+    texts += ["".join(rng.choices("aeinst01.éß文", k=rng.randint(50, 400))) for _ in range(300)]
+    token_counts.merges_of(file)._living
+    began = time.perf_counter()
+    assert token_counts.count_texts(texts, file) == [len(x) for x in library.encode(texts, num_threads=1)]
+    assert time.perf_counter() - began < 30
+
+
+def test_recent_is_bounded_by_characters_too(monkeypatch):
+    monkeypatch.setattr("tillstream.llm.recent.MOST_HELD", 10)
+    asked = []
+    memo = Recent(lambda keys: asked.append(list(keys)) or [k * 2 for k in keys])
+    for key in ("a" * 12, "b" * 12, "c" * 12, "a" * 12):
+        assert [list(v) for v in memo.rows([[key]])] == [[key * 2]]
+    assert len(asked) == 4 and len(memo._young) + len(memo._old) <= 2

@@ -8,19 +8,25 @@ looks up the rank of each of its adjacent pairs and joins its own lowest-ranked
 sequences do so at once, and those without a pair left drop out. What survives is counted: a
 symbol of the vocabulary is one token, any other character as many as it has UTF-8 bytes.
 
+A boundary between two symbols is dead when no piece holds the two side by side: no merge can cross it
+any more. A long sequence is cut at its dead boundaries in every round, so the pieces of an unbroken run
+get their lowest pairs joined at the same time, and a run costs little more than words of its length.
+
 All places of a lowest pair are joined in one round (from the left where they overlap), unless the
 new symbol has a better-ranked continuation than itself; then only the leftmost is, as the
 library's queue would take the continuation first.
 
 Edge rows: null counts as empty; an empty text has 0 bytes and 0 tokens; repeated rows, repeated
-or null ids give one output row each; other columns are ignored.
+or null ids give one output row each; other columns are ignored. A very long text is cut into its
+pre-tokens one by one and these are counted in bounded parts; one unbroken run is merged whole, for some
+150 bytes of memory per character.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +38,8 @@ from tillstream.llm.texts import steps, strings, utf8
 
 BLANK = "▁"
 _NONE = np.int64(1) << 40
+# Symbols from which a sequence is searched for dead boundaries.
+LONG_RUN = 64
 
 
 class RankMerges:
@@ -48,7 +56,7 @@ class RankMerges:
         self._split = re.compile(f"{BLANK}*[^{BLANK}{alone}]+|{BLANK}+"
                                  + (f"|[{alone}]+" if alone else ""))
         parts = sorted({c for piece in known for c in piece} | known)
-        number = {part: i for i, part in enumerate(parts)}
+        self._number = number = {part: i for i, part in enumerate(parts)}
         ordered = sorted(pieces, key=lambda p: -p[1])
         rank = {piece: i for i, (piece, _) in enumerate(ordered)}
         keys, ranks, merged = [], [], []
@@ -83,16 +91,38 @@ class RankMerges:
         return (np.where(same, self._char_number[at], -1),
                 np.where(same & self._char_known[at], 1, width))
 
+    @cached_property
+    def _living(self) -> np.ndarray:
+        """Keys of all pairs of symbols that stand side by side somewhere in a piece, sorted."""
+        number, keys = self._number, set()
+        for piece in self._known:
+            for cut in range(1, len(piece)):
+                lefts = [number[x] for x in (piece[a:cut] for a in range(cut)) if x in number]
+                rights = [number[x] for x in (piece[cut:z] for z in range(cut + 1, len(piece) + 1))
+                          if x in number]
+                keys.update(left * self._base + right for left in lefts for right in rights)
+        return np.append(np.sort(np.fromiter(keys, np.int64, len(keys))), _NONE << 20)
+
+    def _cut(self, symbols: np.ndarray, group: np.ndarray) -> np.ndarray:
+        """Sequence numbers after a cut at every dead boundary."""
+        keys = symbols[:-1] * self._base + symbols[1:]
+        at = np.searchsorted(self._living, keys)
+        joined = (self._living[at] == keys) & (symbols[:-1] >= 0) & (symbols[1:] >= 0)
+        return np.cumsum(np.r_[False, ~joined | (group[1:] != group[:-1])])
+
     def count(self, sequences: list[str]) -> np.ndarray:
         """Tokens of each pre-token."""
         counts = np.zeros(len(sequences), np.int64)
         lengths = np.fromiter(map(len, sequences), np.int64, len(sequences))
         symbols, weights = self._symbols(sequences)
-        owner = np.repeat(np.arange(len(sequences)), lengths)
+        owner = group = np.repeat(np.arange(len(sequences)), lengths)
         while len(symbols):
-            first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+            first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+            if np.diff(np.r_[first, len(symbols)]).max() > LONG_RUN:
+                group = self._cut(symbols, group)
+                first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
             joint = np.full(len(symbols), _NONE)
-            pairs = np.flatnonzero((owner[1:] == owner[:-1])
+            pairs = np.flatnonzero((group[1:] == group[:-1])
                                    & (symbols[1:] >= 0) & (symbols[:-1] >= 0))
             keys = symbols[pairs] * self._base + symbols[pairs + 1]
             entry = np.searchsorted(self._keys, keys)
@@ -110,12 +140,12 @@ class RankMerges:
             fresh = np.r_[True, np.diff(at) != 1][:len(at)]
             run = np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
             take = (np.arange(len(at)) - run) % 2 == 0
-            leads = np.r_[True, owner[at[1:]] != owner[at[:-1]]][:len(at)]
+            leads = np.r_[True, group[at[1:]] != group[at[:-1]]][:len(at)]
             take &= leads | ~self._one_by_one[into]
             at, into = at[take], into[take]
             symbols[at], weights[at] = into, 1
             open_[at + 1] = False
-            symbols, weights, owner = symbols[open_], weights[open_], owner[open_]
+            symbols, weights, owner, group = symbols[open_], weights[open_], owner[open_], group[open_]
         return counts
 
     def pre_tokens(self, text: str) -> Iterable[str]:

@@ -11,7 +11,8 @@ Confirmed labels of either kind serve only to estimate p, their share of toxic r
 
 Features are presences of words and of word beginnings (``PREFIXES`` bytes) after lower-casing A-Z.
 The fit runs on a bounded sample: some ``MOST_POSITIVE`` toxic and ``MOST_UNLABELLED`` other texts,
-drawn by a hash of the id against a share computed from the row counts. Spark counts in how many of them each feature occurs; the
+drawn by a hash of the id against a share computed from the row counts; if the drawn ids have more rows
+than that by a quarter, as an id repeated without end has, rows are drawn among them. Spark counts in how many of them each feature occurs; the
 ``FEATURES`` that lean most to P go to numpy on the driver, a few tens of indices per text. Scoring
 covers every whole text, in tasks, with the fitted weights.
 
@@ -139,6 +140,11 @@ def fit_nnpu(feature: np.ndarray, text: np.ndarray, positive: np.ndarray, featur
     return theta[:-1], float(theta[-1])
 
 
+def _row_share(most: int, rows: int) -> float:
+    """The share of drawn rows to keep: all, unless ids with many rows make them far too many."""
+    return 1.0 if rows <= 1.25 * most else most / rows
+
+
 def _sample(docs: DataFrame, labels: DataFrame, most_positive: int,
             most_unlabelled: int) -> tuple[DataFrame, float]:
     """The stored sample (``text``, ``positive``) and the class prior."""
@@ -159,8 +165,15 @@ def _sample(docs: DataFrame, labels: DataFrame, most_positive: int,
               .unionAll(drawn(others, others.count(), most_unlabelled, False)))
     path = run_dir(spark, "toxicity-sample")
     # The ids are as many as the two bounds allow, whatever the input: safe to broadcast.
-    (docs.join(F.broadcast(chosen), F.col("id") == F.col("chosen")).select("text", "positive")
-     .write.parquet(path))
+    chosen = F.broadcast(chosen)
+    rows = docs.join(chosen, F.col("id") == F.col("chosen"))
+    # An id may have any number of rows, so these are counted and drawn once more, row by row.
+    sizes = {r["positive"]: r["count"] for r in rows.groupBy("positive").count().collect()}
+    share = F.when(F.col("positive"), F.lit(_row_share(most_positive, sizes.get(True, 0)))).otherwise(
+        F.lit(_row_share(most_unlabelled, sizes.get(False, 0))))
+    numbered = docs.withColumn("nth", F.monotonically_increasing_id()).join(chosen, F.col("id") == F.col("chosen"))
+    dice = F.pmod(F.xxhash64("id", "nth", "positive", F.lit("row")), F.lit(_FACES)) / _FACES
+    numbered.where(dice < share).select("text", "positive").write.parquet(path)
     return spark.read.schema("text string, positive boolean").parquet(path), prior
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 BITS, PARTS = 64, (16, 16, 16, 16)
 SAMPLE, SAMPLE_QUERIES, TARGET = 8_192, 256, 0.97
-BLOCK_ROWS, QUERY_ROWS = 16_384, 2_048
+BLOCK_ROWS, QUERY_ROWS = 16_384, 16_384
 WIDEN = 4
 _NEARLY = 1e-9
 _FACES = 1 << 40
@@ -150,9 +150,11 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 
 def nearest(table: DataFrame, every: int = 20, neighbours: int = 20, id_column: str = "vec_id",
             vector_column: str = "embedding", block_rows: int = BLOCK_ROWS,
-            query_rows: int = QUERY_ROWS) -> DataFrame:
+            query_rows: int = QUERY_ROWS, target: float = TARGET,
+            radius: int | None = None) -> DataFrame:
     """``query_id``, ``rank`` from 1, the id and ``score`` of the nearest found, for every row
-    whose id is divisible by ``every``."""
+    whose id is divisible by ``every``. The radius is learnt for ``target``, or given: ``BITS`` finds
+    the exact neighbours."""
     out = f"query_id long, {id_column} long, score double"
     spark = table.sparkSession
     number = F.col("vector")
@@ -169,17 +171,22 @@ def nearest(table: DataFrame, every: int = 20, neighbours: int = 20, id_column:
     rows = rows.where(F.size("vector") == common["width"])
     norm = F.sqrt(F.aggregate(number, F.lit(0.0), lambda s, x: s + x * x))
     longest = rows.agg(F.max(norm)).first()[0]
-    dice = F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(_FACES)) / _FACES
-    sample = rows.where(dice < SAMPLE / common["n"]).toPandas().sort_values("id")
+    # Row by row, so that neither an id nor a vector that comes without end fills sample or block.
+    each = F.xxhash64("id", "vector", F.monotonically_increasing_id())
+    dice = F.pmod(F.xxhash64(each, F.lit("sample")), F.lit(_FACES)) / _FACES
+    sample = (rows.withColumn("dice", dice).where(F.col("dice") < SAMPLE / common["n"]).drop("dice")
+              .toPandas().sort_values("id"))
     coder = fit(np.array(sample["vector"].tolist(), np.float64).reshape(len(sample), -1),
-                float(longest), neighbours)
+                float(longest), neighbours, target)
+    if radius is not None:
+        coder.radius = radius
 
     blocks = -(-int(common["n"]) // block_rows)
     asked = (rows.where(F.col("id") % every == 0).groupBy("id").agg(F.min("vector").alias("vector")))
     parties = -(-int(common["n"]) // (every * query_rows)) or 1
 
     def dealt(frame: DataFrame, own: str, parts: int, other: str, copies: int) -> DataFrame:
-        return (frame.withColumn(own, F.pmod(F.xxhash64("id", F.lit(own)), F.lit(parts)).cast("int"))
+        return (frame.withColumn(own, F.pmod(F.xxhash64(each, F.lit(own)), F.lit(parts)).cast("int"))
                 .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))))
 
     def search(queries: pa.Table, block: pa.Table) -> pa.Table:
