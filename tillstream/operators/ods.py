@@ -13,6 +13,7 @@ DIM_TABLES = ("base_province", "user_info", "sku_info", "base_trademark", "base_
               "spu_info")
 ARRAY_INSERT = "INSERT"
 OBJECT_INSERT = "insert"
+DELETE = "delete"
 EMPTY_DATA_LENGTH = 3
 
 _NOTHING = "array<struct<topic:string,value:string>>"
@@ -49,13 +50,21 @@ def fanout_array(messages: DataFrame) -> DataFrame:
     return _fan(parsed, accepted, rows)
 
 
-def fanout_object(messages: DataFrame) -> DataFrame:
+def fanout_object(messages: DataFrame, changes: bool = False) -> DataFrame:
     """Envelopes ``{table, type, data:{row}}``: inserted order rows, and dimension rows of any
-    change type. Bootstrap markers carry an empty object and are dropped by its length."""
-    parsed = codec.parse_envelope(messages, "table string, type string, data string")
+    change type. Bootstrap markers carry an empty object and are dropped by its length. With
+    ``changes``, dimension rows say whether they delete and when (``ts``) they were changed, in members
+    ``_op`` and ``_at`` (see ``dims.dim_changes``)."""
+    parsed = codec.parse_envelope(messages, "table string, type string, data string, ts string")
     table = F.col("table")
     accepted = (F.length("data") > EMPTY_DATA_LENGTH) & (
         (table.isin(*FACT_TABLES) & (F.col("type") == OBJECT_INSERT))
         | table.isin(*DIM_TABLES))
-    row = F.array(F.struct(_topic().alias("topic"), F.col("data").alias("value")))
+    value = F.col("data")
+    if changes:
+        marks = F.concat(F.lit('{"_op":"'), F.when(F.col("type") == DELETE, DELETE).otherwise("upsert"),
+                         F.lit('","_at":'), F.coalesce(F.col("ts").try_cast("bigint"), F.lit(0)), F.lit(","))
+        value = F.when(table.isin(*DIM_TABLES), F.concat(marks, F.substring(F.trim("data"), F.lit(2),
+                                                                            F.length("data")))).otherwise(value)
+    row = F.array(F.struct(_topic().alias("topic"), value.alias("value")))
     return _fan(parsed, accepted, row)

@@ -5,17 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tillstream import schemas
 from tillstream.functions import codec
-from tillstream.operators import dau, dims, dwd, dws, ingest, keyed, ods, search, serve
+from tillstream.operators import dau, dims, dwd, dws, ingest, keyed, ods, ranked, search, serve
 from tillstream.plans import views
 from tillstream.plans.views import sql_with
 from tillstream.session import run_dir, tune
 from tillstream.sinks import tables as sink_tables, topics as sink_topics
 from tillstream.sources.streams import TopicSpec, topic_rows
-from tillstream.sources.tables import query_table, read_day, rows_as_json
+from tillstream.sources.tables import query_table, read_changed_dim, read_day, rows_as_json
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +66,26 @@ def route_app_log(spark, sf_dir):
     return parsed.select("topic", "common.*", "ts")
 
 
+@query("select topic, mid, uid, ch, ts from app_log", "app_log")
+def route_app_log_variant(spark, sf_dir):
+    """The same routing on lines that are parsed once and asked by path."""
+    routed = ingest.route_parsed(ingest.parse_lines(views.app_log(spark, sf_dir)))
+    common = [F.variant_get("log", f"$.common.{name}", "string").alias(name) for name in ("mid", "uid", "ch")]
+    return routed.select("topic", *common, F.variant_get("log", "$.ts", "bigint").alias("ts"))
+
+
+_COMMON = "common: OBJECT<ar: STRING, ch: STRING, mid: STRING, uid: STRING, vc: STRING>"
+
+
+@query(f"""select topic, count(*) as lines, case topic when 'START_LOG'
+      then 'OBJECT<{_COMMON}, start: OBJECT<entry: STRING>, ts: BIGINT>'
+      else 'OBJECT<{_COMMON}, start: STRING, ts: BIGINT>' end as shape
+    from app_log group by topic""", "app_log")
+def log_schema_drift(spark, sf_dir):
+    """Lines and merged schema of every topic."""
+    return ingest.schema_drift(ingest.route_parsed(ingest.parse_lines(views.app_log(spark, sf_dir))))
+
+
 @query("select dt, count(*) as lines from app_log group by dt", "app_log")
 def archive_by_day(spark, sf_dir):
     """The daily archive's line counts, by the time in the line."""
@@ -311,6 +331,30 @@ def dim_changes_latest(spark, sf_dir):
             .select("id", "name"))
 
 
+@query("""select c_custkey id, c_name || case when c_custkey % 10 = 0 then ' v4' else ' v2' end as name
+    from customer where c_custkey % 5 <> 0 or c_custkey % 10 = 0""")
+def dim_with_deletes(spark, sf_dir):
+    """Users inserted, changed, deleted and in part inserted again; the deletes arrive first and the
+    change before them last. Through fan-out and topics into a table that knows deletes."""
+    folder = run_dir(spark, "dim-deletes")
+    key, users = F.col("c_custkey"), views.load(spark, sf_dir, "customer")
+
+    def send(n: int, rows: DataFrame, kind: str, at: int, version: str) -> None:
+        topics = TopicSpec("files", f"{folder}/topics-{n}")
+        data = F.to_json(F.struct(key.cast("string").alias("id"), F.concat("c_name", F.lit(version)).alias("name")))
+        log = rows.select(F.concat(F.lit('{"table":"user_info","type":"%s","ts":%d,"data":' % (kind, at)),
+                                   data, F.lit("}")).alias("value"))
+        sink_topics.write_topics(ods.fanout_object(log, changes=True), topics, 0)
+        changed = dims.dim_changes(topic_rows(spark, topics, "ODS_USER_INFO"), schemas.USER_INFO)
+        sink_tables.upsert(changed, f"{folder}/table", ["id"], n, order=dims.CHANGED)
+
+    send(0, users, "insert", 100, " v1")
+    send(1, users.where(key % 5 == 0), "delete", 300, " v3")
+    send(2, users.where(key % 10 == 0), "insert", 400, " v4")
+    send(3, users, "update", 200, " v2")
+    return read_changed_dim(spark, f"{folder}/table", schemas.USER_INFO).select("id", "name")
+
+
 @query("""select o_orderkey id, o_orderkey % 7 in (0, 1, 2) malformed,
       case o_orderkey % 7 when 0 then 'oops ' || o_orderkey when 1 then '{"id":' || o_orderkey
         when 2 then '{"user_id":"' || o_orderkey || '"}' end as value from orders""")
@@ -502,6 +546,43 @@ def search_match_top(spark, sf_dir):
                        .alias("score"))
 
 
+_RANKED = """
+    with d as (select p_partkey id, list_filter(regexp_split_to_array(lower(case when p_partkey % 3 = 0
+        then p_name || ' red red' else p_name end), '[^a-z0-9]+'), lambda w: w <> '') w from part),
+    s as (select count(*) docs, avg(len(w)) mean from d),
+    t as (select id, len(w) as length, term, len(list_filter(w, lambda x: x = term)) n
+      from d, (select unnest(['red', 'steel', 'blue']) term) where list_contains(w, term)),
+    r as (select term, ln(1 + (docs - count(*) + 0.5) / (count(*) + 0.5)) idf from t, s group by term, docs)
+    select id, cast(round(sum(idf * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * length / mean))) * 1000000) as bigint) score
+    from t join r using (term), s group by id"""
+
+
+def _part_index(spark: SparkSession, sf_dir: str) -> str:
+    """Product names, a third of which have been changed by a second batch."""
+    path = run_dir(spark, "search")
+    parts = views.load(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), "p_name")
+    ranked.index(parts, "p_name", path, 0)
+    ranked.index(parts.where(F.col("id") % 3 == 0).withColumn("p_name", F.concat("p_name", F.lit(" red red"))),
+                 "p_name", path, 1)
+    return path
+
+
+def _score() -> Column:
+    return F.round(F.col("score") * 1_000_000).cast("bigint").alias("score")
+
+
+@query(_RANKED)
+def search_ranked(spark, sf_dir):
+    """Products by how well their names fit three words, from stored postings."""
+    return ranked.search(spark, _part_index(spark, sf_dir), "Red, steel blue").select("id", _score())
+
+
+@query(f"select * from ({_RANKED}) order by score desc, id limit 20")
+def search_ranked_top(spark, sf_dir):
+    found = ranked.search(spark, _part_index(spark, sf_dir), "red steel blue").select("id", _score())
+    return search.top(found, "score", "id", descending=True)
+
+
 def queries() -> dict[str, Query]:
     from tillstream.plans import streams  # noqa: F401  registers the streaming queries
     return {name: entry.run for name, entry in CATALOG.items()}

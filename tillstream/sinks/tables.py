@@ -98,12 +98,13 @@ def read_batch(spark: SparkSession, path: str, schema: T.StructType, batch_id: i
     return spark.read.schema(schema).parquet(_batch_folder(spark, path, batch_id))
 
 
-def _current(stored: DataFrame, schema: T.StructType, keys: Sequence[str],
-             earliest: Sequence[str]) -> DataFrame:
-    """Per key the row of the latest batch or, with ``earliest``, the one smallest by it."""
+def _current(stored: DataFrame, schema: T.StructType, keys: Sequence[str], earliest: Sequence[str],
+             latest: Sequence[str] = ()) -> DataFrame:
+    """Per key the row of the latest batch or, with ``earliest`` or ``latest``, the one smallest or
+    largest by these columns."""
     if earliest:
         return earliest_per_key(stored.drop("batch"), keys, earliest).select(*schema.names)
-    return latest_per_key(stored, keys, ["batch"]).select(*schema.names)
+    return latest_per_key(stored, keys, [*latest, "batch"]).select(*schema.names)
 
 
 def _only_base(spark: SparkSession, path: str, generation: int) -> bool:
@@ -116,9 +117,10 @@ def _only_base(spark: SparkSession, path: str, generation: int) -> bool:
 
 
 def read_keyed(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
-               only: DataFrame | None = None, earliest: Sequence[str] = ()) -> DataFrame:
-    """Current rows of a keyed table: per key those of the latest batch, or with ``earliest`` the
-    row that is smallest by these columns, whichever batch it came in. ``only``, the distinct values
+               only: DataFrame | None = None, earliest: Sequence[str] = (),
+               latest: Sequence[str] = ()) -> DataFrame:
+    """Current rows of a keyed table: per key those of the latest batch, or with ``earliest`` or
+    ``latest`` the row that is smallest or largest by these columns, whichever batch it came in. ``only``, the distinct values
     of the first key that are asked for, filters the table. A table just compacted is read as it is."""
     generation = _generation(spark, path)
     stored = _stored(spark, path, schema, generation)
@@ -126,23 +128,24 @@ def read_keyed(spark: SparkSession, path: str, schema: T.StructType, keys: Seque
         stored = only_keys(stored, only, keys[0])
     if _only_base(spark, path, generation):
         return stored.select(*schema.names)
-    return _current(stored, schema, keys, earliest)
+    return _current(stored, schema, keys, earliest, latest)
 
 
 def compact(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
             before_batch: int, partition: str | None = None,
             keep: Callable[[DataFrame], Column] | None = None, earliest: Sequence[str] = (),
-            slots: int = 0) -> int:
+            slots: int = 0, latest: Sequence[str] = ()) -> int:
     """Fold the batches before the given one into the base of the next generation.
 
     Run it at the beginning of that batch: a replay of the batch folds again and still sees
     nothing of its own. A crash on the way leaves the old generation in force. ``keep`` gives
-    the condition for rows worth keeping; ``earliest`` and ``slots`` are those of reader and writer. Generations older than the one replaced, which no
+    the condition for rows worth keeping; ``earliest``, ``latest`` and
+    ``slots`` are those of reader and writer. Generations older than the one replaced, which no
     reader can have open any more, are removed. Returns the new generation.
     """
     current = _generation(spark, path)
     stored = _stored(spark, path, schema, current).where(F.col("batch") < before_batch)
-    rows = _current(stored, schema, keys, earliest)
+    rows = _current(stored, schema, keys, earliest, latest)
     if keep is not None:
         rows = rows.where(keep(rows))
     if slots:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tillstream.operators.dims import CHANGED, changes_schema
 from tillstream.sinks.tables import read_keyed
 
 
@@ -33,6 +34,13 @@ def read_dim(spark: SparkSession, path: str, schema: T.StructType,
     return read_keyed(spark, path, schema, keys, only)
 
 
+def read_changed_dim(spark: SparkSession, path: str, schema: T.StructType,
+                     keys: tuple[str, ...] = ("id",), only: DataFrame | None = None) -> DataFrame:
+    """Live rows of a dimension table that knows deletes: per key the last change, unless that deletes."""
+    rows = read_keyed(spark, path, changes_schema(schema), keys, only, latest=CHANGED)
+    return rows.where(~F.col("deleted")).select(*schema.names)
+
+
 def read_day(table: DataFrame, date: str) -> DataFrame:
     """One day of a table partitioned by ``dt``; only its folders are listed and read."""
     return table.where(F.col("dt") == date)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tillstream import schemas
@@ -121,9 +121,10 @@ def dau_table(site: Site) -> DataFrame:
 
 # ---- change log ---------------------------------------------------------------------------
 
-def fan_out(site: Site, topic: str, form: str = "object") -> StreamingQuery:
-    """A change-log topic, in ``array`` or ``object`` form, to one ODS topic per table."""
-    spread = {"array": ods.fanout_array, "object": ods.fanout_object}[form]
+def fan_out(site: Site, topic: str, form: str = "object", changes: bool = False) -> StreamingQuery:
+    """A change-log topic, in ``array`` or ``object`` form, to one ODS topic per table. ``changes``
+    tells the dimension topics which rows are deleted."""
+    spread = {"array": ods.fanout_array, "object": lambda m: ods.fanout_object(m, changes)}[form]
     job = f"fan_out_{form}"
     return site.run(job, spread(site.read(topic)), lambda batch, n: site.publish(job, batch, n))
 
@@ -140,6 +141,24 @@ def dimension(site: Site, name: str) -> StreamingQuery:
     return site.run(f"dim_{name}", rows, write)
 
 
+def dimension_changes(site: Site, name: str, keep_deleted: int = 7 * 86_400) -> StreamingQuery:
+    """The same from a topic that tells deletes (``fan_out`` with ``changes``), to ``<name>_live``: a
+    deleted row is gone, and stays so when older changes of it come late. Compaction drops tombstones
+    ``keep_deleted`` seconds older than the youngest change."""
+    schema, table = dims.changes_schema(DIMENSIONS[name]), f"{name}_live"
+    rows = dims.dim_changes(site.read(f"ODS_{name.upper()}", f"dim_{name}_live_group"), DIMENSIONS[name])
+
+    def write(batch: DataFrame, n: int) -> None:
+        def keep(stored: DataFrame) -> Column:
+            youngest = stored.agg(F.max(dims.CHANGED[0])).first()[0] or 0
+            return ~F.col("deleted") | (F.col(dims.CHANGED[0]) >= youngest - keep_deleted)
+
+        site.fold(table, schema, ["id"], n, latest=dims.CHANGED, keep=keep)
+        sink_tables.upsert(batch, site.table(table), ["id"], n, order=dims.CHANGED)
+
+    return site.run(f"dim_{name}_live", rows, write)
+
+
 def _dim(site: Site, name: str, batch: DataFrame | None = None, key: str = "id") -> DataFrame:
     """A dimension table; with a micro-batch, only the rows its ``key`` column refers to."""
     only = None if batch is None else batch.select(F.col(key).alias("id")).distinct()
