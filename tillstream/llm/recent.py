@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 from itertools import batched, chain
+from operator import length_hint
 from typing import Any
 
 # Keys held at once by ``Recent.parts``, and the length from which a text is taken that way.
@@ -42,5 +43,5 @@ class Recent:
                     young[key] = value
         if missing:
             young.update(zip(missing, self._compute(missing)))
-            self._held += sum(map(len, missing))
+            self._held += sum(map(length_hint, missing))
         return [map(young.__getitem__, keys) for keys in keyed]
