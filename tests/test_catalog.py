@@ -32,7 +32,7 @@ def test_tables_may_be_folders_of_files(spark, duck, sf_dir, tmp_path):
         assert compare(spark, duck, QUERIES[name], SQL[name], str(tmp_path)) is None
 
 
-STREAMS = [n for n in sorted(QUERIES) if n.startswith("stream_") or n.endswith("_kept")]
+STREAMS = [n for n in sorted(QUERIES) if n.startswith("stream_") or n.endswith(("_kept", "_sessions"))]
 
 
 @pytest.fixture(scope="module")

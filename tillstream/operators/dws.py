@@ -162,6 +162,34 @@ def apportion(wide: DataFrame) -> DataFrame:
     return _settle(shares, order_sums(shares)).select(*wide.columns)
 
 
+def touch_sessions(touches: DataFrame, key: str, at: str, ttl: int) -> DataFrame:
+    """Sessions of a key whose memory is refreshed by every touch and lost ``ttl`` seconds after the last:
+    ``first_at``, ``last_at`` (seconds) and number of ``touches``. They are defined by the times of the
+    touches, not by their arrival: a late one between two sessions makes them one. Tasks merge what they
+    hold of a key before the shuffle."""
+    kept = touches.groupBy(key, F.session_window(at, f"{ttl} seconds").alias("_w")).agg(
+        F.min(at).alias("_first"), F.max(at).alias("_last"), F.count(F.lit(1)).alias("touches"))
+    return kept.select(key, F.unix_seconds("_first").alias("first_at"), F.unix_seconds("_last").alias("last_at"),
+                       "touches")
+
+
+def apportion_sessions(wide: DataFrame, at: str, ttl: int = SUMS_TTL) -> DataFrame:
+    """``apportion`` with running sums that are forgotten ``ttl`` seconds after an order's last detail
+    (column ``at`` of the rows, a timestamp): an order whose details lie further apart starts anew, and
+    only a session that adds up to the original total hands the remainder to its last detail."""
+    shares = with_shares(wide)
+    window = F.session_window(at, f"{ttl} seconds").alias("_w")
+    sums = shares.groupBy(F.col("order_id").alias("_order"), window).agg(
+        F.sum("_part").alias("seen"), F.sum("_share").alias("given"), F.max("order_detail_id").alias("_last"),
+        F.max("_paid").alias("_paid"), F.max("_total").alias("_total"))
+    closing = sums.where(F.col("seen") == F.col("_total")).select(
+        "_order", "_last", (F.col("_paid") - F.col("given")).alias("_gap"))
+    joined = shares.join(closing, same_key(F.col("order_id"), F.col("_order"))
+                         & (F.col("order_detail_id") == F.col("_last")), "left")
+    paid = money.amount(F.col("_share") + F.coalesce("_gap", F.lit(0)))
+    return joined.withColumn("final_detail_amount", paid).select(*wide.columns)
+
+
 def order_amounts(wide: DataFrame) -> DataFrame:
     """Per order its day, the paid amount counted once per detail, and what its details' shares add
     up to: the paid amount if the order is complete, else the shares given. Nothing is settled by

@@ -142,6 +142,46 @@ def stream_apportion(spark, sf_dir):
                                        _cents("final_detail_amount").alias("cents"))
 
 
+# A gap at which the details of the test orders fall into several sessions, in seconds.
+GAP = 100
+
+
+def _islands(rows: str, key: str, gap: int) -> str:
+    """SQL: the rows with the number of their session, a new one where ``gap`` seconds pass."""
+    return f"""select *, sum(opens) over (partition by {key} order by sec range unbounded preceding) session from (
+      select *, case when sec - lag(sec) over (partition by {key} order by sec) <= {gap} then 0 else 1 end opens
+      from ({rows}))"""
+
+
+@query("""select order_id, cast(min(sec) as bigint) first_at, cast(max(sec) as bigint) last_at, count(*) touches
+    from (%s) group by order_id, session""" % _islands(
+        "select id order_id, epoch_us(made) // 1000000 sec from order_info union all "
+        "select order_id, epoch_us(made) // 1000000 from order_detail", "order_id", GAP),
+       "order_info", "order_detail")
+def pair_sessions(spark, sf_dir):
+    """How long each order is remembered if every touch refreshes its expiry."""
+    store, rows = _pair_store(spark, sf_dir, "pair-sessions")
+    _drain(rows, lambda batch, n: pairs.store_pairs(store, pairs.interval_pairs(store, batch, n), n), store.root)
+    return pairs.order_sessions(store, GAP)
+
+
+@query("""select order_id, order_detail_id, case when seen = original_cents and order_detail_id = last_id
+      then final_cents - given + share else share end cents from (
+    select *, cast(sum(share) over (partition by order_id, session) as bigint) given,
+      cast(sum(part) over (partition by order_id, session) as bigint) seen,
+      max(order_detail_id) over (partition by order_id, session) last_id from (%s))""" % _islands(
+        f"""select w.*, price_cents * sku_num part, epoch_us(t.made) // 1000000 sec,
+          (2 * final_cents * price_cents * sku_num + original_cents) // (2 * original_cents) share
+        from ({WIDE + WITHIN}) w join (select id, made from order_detail) t on t.id = order_detail_id""",
+        "order_id", GAP), "order_info", "order_detail")
+def apportion_sessions(spark, sf_dir):
+    """Amounts split with running sums that expire."""
+    store, rows = _pair_store(spark, sf_dir, "apportion-sessions")
+    _drain(rows, lambda batch, n: pairs.store_pairs(store, pairs.interval_pairs(store, batch, n), n), store.root)
+    done = pairs.apportioned_in_sessions(store, GAP)
+    return done.select("order_id", "order_detail_id", _cents("final_detail_amount").alias("cents"))
+
+
 @query("select dt, hr, count(*) visits from dau group by dt, hr", "app_log", "dau")
 def dau_hours_kept(spark, sf_dir):
     """Visits by day and hour, kept as the logs come in."""

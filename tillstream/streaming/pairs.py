@@ -165,6 +165,26 @@ def lonely(store: PairStore, pairs: DataFrame) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+# ---- sessions -----------------------------------------------------------------------------------
+
+def order_sessions(store: PairStore, ttl: int = dws.CACHE_WAIT) -> DataFrame:
+    """How long each order was remembered: sessions of the times of its versions and its details' (see
+    ``dws.touch_sessions``)."""
+    orders = store.known(_ORDER).select(F.col("id").alias("order_id"), "event_time")
+    touches = orders.unionAll(store.known(_DETAIL).select("order_id", "event_time"))
+    return dws.touch_sessions(touches, "order_id", "event_time", ttl)
+
+
+def apportioned_in_sessions(store: PairStore, ttl: int = dws.SUMS_TTL) -> DataFrame:
+    """All pairs, their amounts split with sums that expire (``dws.apportion_sessions``)."""
+    details = _one_per_key(store.known(_DETAIL), store.keys(_DETAIL), ["event_time"]).select(
+        F.col("id").alias("_detail"), F.col("order_id").alias("_of"), F.col("event_time").alias("_at"))
+    wide = read_pairs(store)
+    timed = wide.join(details, same_key(F.col("order_detail_id"), F.col("_detail"))
+                      & (F.col("order_id") == F.col("_of"))).drop("_detail", "_of")
+    return dws.apportion_sessions(timed, "_at", ttl).drop("_at")
+
+
 # ---- splitting the paid amount ----------------------------------------------------------------
 
 def settle(store: PairStore, wide: DataFrame, n: int) -> DataFrame:
