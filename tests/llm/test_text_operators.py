@@ -272,3 +272,44 @@ def test_recent_is_bounded_by_characters_too(monkeypatch):
     for key in ("a" * 12, "b" * 12, "c" * 12, "a" * 12):
         assert [list(v) for v in memo.rows([[key]])] == [[key * 2]]
     assert len(asked) == 4 and len(memo._young) + len(memo._old) <= 2
+
+
+def _b64(data):
+    import base64
+    return base64.b64encode(data).decode().rstrip("=")
+
+
+@pytest.mark.parametrize("run", [
+    "ey" * 500_000 + _b64(b"}}}") + ".", _b64(b'{"' * 300_000 + b"}") + ".", _b64(b'{"a":' * 150_000 + b"1}") + ".",
+    _b64(b"\\" * 500_000 + b"}") + ".", _b64(b"openssh-key-v1\0" * 50_000), "LS0tLS1CRUdJTi" * 70_000,
+    "MIIEowIBAAKCAQEA" * 50_000])
+def test_crafted_runs_cost_little(run):
+    import time
+    began = time.perf_counter()
+    text = run + (_b64(b'{"a":1}') + ".sig" if run.endswith(".") else "")
+    assert secret_scan.confirmed_spans(text) == []
+    assert time.perf_counter() - began < 15
+
+
+@pytest.mark.parametrize("header", [b'{"alg":"none","x":"}{\\"[","y":[{"z":"\\\\"}]}', b'{"alg":"HS256"} \n'])
+@pytest.mark.parametrize("before", ["", "x/", "eyJ", "key_eyeyey_"])
+def test_tokens_whose_headers_hold_brackets_and_quotes(header, before):
+    token = f"{_b64(header)}.{_b64(bytes([123, 125]))}.c2ln"
+    found = [s for s in secret_scan.confirmed_spans(f"a {before}{token} b") if s[0] == "jwt"]
+    assert ("jwt", 2 + len(before), 2 + len(before) + len(token)) in found
+
+
+def test_keys_under_a_password_and_armour_inside_base64():
+    def der(tag, *parts):
+        body = b"".join(parts)
+        size = bytes([len(body)]) if len(body) < 128 else b"\x82" + len(body).to_bytes(2)
+        return bytes([tag]) + size + body
+    scheme = der(0x30, der(6, bytes.fromhex("2a864886f70d01050d")), der(0x30, der(4, b"salt")))
+    sealed = der(0x30, scheme, der(4, bytes(range(200))))
+    other = der(0x30, der(0x30, der(6, b"\x55\x1d\x0e")), der(4, bytes(range(200))))
+    for data, count in ((sealed, 1), (other, 0)):
+        spans = secret_scan.confirmed_spans(f"k {_b64(data)} end")
+        assert spans == [("key", 2, 2 + len(_b64(data)))] * count
+    pem = f"-----BEGIN ENCRYPTED PRIVATE KEY-----\n{_b64(sealed)}\n-----END ENCRYPTED PRIVATE KEY-----\n"
+    inside = _b64(pem.encode())
+    assert secret_scan.confirmed_spans(f"data: {inside}") == [("key", 6, 6 + len(inside))]

@@ -23,7 +23,7 @@ import binascii
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -52,8 +52,9 @@ _ARMOUR = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----([A-Za-z0-9+/=\s\\]+
 # What stands between lines of an armoured body: white space, or its escape in JSON and the like.
 _BREAKS = re.compile(r"\s+|\\+[nrt]|\\+(?=/)")
 _HEX_DIGITS = re.compile(r"[0-9a-fA-F]{48,}")
-# Where a key may begin inside a run: a SEQUENCE of 16 bytes or more, or the OpenSSH magic.
-_KEY_BASE64 = re.compile(r"M[B-I]|b3BlbnNzaC1rZXkt")
+# Where a key may begin inside a run: a SEQUENCE of 16 bytes or more, the OpenSSH magic, or an armoured
+# key that is itself base64.
+_KEY_BASE64 = re.compile(r"M[B-I]|b3BlbnNzaC1rZXkt|LS0tLS1CRUdJTi")
 _KEY_HEX = re.compile(r"30(?=[1-8])|6[fF]70656[eE]7373682[dD]6[bB]65792[dD]")
 
 Span = tuple[str, int, int]
@@ -93,6 +94,8 @@ def der_items(data: bytes) -> list[tuple[int, bytes]] | None:
 
 
 _INTEGER, _OCTETS, _OID, _SEQUENCE = 0x02, 0x04, 0x06, 0x30
+# Object identifiers of encryption under a password: 1.2.840.113549.1.5 and 1.2.840.113549.1.12.1.
+_PASSWORD_BASED = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
 
 
 def is_der_key(data: bytes) -> bool:
@@ -101,6 +104,9 @@ def is_der_key(data: bytes) -> bool:
         return False
     outer = der_items(data)
     inner = der_items(outer[0][1]) if outer and len(outer) == 1 else None
+    if inner and [tag for tag, _ in inner] == [_SEQUENCE, _OCTETS]:  # encrypted PKCS#8
+        algorithm = der_items(inner[0][1])
+        return bool(algorithm) and algorithm[0][0] == _OID and algorithm[0][1].startswith(_PASSWORD_BASED)
     if not inner or inner[0][0] != _INTEGER or len(inner[0][1]) != 1:
         return False
     tags = [tag for tag, _ in inner]
@@ -117,31 +123,33 @@ def is_der_key(data: bytes) -> bool:
 _SSH_MAGIC = b"openssh-key-v1\x00"
 
 
-def ssh_key_size(data: bytes) -> int:
-    """Bytes of the OpenSSH private key that ``data`` begins with (cipher, KDF, options, key count,
-    public keys, private part), or -1."""
-    if not data.startswith(_SSH_MAGIC):
+def ssh_key_size(read: Callable[[int, int], bytes], total: int) -> int:
+    """Bytes of the OpenSSH private key (cipher, KDF, options, key count, public keys, private part) at
+    the beginning of ``total`` bytes, or -1. ``read`` gives some bytes at a place: only lengths are."""
+    if read(0, len(_SSH_MAGIC)) != _SSH_MAGIC:
         return -1
 
     def string(at: int) -> int:
-        end = at + 4 + int.from_bytes(data[at:at + 4])
-        return end if at + 4 <= len(data) and end <= len(data) else -1
+        if at < 0 or at + 4 > total:
+            return -1
+        end = at + 4 + int.from_bytes(read(at, 4))
+        return end if end <= total else -1
 
     at = len(_SSH_MAGIC)
     for _ in range(3):
-        at = string(at) if at >= 0 else -1
-    if at < 0 or at + 4 > len(data):
+        at = string(at)
+    if at < 0 or at + 4 > total:
         return -1
-    keys, at = int.from_bytes(data[at:at + 4]), at + 4
+    keys, at = int.from_bytes(read(at, 4)), at + 4
     if not 1 <= keys <= 16:
         return -1
     for _ in range(keys + 1):
-        at = string(at) if at >= 0 else -1
+        at = string(at)
     return at
 
 
 def is_ssh_key(data: bytes) -> bool:
-    return ssh_key_size(data) == len(data) > 0
+    return ssh_key_size(lambda at, n: data[at:at + n], len(data)) == len(data) > 0
 
 
 def unbase64(run: str) -> bytes | None:
@@ -178,32 +186,53 @@ def token_spans(text: str) -> list[Span]:
     """Signed tokens, wherever in their first segment the header begins."""
     found = []
     for m in _HEADER.finditer(text):
-        segment = m[0]
-        # A JSON object ends in }; the last bytes depend only on where groups of four begin.
-        ends = [None] * 4
-        for place in _OPENING.finditer(segment) if m[1] else ():
-            start = place.start()
-            if ends[start % 4] is None:
-                tail = segment[max(start, start + (len(segment) - start - 8) // 4 * 4):]
-                last = unbase64(tail)
-                ends[start % 4] = last is not None and last.rstrip()[-1:] in (b"}", b"")
-            if ends[start % 4] and is_signed_token(segment[start:] + m[1]):
+        if not m[1] or _json_object(m[1].rstrip("=").split(".")[1]) is None:
+            continue
+        segment, starts = m[0], []
+        # A place decodes to the end of what its alignment decodes to, and one object at most ends there.
+        for phase in range(4):
+            data = unbase64(segment[phase:]) or b""
+            at = _last_object(data.decode("latin-1")) if data.rstrip()[-1:] == b"}" else -1
+            if at >= 0 and at % 3 == 0:
+                starts.append(phase + at // 3 * 4)
+        for start in sorted(starts):
+            if _OPENING.match(segment, start) and is_signed_token(segment[start:] + m[1]):
                 found.append(("jwt", m.start() + start, m.end(1)))
                 break
     return found
 
 
+_MARKS = re.compile(r'\\++(["{}\[\]])?|["{}\[\]]')
+
+
+def _last_object(text: str) -> int:
+    """Where a JSON object would begin that ends with the text's last brace, or -1. Read backwards, quotes
+    and brackets tell: a quote behind an odd number of backslashes is inside a string."""
+    marks = [(m.end() - 1, m[0][-1]) for m in _MARKS.finditer(text)
+             if m[0][0] != "\\" or m[1] and (len(m[0]) % 2 or m[1] != '"')]
+    depth, inside = 0, False
+    for at, mark in reversed(marks):
+        if mark == '"':
+            inside = not inside
+        elif not inside:
+            depth += 1 if mark in "}]" else -1
+            if depth <= 0:
+                return at if mark == "{" and depth == 0 else -1
+    return -1
+
+
 def _is_key(data: bytes | None) -> bool:
     return bool(data) and (is_der_key(data) or is_ssh_key(data))
 
 
 def _der_size(head: bytes | None) -> int:
     """Bytes of the SEQUENCE that begins with ``head`` (eight bytes or more), by its length; -1 if
-    it does not open with an INTEGER of one byte, as every key does."""
+    it does not open with an INTEGER of one byte or a SEQUENCE, as every key does."""
     if not head or len(head) < 8 or head[0] != _SEQUENCE:
         return -1
     width = head[1] & 0x7F if head[1] & 0x80 else 0
-    if width > 4 or head[1] == 0x80 or head[2 + width:4 + width] != b"\x02\x01":
+    if width > 4 or head[1] == 0x80 or (
+            head[2 + width:4 + width] != b"\x02\x01" and head[2 + width] != _SEQUENCE):
         return -1
     return 2 + width + (int.from_bytes(head[2:2 + width]) if width else head[1])
 
@@ -211,16 +240,26 @@ def _der_size(head: bytes | None) -> int:
 def _base64_keys(body: str) -> Iterator[tuple[int, int]]:
     """Keys in a run of base64 or base64url, from any place in it to its end or to a character that
     may also be a separator (/ _ - +). The length at the place says where a key ends."""
-    at = 0
+    at, armoured = 0, set()
     for m in _KEY_BASE64.finditer(body):
         start = m.start()
         if start < at:
             continue
+        if body[start] == "L":
+            if start % 4 not in armoured and _is_armoured_key(unbase64(body[start:])):
+                yield start, len(body)
+                return
+            armoured.add(start % 4)
+            continue
         if body[start] == "M":
             size = _der_size(unbase64(body[start:start + 12]))
         else:
-            left = len(body) - start
-            size = ssh_key_size(unbase64(body[start:start + left - (left % 4 == 1)]) or b"")
+            def read(place: int, n: int, start: int = start) -> bytes:
+                group = place // 3
+                some = body[start + group * 4:start + -(-(place + n) // 3) * 4]
+                return (unbase64(some[:len(some) - (len(some) % 4 == 1)]) or b"")[place - group * 3:][:n]
+
+            size = ssh_key_size(read, (len(body) - start) * 3 // 4)
         end = start + (4 * size + 2) // 3
         if size < 0 or end > len(body) or end < len(body) and body[end] not in "/_-+":
             continue
@@ -229,6 +268,11 @@ def _base64_keys(body: str) -> Iterator[tuple[int, int]]:
             at = end
 
 
+def _is_armoured_key(data: bytes | None) -> bool:
+    found = _ARMOUR.search((data or b"").decode("latin-1"))
+    return bool(found) and _is_key(unbase64(_BREAKS.sub("", found[1])))
+
+
 def _hex_keys(body: str) -> Iterator[tuple[int, int]]:
     """Keys in a stretch of hex digits, from any place in it to its end."""
     for m in _KEY_HEX.finditer(body):
