@@ -81,7 +81,7 @@ def test_the_rest_stands_alone(tmp_path):
         return subprocess.run([sys.executable, "-B", "-c", code], cwd=folder, capture_output=True,
                               text=True, timeout=120, check=True).stdout.split()
 
-    assert run(REPO) == ["10", "True", "True", "True"]
+    assert run(REPO) == ["13", "True", "True", "True"]
     rest = tmp_path / "rest"
     skip = shutil.ignore_patterns("llm", "corpus_pipeline.py", ".git", "__pycache__")
     shutil.copytree(REPO, rest, ignore=skip)
