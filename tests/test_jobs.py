@@ -192,24 +192,25 @@ def test_jobs_start_at_given_offsets(site, monkeypatch):
     assert asked == {"CHANGES": {0: 12, 1: 7}, "OTHER": "latest"}
 
 
-def test_first_order_decision_survives_a_replay(site, spark):
-    """The batch is flagged, its users are stored, and then it runs again: same flags."""
-    from tillstream.streaming import state
-    shape = "id long, user_id long, create_time string"
-    batch = spark.createDataFrame([(1, 5, "2024-01-01 00:00:02"), (2, 5, "2024-01-01 00:00:01")],
-                                  shape)
+def test_user_table_tells_a_new_job_who_has_ordered(site, spark):
+    """Users of the table are no first buyers; folding the table keeps two generations."""
+    from tillstream.streaming import first_orders, state
     table = site.table("user_state")
-    for _ in range(2):
-        flagged = state.first_orders(batch, 3, table)
-        assert {r.id: r.if_first_order for r in flagged.collect()} == {1: "0", 2: "1"}
-        state.remember_users(flagged, 3, table)
-    later = state.first_orders(batch, 4, table)
-    assert {r.if_first_order for r in later.collect()} == {"0"}
+    old = spark.createDataFrame([(1, 5, "1")], "id long, user_id long, if_first_order string")
+    for n in range(3):
+        state.remember_users(old, n, table)
     for generation in (1, 2, 3):
         assert tables.compact(spark, table, schemas.USER_STATE, ["user_id"], 4,
                               slots=state.USER_SLOTS) == generation
-        assert {r.if_first_order for r in state.first_orders(batch, 4, table).collect()} == {"0"}
+        assert [r.user_id for r in first_orders.known_users(spark, table).collect()] == ["5"]
     assert sorted(os.listdir(table)) == ["gen=2", "gen=3"]
+    sent = [{"id": str(i), "user_id": u, "create_time": "2024-01-01 10:00:00"} for i, u in ((7, "5"), (8, "6"))]
+    publish(site, "ODS_ORDER_INFO", sent, 0)
+    finish(jobs.order_info(site))
+    rows = [json.loads(r.value) for r in
+            spark.read.parquet(f"{site.topics.address}/topic=DWD_ORDER_INFO").collect()]
+    assert {r["id"]: r["if_first_order"] for r in rows} == {7: "0", 8: "1"}
+    assert {r.user_id for r in first_orders.known_users(spark, table).collect()} == {"5", "6"}
 
 
 def test_deleted_dimension_rows_stay_deleted(spark, tmp_path):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tillstream import schemas
 from tillstream.operators import dau, dws
 from tillstream.sinks import tables
-from tillstream.streaming import pairs, runtime, state
+from tillstream.streaming import batch_log, first_orders, ledger, pairs, runtime, state
 
 
 class Feed:
@@ -259,18 +259,116 @@ def test_one_user_opens_one_folder(spark, tmp_path):
     assert "slot" in plan.split("PartitionFilters")[1].split("]")[0]
 
 
-def test_first_flags_move_when_an_earlier_order_arrives_late(spark, tmp_path):
-    firsts, flags = str(tmp_path / "firsts"), str(tmp_path / "flags")
-    shape = "id long, user_id long, create_time string"
-    batches = [[(1, 5, at(50)), (2, 5, at(60)), (3, None, at(1)), (8, 6, at(9))],
-               [(4, 5, at(10)), (4, 5, at(10)), (5, None, at(0)), (9, 6, at(10))],
-               [(6, 5, at(30)), (7, 7, at(30))]]
-    for n, rows in enumerate(batches):
-        for _ in range(2):
-            state.flag_by_time(spark.createDataFrame(rows, shape), n, firsts, flags)
-    got = {r.id: r.if_first_order for r in
-           tables.read_keyed(spark, flags, state.FLAGS, ["id"]).collect()}
-    assert {i for i, f in got.items() if f == "1"} == {4, 7, 8} and set(got) == set(range(1, 10))
+HEAD = "id long, user_id long, create_time string"
+
+
+def flag_run(spark, feed, tmp_path, name, before=None, by_time=False):
+    """Drain the feed into a table of flags; the flags now, and what each batch gave."""
+    table, seen = str(tmp_path / f"{name}-flags"), {}
+
+    def write(batch, n):
+        first_orders.store_flags(batch, n, table)
+        seen[n] = sorted((r.id or 0, r.if_first_order) for r in batch.collect())
+
+    flagged = first_orders.flag(feed.stream(), before, by_time)
+    runtime.finish(runtime.start(flagged, write, str(tmp_path / name), drain=True, state_partitions=2), 300)
+    return {r.id: r.if_first_order for r in first_orders.read_flags(spark, table).collect()}, seen
+
+
+@pytest.fixture
+def heads(spark, tmp_path):
+    from pyspark.sql.types import _parse_datatype_string
+    return Feed(spark, tmp_path / "heads", _parse_datatype_string(HEAD))
+
+
+def test_first_flags_move_when_an_earlier_order_arrives_late(spark, tmp_path, heads):
+    for rows in ([(1, 5, at(50)), (2, 5, at(60)), (3, None, at(1)), (8, 6, at(9)), (None, 6, at(1))],
+                 [(4, 5, at(10)), (4, 5, at(10)), (5, None, at(0)), (9, 6, at(10)), (10, 3, None)],
+                 [(6, 5, at(30)), (7, 7, at(30)), (8, 6, at(9)), (11, 2, at(1))],
+                 [(8, 6, at(99)), (10, 3, at(7))]):      # sent again, with other times
+        heads.add(rows)
+    before = spark.createDataFrame([("2",), (None,), ("no number",)], "user_id string")
+    flags, _ = flag_run(spark, heads, tmp_path, "time", before, by_time=True)
+    assert {i for i, f in flags.items() if f == "1"} == {4, 7, 8, 10}
+    assert set(flags) == {None, *range(1, 12)}
+
+
+def test_flags_by_time_do_not_depend_on_the_cut(spark, tmp_path):
+    from pyspark.sql.types import _parse_datatype_string
+    rng = random.Random(5)
+    rows = [(i, rng.choice([None, 1, 1, 1, 2, 3, 4]), at(rng.randint(0, 40))) for i in range(80)]
+    rows += rng.sample(rows, 30)
+    best = {}
+    for i, user, time in rows:
+        if user is not None:
+            best[user] = min(best.get(user, (time, i)), (time, i))
+    for parts in (1, 4):
+        rng.shuffle(rows)
+        feed = Feed(spark, tmp_path / f"cut{parts}", _parse_datatype_string(HEAD))
+        for p in range(parts):
+            feed.add(rows[p::parts])
+        flags, _ = flag_run(spark, feed, tmp_path, f"run{parts}", by_time=True)
+        assert {i for i, f in flags.items() if f == "1"} == {i for _, i in best.values()}
+
+
+def test_first_orders_by_arrival_survive_a_restart(spark, tmp_path, heads):
+    heads.add([(1, 5, at(50)), (2, 5, at(40)), (3, 6, at(1))])
+    assert flag_run(spark, heads, tmp_path, "arrival")[1] == {0: [(1, "0"), (2, "1"), (3, "1")]}
+    heads.add([(4, 5, at(0)), (2, 5, at(40)), (5, 7, at(3))])
+    flags, seen = flag_run(spark, heads, tmp_path, "arrival")
+    assert seen == {1: [(2, "1"), (4, "0"), (5, "1")]}
+    assert {i for i, f in flags.items() if f == "1"} == {2, 3, 5}
+
+
+def test_a_batch_replayed_by_the_state_store_decides_as_before(spark, tmp_path, heads):
+    heads.add([(1, 5, at(50))])
+    flag_run(spark, heads, tmp_path, "replay")
+    heads.add([(2, 5, at(60)), (3, 6, at(60))])
+    flagged, seen = first_orders.flag(heads.stream()), []
+
+    def write(batch, n):
+        seen.append(sorted((r.id, r.if_first_order) for r in batch.collect()))
+        if len(seen) == 1:
+            raise ValueError("sink is down")
+
+    def go():
+        runtime.finish(runtime.start(flagged, write, str(tmp_path / "replay"), drain=True), 300)
+
+    with pytest.raises(Exception, match="sink is down"):
+        go()
+    go()
+    assert seen == [[(2, "0"), (3, "1")]] * 2
+
+
+def test_lonely_rows_go_out_when_their_wait_has_passed_and_are_withdrawn(spark, tmp_path, feeds):
+    """Order 1 goes out alone and is met late; detail 20 meets nothing; order 4 still waits."""
+    row = lambda i, t: (i, 1, None, None, at(t))
+    line = lambda i, o, t: (i, o, None, 1, at(t))
+    cuts = [([row(1, 0), row(2, 10)], [line(20, 9, 5), line(21, 2, 12)]),
+            ([row(3, 700)], [line(31, 3, 710)]),
+            ([row(4, 1500)], [line(11, 1, 8)]),
+            ([row(2, 10)], [line(21, 2, 12), line(31, 3, 710)])]
+
+    def sides(held):
+        return sorted((r.side, r.order_id, r.order_detail_id or 0) for r in ledger.read(held).collect())
+
+    def batch(orders, details):
+        return pairs.side_by_side(spark.createDataFrame(orders, ORDER), spark.createDataFrame(details, DETAIL))
+
+    held, after = store(spark, tmp_path, feeds, "cut"), []
+    for n, cut in enumerate(cuts):
+        for _ in range(2):      # as if the first attempt had failed just before its commit
+            ledger.write(held, batch(*cut), n)
+        after.append(sides(held))
+    want = [("both", 1, 11), ("both", 2, 21), ("both", 3, 31), ("detail", 9, 20)]
+    assert after[0] == [("both", 2, 21)]
+    assert after[1] == [("both", 2, 21), ("both", 3, 31), ("detail", 9, 20), ("order", 1, 0)]
+    assert after[2] == after[3] == want
+    log = tables.read_slots(spark, held.table("ledger"), ledger.LEDGER)
+    assert [(r.side, r.order_id) for r in log.where("gone").collect()] == [("order", 1)]
+    whole = store(spark, tmp_path, feeds, "whole")
+    ledger.write(whole, batch([o for c in cuts for o in c[0]], [d for c in cuts for d in c[1]]), 0)
+    assert sides(whole) == want
 
 
 def test_a_restarted_query_goes_on_where_it_stopped(spark, tmp_path):
@@ -286,6 +384,32 @@ def test_a_restarted_query_goes_on_where_it_stopped(spark, tmp_path):
     assert sorted(got) == sorted(dau.first_visit(as_starts(spark, rows)).collect())
 
 
+def test_the_batch_log_remembers_more_than_the_query(spark, tmp_path):
+    """More batches than ``recentProgress`` holds, and a restart."""
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "4")
+    feed = Feed(spark, tmp_path / "in", schemas.SEARCH_DOC)
+    folder = str(tmp_path / "log")
+    log = batch_log.BatchLog(spark, folder)
+    spark.streams.addListener(log)
+    try:
+        rows = feed.stream().observe("docs", F.count(F.lit(1)).alias("n"), F.max("id").alias("text"))
+        for parts in (8, 3):
+            for _ in range(parts):
+                feed.add([("1", "a"), ("2", "b")])
+            query = run(rows, lambda batch, n: batch.write.mode("append").format("noop").save(), tmp_path)
+            assert len(query.recentProgress) <= 4
+            log.wait(query)
+    finally:
+        spark.streams.removeListener(log)
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    batches = batch_log.read(spark, folder).collect()
+    assert sorted(b.batch for b in batches) == list(range(11)) and len({b["query"] for b in batches}) == 1
+    assert {(b.rows, tuple(b.counts.items())) for b in batches} == {(2, (("docs.n", 2),))}
+    assert [(t.counted, t.n) for t in batch_log.totals(spark, folder).collect()] == [("docs.n", 22)]
+    (end,) = batch_log.position(spark, folder, batches[0]["query"]).values()
+    assert end == {"logOffset": 10}
+
+
 def test_a_failing_writer_fails_the_query(spark, tmp_path):
     feed = Feed(spark, tmp_path / "in", schemas.SEARCH_DOC)
     feed.add([("1", "a")])

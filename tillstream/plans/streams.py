@@ -13,7 +13,7 @@ from tillstream.plans.catalog import (DAU_DAY, FIRST_ORDER, HOP, WIDE, WITHIN, _
 from tillstream.session import run_dir
 from tillstream.sinks import tables as sink_tables, topics as sink_topics
 from tillstream.sources.streams import TopicSpec, topic_stream
-from tillstream.streaming import kept, pairs, runtime, state
+from tillstream.streaming import batch_log, first_orders, kept, ledger, pairs, runtime, state
 
 # What a micro-batch takes from each source at most. Results do not depend on it.
 TRIGGER = {"maxBytesPerTrigger": str(1 << 30)}
@@ -35,8 +35,9 @@ def _as_messages(rows: DataFrame, folder: str) -> DataFrame:
     return _read(rows.sparkSession, folder, rows.schema)
 
 
-def _drain(stream: DataFrame, write, folder: str) -> None:
-    runtime.finish(runtime.start(stream, write, f"{folder}/checkpoint", drain=True))
+def _drain(stream: DataFrame, write, folder: str, state_partitions: int | None = None) -> None:
+    runtime.finish(runtime.start(stream, write, f"{folder}/checkpoint", drain=True,
+                                 state_partitions=state_partitions))
     runtime.discard(stream.sparkSession, f"{folder}/checkpoint", f"{folder}/staged")
 
 
@@ -64,16 +65,34 @@ def stream_dau_topics(spark, sf_dir):
 @query(FIRST_ORDER, "order_info", "user_state")
 def stream_first_order(spark, sf_dir):
     """First orders by time, whatever order they arrive in."""
-    orders = views.order_head_from(_stream(spark, sf_dir, "orders")).drop("event_time")
+    orders = views.order_head_from(_stream(spark, sf_dir, "orders"))
     folder = run_dir(spark, "stream-first-order")
-    firsts, flags = f"{folder}/firsts", f"{folder}/flags"
-    # Who has ordered before the stream starts comes before any time.
-    before = views.user_state(spark, sf_dir).select(
-        F.col("user_id").cast("bigint").alias("user_id"), F.lit("").alias("create_time"),
-        F.lit(None).cast("bigint").alias("id"))
-    sink_tables.upsert(before, firsts, ["user_id"], sink_tables.BASE_BATCH, slots=state.USER_SLOTS)
-    _drain(orders, lambda batch, n: state.flag_by_time(batch, n, firsts, flags), folder)
-    return sink_tables.read_keyed(spark, flags, state.FLAGS, ["id"])
+    flagged = first_orders.flag(orders.select("id", "user_id", "create_time"),
+                                views.user_state(spark, sf_dir), by_time=True)
+    _drain(flagged, lambda batch, n: first_orders.store_flags(batch, n, f"{folder}/flags"), folder,
+           spark.sparkContext.defaultParallelism)
+    return first_orders.read_flags(spark, f"{folder}/flags")
+
+
+@query("""select count(*) logs, count(case when hr < '12' then 1 end) mornings from (
+    select strftime(ts, '%H') hr from events)""")
+def stream_dau_counts(spark, sf_dir):
+    """Logs that a stream has read, as its batches were logged one by one."""
+    folder = run_dir(spark, "stream-dau-counts")
+    hour = F.date_format(F.timestamp_millis(F.get_json_object("value", "$.ts").cast("bigint")), "HH")
+    lines = views.app_log_from(_stream(spark, sf_dir, "events"))
+    counted = lines.observe("logs", F.count(F.lit(1)).alias("all"), F.count_if(hour < "12").alias("mornings"))
+    log = batch_log.BatchLog(spark, f"{folder}/log")
+    spark.streams.addListener(log)
+    try:
+        query = runtime.start(counted, lambda batch, n: runtime.staged(batch, f"{folder}/staged", n),
+                              f"{folder}/checkpoint", drain=True, name=f"dau-counts-{folder[-12:]}")
+        log.wait(runtime.finish(query))
+    finally:
+        spark.streams.removeListener(log)
+    totals = batch_log.totals(spark, f"{folder}/log")
+    return totals.agg(*[F.sum(F.when(F.col("counted") == f"logs.{c}", F.col("n"))).alias(name)
+                        for c, name in (("all", "logs"), ("mornings", "mornings"))])
 
 
 def _pair_store(spark: SparkSession, sf_dir: str, name: str) -> tuple[pairs.PairStore, DataFrame]:
@@ -118,6 +137,21 @@ def stream_full_outer(spark, sf_dir):
     return sides.select("side", "order_id", "order_detail_id")
 
 
+@query(f"""select * from (with met as (select i.id oid, d.id did from order_info i join order_detail d
+    on i.id = d.order_id {WITHIN}),
+    late as (select max(made) - interval 600 seconds past from (select made from order_info union all
+      select made from order_detail))
+  select 'both' side, oid order_id, did order_detail_id from met
+  union all select 'order', id, null from order_info, late where made < past and id not in (select oid from met)
+  union all select 'detail', order_id, id from order_detail, late
+    where made < past and id not in (select did from met))""", "order_info", "order_detail")
+def stream_full_outer_log(spark, sf_dir):
+    """Pairs, and the rows that have stayed alone as soon as their wait has passed."""
+    store, rows = _pair_store(spark, sf_dir, "stream-outer-log")
+    _drain(rows, lambda batch, n: ledger.write(store, batch, n), store.root)
+    return ledger.read(store).select("side", "order_id", "order_detail_id")
+
+
 # Only pairs within ten minutes meet, so an order with a later detail is never completed and
 # keeps plain proportional shares.
 STREAM_SHARES = """select order_id, order_detail_id, case when seen = original_cents

@@ -185,6 +185,14 @@ def read_slots(spark: SparkSession, path: str, schema: T.StructType, slots: Sequ
     return rows if before_batch is None else rows.where(F.col("batch") < before_batch)
 
 
+def slots_present(spark: SparkSession, path: str, slot: str = SLOT) -> list[int]:
+    """The numbers of the folders of such a table, from one listing of its root."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+    return [int(n.split("=")[1]) for n in names if n.startswith(f"{slot}=") and n.split("=")[1].lstrip("-").isdigit()]
+
+
 def jdbc_options(url: str, table: str, batch_size: int = 100, writers: int = 4,
                  **more: str) -> dict[str, str]:
     """Writer options of the wide table: rows per statement, parallel writers, no transaction."""

@@ -14,10 +14,11 @@ from pyspark.sql.streaming import StreamingQuery
 from tillstream import schemas
 from tillstream.functions import codec
 from tillstream.operators import dau, dims, dwd, ingest, ods
+from tillstream.operators.keyed import latest_per_key
 from tillstream.sinks import tables as sink_tables, topics as sink_topics
 from tillstream.sources import streams
 from tillstream.sources.tables import read_dim
-from tillstream.streaming import pairs, runtime, state
+from tillstream.streaming import first_orders, pairs, runtime, state
 
 DIMENSIONS: dict[str, T.StructType] = {
     "base_province": schemas.PROVINCE, "user_info": schemas.USER_INFO,
@@ -69,11 +70,14 @@ class Site:
               required: tuple[str, ...] = ("id",)) -> DataFrame:
         """Typed rows of a batch of messages; text that is no record, or has no id, goes to the
         quarantine topic as it came."""
-        marked = codec.parse_marked(batch, schema, required)
+        return self.sound(job, codec.parse_marked(batch, schema, required), n, schema.names)
+
+    def sound(self, job: str, marked: DataFrame, n: int, names: list[str]) -> DataFrame:
+        """The same of messages that ``codec.parse_marked`` has parsed already."""
         lost = marked.where("malformed").select(F.lit(ingest.QUARANTINE).alias("topic"),
                                                 F.lit(None).cast("string").alias("key"), "value")
         self.publish(f"{job}-rejects", lost, n)
-        return marked.where(~F.col("malformed")).select(*schema.names)
+        return marked.where(~F.col("malformed")).select(*names)
 
 
 # ---- app log ------------------------------------------------------------------------------
@@ -167,21 +171,24 @@ def _dim(site: Site, name: str, batch: DataFrame | None = None, key: str = "id")
 
 def order_info(site: Site) -> StreamingQuery:
     """Orders with date parts, first-order flag, province and user, to DWD_ORDER_INFO (keyed
-    by order id) and the user-state table."""
-    orders = site.read("ODS_ORDER_INFO", "order_info_group").select("value")
+    by order id) and the user-state table. Who has ordered is known to the stream's own state; the
+    table is read when the job first starts, for users of earlier times."""
+    messages = site.read("ODS_ORDER_INFO", "order_info_group").select("value")
+    marked = codec.parse_marked(messages, schemas.ORDER_INFO, ("id",))
+    flagged = first_orders.flag(marked, first_orders.known_users(site.spark, site.table("user_state")))
 
     def write(batch: DataFrame, n: int) -> None:
         site.fold("user_state", schemas.USER_STATE, ["user_id"], n, slots=state.USER_SLOTS)
-        typed = site.typed("order_info", batch, n, schemas.ORDER_INFO)
-        arrived = site.staged("order_info_in", dwd.with_create_parts(typed), n)
-        flagged = state.first_orders(arrived, n, site.table("user_state"))
-        rich = dwd.with_user(dwd.with_province(flagged, _dim(site, "base_province")),
-                             _dim(site, "user_info", arrived, "user_id"))
+        batch = site.staged("order_info_in", batch, n)
+        orders = site.sound("order_info", batch, n, [*schemas.ORDER_INFO.names, "if_first_order"])
+        orders = latest_per_key(orders, ["id"], ["if_first_order"])
+        rich = dwd.with_user(dwd.with_province(dwd.with_create_parts(orders), _dim(site, "base_province")),
+                             _dim(site, "user_info", batch, "user_id"))
         rich = site.staged("order_info_out", rich.select(*schemas.ORDER_INFO_DWD.names), n)
         site.publish("order_info", sink_topics.messages(rich, "DWD_ORDER_INFO", F.col("id")), n)
         state.remember_users(rich, n, site.table("user_state"))
 
-    return site.run("order_info", orders, write)
+    return site.run("order_info", flagged, write)
 
 
 def order_detail(site: Site) -> StreamingQuery:

@@ -3,16 +3,15 @@
 Memory is kept in tables, not behind watermarks, so an answer does not depend on how the input is cut
 into micro-batches or on the order in which rows arrive. A table's rows carry the number of the batch
 that wrote them and a batch reads only those of earlier ones, so a replayed batch decides as it did
-the first time. Pairs of orders and details are in ``pairs``.
+the first time. Pairs of orders and details are in ``pairs``, first orders in ``first_orders``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from tillstream import schemas
-from tillstream.operators import dau, dims, dwd
-from tillstream.operators.keyed import earliest_per_key
+from tillstream.operators import dau, dims
 from tillstream.sinks import tables as sink_tables
 
 # Folders that user tables are dealt over by a hash of the user.
@@ -34,57 +33,9 @@ def read_visits(spark, table: str) -> DataFrame:
     return sink_tables.read_keyed(spark, table, schemas.DAU_INFO, VISIT, earliest=VISIT_ORDER)
 
 
-# ---- first order of a user ---------------------------------------------------------------
-
-def first_orders(batch: DataFrame, batch_id: int, table: str) -> DataFrame:
-    """Flag a micro-batch of orders against the user-state table as of before the batch.
-    Between batches arrival decides who is first, inside a batch ``create_time``, then ``id``.
-
-    Of the table only the folders that the batch's users hash to are opened.
-    """
-    users = batch.select(F.col("user_id").cast("string").alias("user_id")).distinct()
-    known = sink_tables.read_batches(batch.sparkSession, table, schemas.USER_STATE, batch_id,
-                                     slots=sink_tables.slots_of(users, "user_id", USER_SLOTS))
-    return dwd.first_order_flag(batch, known)
-
+# ---- users who have ordered (who is first: ``first_orders``) ------------------------------
 
 def remember_users(flagged: DataFrame, batch_id: int, table: str) -> None:
     """Add the users whose first order the batch holds; all others are in the table already."""
     fresh = dims.user_state_rows(flagged.where(F.col("if_first_order") == "1"))
     sink_tables.upsert(fresh, table, ["user_id"], batch_id, slots=USER_SLOTS)
-
-
-FIRSTS = T.StructType([T.StructField("user_id", T.LongType()),
-                       T.StructField("create_time", T.StringType()), T.StructField("id", T.LongType())])
-FLAGS = T.StructType([T.StructField("id", T.LongType()), T.StructField("user_id", T.LongType()),
-                      T.StructField("if_first_order", T.StringType())])
-
-
-def flag_by_time(batch: DataFrame, n: int, firsts: str, flags: str) -> None:
-    """Flag a micro-batch by the time of the orders whatever order they arrive in, and take the flag
-    back from an order that a later batch shows not to have been the first.
-
-    ``firsts`` holds the earliest order known of each user (an id of null: has ordered before all
-    of them), ``flags`` the current flag of every order. Users without id are nobody's first."""
-    spark = batch.sparkSession
-    orders = batch.select("id", "user_id", "create_time")
-    users = orders.where(F.col("user_id").isNotNull()).select("user_id").distinct()
-    known = sink_tables.read_batches(spark, firsts, FIRSTS, n,
-                                     slots=sink_tables.slots_of(users, "user_id", USER_SLOTS))
-    known = (earliest_per_key(known.join(users, "user_id", "left_semi"), ["user_id"],
-                              ["create_time", "id"])
-             .select(F.col("user_id").alias("_user"), F.col("create_time").alias("_time"),
-                     F.col("id").alias("_id")))
-    own = earliest_per_key(orders.where(F.col("user_id").isNotNull() & F.col("id").isNotNull()),
-                           ["user_id"], ["create_time", "id"])
-    met = own.join(known, F.col("user_id") == F.col("_user"), "left")
-    first = F.col("_user").isNull() | (F.struct("create_time", "id") < F.struct("_time", "_id"))
-    fresh = met.where(first)
-    sink_tables.upsert(fresh.select(*FIRSTS.names), firsts, ["user_id"], n, slots=USER_SLOTS)
-    now = sink_tables.read_batch(spark, firsts, FIRSTS, n).select(F.col("id").alias("_first"))
-    flagged = (orders.dropDuplicates(["id"]).join(now, F.col("id") == F.col("_first"), "left")
-               .select("id", "user_id", F.when(F.col("_first").isNotNull(), "1").otherwise("0")
-                       .alias("if_first_order")))
-    back = (fresh.where(F.col("_id").isNotNull() & (F.col("_id") != F.col("id")))
-            .select(F.col("_id").alias("id"), "user_id", F.lit("0").alias("if_first_order")))
-    sink_tables.append_table(flagged.unionByName(back), flags, n, None)
