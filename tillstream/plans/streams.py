@@ -5,13 +5,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillstream import schemas
 from tillstream.operators import dau, dwd, ingest
 from tillstream.plans import views
 from tillstream.plans.catalog import (DAU_DAY, FIRST_ORDER, HOP, WIDE, WITHIN, _cents,
                                       _wide_columns, query)
 from tillstream.session import run_dir
-from tillstream.sinks import tables as sink_tables, topics as sink_topics
+from tillstream.sinks import topics as sink_topics
 from tillstream.sources.streams import TopicSpec, topic_stream
 from tillstream.streaming import batch_log, first_orders, kept, ledger, pairs, runtime, state
 
