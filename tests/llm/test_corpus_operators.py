@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+from itertools import combinations
 import zlib
 
 import numpy as np
@@ -131,6 +132,9 @@ def test_proximity_is_order_free(spark, make_docs, tmp_path):
         decontaminate.proximity_matches(index, phrases, frequency, 50)
 
 
+NEAR = [sum(1 << b for b in bits) for n in (1, 2, 3) for bits in combinations(range(16), n)]
+
+
 def plain_print(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(UPPER))
     shingles = [" ".join(w[i:i + 3]) for i in range(len(w) - 2)] or ([" ".join(w)] if w else [])
@@ -200,6 +204,46 @@ def test_links_connect_what_pairs_connect(spark, monkeypatch, cell):
     assert len(set(zip(ours, true))) == len(set(true)) == len(set(ours))
 
 
+@pytest.mark.parametrize("part", [1, 7, 64])
+def test_long_texts_are_read_in_parts(monkeypatch, part):
+    monkeypatch.setattr(simhash, "_PART", part)
+    rng = np.random.default_rng(part)
+    for size in (0, 1, 2, 3, 4, 40):
+        words = ["".join(rng.choice(list("aB\u00e9\u00a0"), rng.integers(1, 30))) for _ in range(size)]
+        text = "\t " + "".join(w + rng.choice([" ", "\n", " \x0b "]) for w in words)
+        assert simhash.fingerprint(text) == simhash.fingerprint(text.strip(" ")) == plain_print(text)
+
+
+def test_crowded_drawers_are_filed_again(spark, monkeypatch):
+    """Many fingerprints that agree on 48 bits: each is copied within the bound, and all meet."""
+    monkeypatch.setattr(simhash, "CELL", 16)
+    made, cells = [], simhash._cells
+    monkeypatch.setattr(simhash, "_cells", lambda shared: made.append(cells(shared)) or made[-1])
+    prints = np.random.default_rng(4).choice(1 << 16, 3_000, replace=False).tolist()
+    links = simhash.close_links(spark.createDataFrame([(p,) for p in prints], "print long")).collect()
+    assert len(made) == 2
+    root = {p: p for p in prints}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        root[find(a)] = find(b)
+    known, true = set(prints), {}
+    for start in prints:  # flood over up to three flipped bits, straight from the definition
+        todo = [] if start in true else [start]
+        while todo:
+            p = todo.pop()
+            if p in true:
+                continue
+            true[p] = start
+            todo += [q for q in (p ^ m for m in NEAR) if q in known and q not in true]
+    assert len({(find(p), true[p]) for p in prints}) == len(set(true.values())) == len(
+        {find(p) for p in prints})
+
+
 def test_components_of_paths_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, i) for i in range(1001, 1400)]
     edges += [(5000, 5000), (7001, 7002), (7002, 7001), (7003, 7001), (300, 1000)]

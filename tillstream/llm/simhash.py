@@ -10,17 +10,20 @@ to 10**9 fingerprints; ``blocks=7`` or ``8`` names drawers by 36 or 40 bits for
 
 A drawer that more than ``CELL`` fingerprints share is cut by a hash into parts, and every pair of
 parts is a task-sized cell, so a drawer of any size is compared whole without any task holding it
-whole. A cell returns a spanning forest of its close pairs, not the pairs: at most as many links as
+whole. One that would have more parts than there are choices of blocks is filed again by the bits it
+does not fix, in the same way: a drawer inside it fixes some 48 bits, so it holds 2**16 fingerprints
+at most, and the copies of a fingerprint have a bound whatever lies around it. A cell returns a spanning forest of its close pairs, not the pairs: at most as many links as
 it has fingerprints. Components of these links are the groups.
 
 Edge rows: null, empty and blank texts have fingerprint zero and link like any other; a text of one
-or two words is one shingle; repeated rows or ids give one output row each; a null id belongs to its
+or two words is one shingle; a very long text is read whole, some megabyte at a time; repeated rows or ids give one output row each; a null id belongs to its
 group, whose component id is the smallest id that is not null (null if there is none); other columns
 are ignored.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -41,28 +44,50 @@ CELL = 1024
 # Cells of up to so many are compared together by shifting, larger ones some rows at a time.
 _SHIFTS, _ROWS = 32, 256
 _VOTE_ROWS = 1 << 15
+# Bytes of a text whose words are held at once.
+_PART, _BLANK = 1 << 20, re.compile(rb"[ \t-\r]")
 
 
-def fingerprint(text: str) -> int:
-    """The 64-bit SimHash of a text's word shingles."""
-    # bytes.lower() touches A-Z only and bytes.split() splits at blank and \x09-\x0D.
-    words = text.encode().lower().split()
-    if not words:
-        return 0
+def _runs(data: bytes) -> Iterator[list[bytes]]:
+    """The words in runs of some ``_PART`` bytes; a run begins with the last words of the one before,
+    so that every shingle lies in exactly one."""
+    at, carried = 0, []
+    while at < len(data):
+        # bytes.split() splits at blank and \x09-\x0D, as the pattern does.
+        blank = _BLANK.search(data, at + _PART)
+        end = blank.start() if blank else len(data)
+        words = carried + data[at:end].split()
+        yield words
+        carried, at = words[1 - SHINGLE:], end
+
+
+def _shingle_hashes(words: list[bytes], width: int) -> np.ndarray:
     joined, at, starts, ends = b" ".join(words), 0, [], []
     for word in words:
         starts.append(at)
         ends.append(at + len(word))
         at += len(word) + 1
-    width = min(SHINGLE, len(words))
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:z], SEED) for a, z in zip(starts, ends[width - 1:])], "<u8")
-    votes = np.zeros(64, np.int64)
-    for part in range(0, len(hashes), _VOTE_ROWS):
-        bits = np.unpackbits(hashes[part:part + _VOTE_ROWS].view(np.uint8).reshape(-1, 8), axis=1,
-                             bitorder="little")
-        votes += bits.sum(axis=0, dtype=np.int64)
-    return sum(1 << int(i) for i in np.flatnonzero(2 * votes > len(hashes)))
+    return np.array([digest(joined[a:z], SEED) for a, z in zip(starts, ends[width - 1:])], "<u8")
+
+
+def fingerprint(text: str) -> int:
+    """The 64-bit SimHash of a text's word shingles."""
+    votes, seen, words = np.zeros(64, np.int64), 0, []
+
+    def count(hashes: np.ndarray) -> int:
+        for part in range(0, len(hashes), _VOTE_ROWS):
+            bits = np.unpackbits(hashes[part:part + _VOTE_ROWS].view(np.uint8).reshape(-1, 8), axis=1,
+                                 bitorder="little")
+            votes[:] += bits.sum(axis=0, dtype=np.int64)
+        return len(hashes)
+
+    for words in _runs(text.encode().lower()):  # bytes.lower() touches A-Z only
+        if len(words) >= SHINGLE:
+            seen += count(_shingle_hashes(words, SHINGLE))
+    if not seen and words:
+        seen = count(_shingle_hashes(words, len(words)))
+    return sum(1 << int(i) for i in np.flatnonzero(2 * votes > seen))
 
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
@@ -81,10 +106,11 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     return slim.mapInArrow(run, schema)
 
 
-def _drawers(distance: int, blocks: int) -> list[int]:
-    """Bit masks of all choices of ``blocks - distance`` out of ``blocks`` near-equal blocks."""
-    cuts = [64 * b // blocks for b in range(blocks + 1)]
-    block = [(1 << z) - (1 << a) for a, z in zip(cuts, cuts[1:])]
+def _drawers(distance: int, blocks: int, places: list[int]) -> list[int]:
+    """Bit masks of all choices of ``blocks - distance`` out of ``blocks`` near-equal blocks of the
+    bits at ``places``."""
+    cuts = [len(places) * b // blocks for b in range(blocks + 1)]
+    block = [sum(1 << p for p in places[a:z]) for a, z in zip(cuts, cuts[1:])]
     return [sum(chosen) for chosen in combinations(block, blocks - distance)]
 
 
@@ -134,24 +160,50 @@ def _compare(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.Re
         yield forest(prints, cell)
 
 
-def close_links(prints: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
-    """Links (``left``, ``right``) that connect exactly what pairs of distinct fingerprints within
-    ``distance`` bits connect. ``prints`` has one column ``print`` without repeats."""
-    masks = [_signed(m) for m in _drawers(distance, blocks)]
-    names = F.array(*[F.xxhash64(F.lit(i), F.col("print").bitwiseAND(F.lit(m)))
-                      for i, m in enumerate(masks)])
-    filed = prints.select("print", F.explode(names).alias("drawer"))
-    sizes = (filed.groupBy("drawer").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-             .select(F.col("drawer").alias("shared"),
-                     F.ceil(F.col("n") / CELL).cast("int").alias("parts")))
-    shared = filed.join(sizes, same_key(F.col("drawer"), F.col("shared")))
+def _sizes(filed: DataFrame, name: str) -> DataFrame:
+    """How many parts each drawer has that several fingerprints share, as a written table."""
+    spark, path = filed.sparkSession, run_dir(filed.sparkSession, name)
+    (filed.groupBy("drawer").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+     .select(F.col("drawer").alias("shared"), F.ceil(F.col("n") / CELL).cast("int").alias("parts"))
+     .write.parquet(path))
+    return spark.read.schema("shared long, parts int").parquet(path)
+
+
+def _in(filed: DataFrame, sizes: DataFrame) -> DataFrame:
+    return filed.join(sizes, same_key(F.col("drawer"), F.col("shared")))
+
+
+def _cells(shared: DataFrame) -> DataFrame:
+    """Fingerprints of shared drawers in cells that together hold every pair of a drawer."""
     part = F.pmod(F.xxhash64("print", F.lit(1)), F.col("parts")).cast("int")
     # A part meets every other part in a cell of the two; what shares a part meets there too.
     other = F.explode(F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(F.filter(
         F.sequence(F.lit(0), F.col("parts") - 1), lambda o: o != F.col("part"))))
-    cells = (shared.withColumn("part", part).withColumn("other", other)
-             .select(F.xxhash64("drawer", F.least("part", "other"), F.greatest("part", "other"))
-                     .alias("cell"), "print"))
+    return (shared.withColumn("part", part).withColumn("other", other)
+            .select(F.xxhash64("drawer", F.least("part", "other"), F.greatest("part", "other"))
+                    .alias("cell"), "print"))
+
+
+def close_links(prints: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
+    """Links (``left``, ``right``) that connect exactly what pairs of distinct fingerprints within
+    ``distance`` bits connect. ``prints`` has one column ``print`` without repeats."""
+    masks = _drawers(distance, blocks, list(range(64)))
+    names = F.array(*[F.struct(F.lit(i).alias("choice"), F.xxhash64(
+        F.lit(i), F.col("print").bitwiseAND(F.lit(_signed(m)))).alias("drawer"))
+        for i, m in enumerate(masks)])
+    filed = prints.select("print", F.inline(names))
+    sizes = _sizes(filed, "drawers")
+    few = F.col("parts") <= len(masks)
+    cells = _cells(_in(filed, sizes.where(few)))
+    crowded = sizes.where(~few)
+    if crowded.limit(1).count():
+        # What lies in one drawer agrees on its bits; the others are cut into blocks once more.
+        inner = [[_signed(m) for m in _drawers(distance, blocks, [p for p in range(64) if not mask >> p & 1])]
+                 for mask in masks]
+        chosen = F.element_at(F.array(*[F.array(*map(F.lit, row)) for row in inner]), F.col("choice") + 1)
+        again = F.transform(chosen, lambda m, j: F.xxhash64("drawer", j, F.col("print").bitwiseAND(m)))
+        refiled = _in(filed, crowded).select("print", F.explode(again).alias("drawer"))
+        cells = cells.unionByName(_cells(_in(refiled, _sizes(refiled, "inner-drawers"))))
     return (cells.repartition("cell").sortWithinPartitions("cell")
             .mapInArrow(lambda batches: _compare(batches, distance), "left long, right long"))
 
