@@ -13,10 +13,10 @@ from tillstream.sources.streams import TopicSpec
 from tillstream.streaming import jobs, runtime
 
 
-@pytest.fixture
-def site(spark, tmp_path):
-    return jobs.Site(spark, TopicSpec("files", str(tmp_path / "topics"), {"maxFilesPerTrigger": "1"}),
-                     str(tmp_path / "site"), drain=True, state_partitions=2)
+@pytest.fixture(params=[False])
+def site(request, spark, tmp_path):
+    topics = TopicSpec("files", str(tmp_path / "topics"), {"maxFilesPerTrigger": "1"}, once=request.param)
+    return jobs.Site(spark, topics, str(tmp_path / "site"), drain=True, state_partitions=2)
 
 
 def finish(query):
@@ -100,6 +100,7 @@ def detail(id_, order_id, time, price, num):
                     order_price=price, sku_num=str(num), sku_name="thing", create_time=time)
 
 
+@pytest.mark.parametrize("site", [False, True], indirect=True)
 def test_orders_from_change_log_to_amounts(site):
     first = [envelope("base_province", "bootstrap-insert", id="1", name="Old", area_code="11",
                       iso_code="ISO-1", iso_3166_2="XX-1"),

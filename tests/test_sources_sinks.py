@@ -2,12 +2,13 @@ import json
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from tillstream import schemas, session
 from tillstream.sinks import tables, topics
 from tillstream.sources import streams
 from tillstream.sources.tables import query_table, read_day, read_dim, rows_as_json
-from tillstream.streaming import runtime
+from tillstream.streaming import delivery, runtime
 
 KAFKA = streams.TopicSpec("kafka", "broker:9092", {"failOnDataLoss": "false"})
 
@@ -78,6 +79,56 @@ def test_topic_files_go_round(spark, tmp_path):
     assert [r.key for r in keys] == [None, None]
 
 
+def read_once(spark, spec, topic, checkpoint):
+    got = []
+    runtime.finish(runtime.start(streams.topic_stream(spark, spec, topic),
+                                 lambda batch, n: got.extend(batch.collect()),
+                                 str(checkpoint), drain=True, state_partitions=2))
+    return sorted((r.key or "", r.value) for r in got)
+
+
+def test_a_replayed_publication_is_read_once(spark, tmp_path):
+    spec = streams.TopicSpec("files", str(tmp_path / "topics"), once=True)
+    said = [("A", "1", "x"), ("A", "1", "x"), ("A", None, "x"), ("A", "", "x"), ("A", "2", None),
+            ("B", "1", "x")]
+    rows = spark.createDataFrame(said * 3, "topic string, key string, value string")
+    topics.write_topics(rows.repartition(3), spec, 0, "w")
+    first = read_once(spark, spec, "A", tmp_path / "checkpoint")
+    # Equal messages of a batch are messages of their own; null and empty keys differ.
+    assert first == sorted([(k or "", v) for t, k, v in said * 3 if t == "A"], key=str)
+    topics.write_topics(rows.repartition(2, "key"), spec, 0, "w")  # the same batch in other files
+    assert read_once(spark, spec, "A", tmp_path / "checkpoint") == []
+    topics.write_topics(rows, spec, 1, "w")  # a further batch that says the same
+    topics.write_topics(rows, spec, 0, "v")  # and another writer
+    assert len(read_once(spark, spec, "A", tmp_path / "checkpoint")) == 2 * len(first)
+    plain = streams.TopicSpec("files", spec.address)
+    topics.write_topics(rows, plain, 2, "w")  # without identities every message is its own
+    assert len(read_once(spark, spec, "A", tmp_path / "checkpoint")) == len(first)
+    assert streams.topic_rows(spark, spec, "A").count() == 4 * len(first)
+    assert set(streams.topic_rows(spark, spec, "A").columns) == set(
+        streams.topic_rows(spark, plain, "A").columns)
+
+
+def test_batches_without_equal_messages_keep_their_order(spark, tmp_path):
+    rows = spark.createDataFrame([("A", "k", str(i)) for i in range(500)],
+                                 "topic string, key string, value string").coalesce(1)
+    sent = delivery.identified(rows, "w", 4, str(tmp_path / "kept"))
+    assert [r.value for r in sent.collect()] == [str(i) for i in range(500)]
+    assert sent.first().identity.startswith("w/4/") and sent.first().identity.endswith("/0")
+    again = rows.unionByName(rows.where("value = '7'"))
+    sent = [r.value for r in delivery.identified(again, "w", 4, str(tmp_path / "again")).collect()]
+    assert sent == [str(i) for i in range(500) if i != 7] + ["7", "7"]
+
+
+def test_identities_travel_as_kafka_headers(spark):
+    row = spark.createDataFrame([("w/1/d/0",)], "identity string").select(delivery.headers().alias("headers"))
+    own = row.selectExpr("headers", "'T' topic", "2 partition", "9L offset")
+    assert own.select(delivery.from_headers()).first()[0] == "w/1/d/0"
+    for none in ("cast(null as array<struct<key:string,value:binary>>)",
+                 "array(named_struct('key', 'other', 'value', cast('z' as binary)))"):
+        assert own.withColumn("headers", F.expr(none)).select(delivery.from_headers()).first()[0] == "T:2:9"
+
+
 ROW = "id string, name string"
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tillstream.functions import codec
 from tillstream.operators import dau, dwd, ingest
 from tillstream.plans import views
 from tillstream.plans.catalog import (DAU_DAY, FIRST_ORDER, HOP, WIDE, WITHIN, _cents,
@@ -61,6 +62,35 @@ def stream_dau_topics(spark, sf_dir):
     return state.read_visits(spark, f"{folder}/table")
 
 
+@query("select mid, uid, ch, ts from app_log where topic = 'START_LOG'", "app_log")
+def stream_topics_once(spark, sf_dir):
+    """Start logs read from a topic whose writer sends its last batch again after they were read."""
+    folder = run_dir(spark, "stream-topics-once")
+    topics = TopicSpec("files", f"{folder}/topics", TRIGGER, once=True)
+    routed = ingest.route_app_log(views.app_log_from(_stream(spark, sf_dir, "events")))
+
+    def send() -> int:
+        sent = runtime.finish(runtime.start(
+            routed, lambda batch, n: sink_topics.write_topics(batch, topics, n, "route"),
+            f"{folder}/sent", drain=True))
+        return sent.lastProgress["batchId"]
+
+    def receive() -> None:
+        runtime.finish(runtime.start(
+            topic_stream(spark, topics, ingest.START),
+            lambda batch, n: batch.write.mode("overwrite").parquet(f"{folder}/got/batch={n}"),
+            f"{folder}/read", drain=True, state_partitions=spark.sparkContext.defaultParallelism))
+
+    last = send()
+    receive()
+    runtime.discard(spark, f"{folder}/sent/commits/{last}")  # sent, but not known to be
+    send()
+    receive()
+    got = spark.read.schema("value string").parquet(f"{folder}/got")
+    parsed = codec.parse_envelope(got, "common struct<mid: string, uid: string, ch: string>, ts bigint")
+    return parsed.select("common.*", "ts")
+
+
 @query(FIRST_ORDER, "order_info", "user_state")
 def stream_first_order(spark, sf_dir):
     """First orders by time, whatever order they arrive in."""

@@ -7,6 +7,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tillstream.functions import codec
 from tillstream.sources.streams import TopicSpec
+from tillstream.streaming import delivery
 
 
 def messages(rows: DataFrame, topic: str, key: Column | None = None) -> DataFrame:
@@ -19,13 +20,23 @@ def messages(rows: DataFrame, topic: str, key: Column | None = None) -> DataFram
 
 def write_topics(batch: DataFrame, spec: TopicSpec, batch_id: int, writer: str = "default") -> None:
     """Publish a batch of messages from ``foreachBatch``. Kafka gets them at least once; message
-    files carry the writer and batch in their folder name, and a replay replaces them."""
+    files carry the writer and batch in their folder name, and a replay replaces them. With
+    ``spec.once`` every message takes its identity along (``streaming.delivery``)."""
+    if spec.once:
+        delivery.send_identified(batch, writer, batch_id, lambda rows: _send(rows, spec, batch_id, writer))
+    else:
+        _send(batch.select("topic", "key", "value"), spec, batch_id, writer)
+
+
+def _send(rows: DataFrame, spec: TopicSpec, batch_id: int, writer: str) -> None:
     if spec.kind == "kafka":
-        (batch.select("topic", "key", "value").write.format("kafka")
+        if spec.once:
+            rows = rows.select("topic", "key", "value", delivery.headers().alias("headers"))
+        (rows.write.format("kafka")
          .option("kafka.bootstrap.servers", spec.address).options(**spec.options).save())
         return
     # One partition level below the topic folder, so that a replay overwrites its own files.
-    tagged = batch.select("topic", F.lit(f"{writer}-{batch_id}").alias("part"), "key", "value")
+    tagged = rows.withColumn("part", F.lit(f"{writer}-{batch_id}"))
     (tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("topic", "part").parquet(spec.address))
 

@@ -5,17 +5,24 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F
+from pyspark.sql.streaming import DataStreamReader
 
-MESSAGE_FILE = "key string, value string"
+from tillstream.streaming import delivery
+
+MESSAGE_FILE = f"key string, value string, {delivery.IDENTITY} string"
+_MESSAGE = ["key", "value", "topic", "partition", "offset", "timestamp"]
 
 
 @dataclass(frozen=True)
 class TopicSpec:
-    """Where topics live: ``kafka`` with bootstrap servers, or ``files`` below a root folder."""
+    """Where topics live: ``kafka`` with bootstrap servers, or ``files`` below a root folder. With
+    ``once``, messages carry identities and readers drop what they have read in the last ``remember``."""
     kind: str
     address: str
     options: dict[str, str] = field(default_factory=dict)
+    once: bool = False
+    remember: str = "1 day"
 
 
 def kafka_options(spec: TopicSpec, topic: str, group: str | None = None,
@@ -39,29 +46,39 @@ def topic_stream(spark: SparkSession, spec: TopicSpec, topic: str, group: str |
                  starting_offsets: dict[int, int] | str = "latest") -> DataFrame:
     """Messages of a topic: key, value, topic, partition, offset, timestamp."""
     if spec.kind == "kafka":
-        raw = spark.readStream.format("kafka").options(
-            **kafka_options(spec, topic, group, starting_offsets)).load()
-        return raw.select(F.col("key").cast("string"), F.col("value").cast("string"), "topic",
-                          "partition", "offset", "timestamp")
+        return _from_kafka(spark.readStream, kafka_options(spec, topic, group, starting_offsets), spec)
     return _from_files(spark.readStream.schema(MESSAGE_FILE).options(**spec.options)
-                       .parquet(topic_folder(spec, topic)), topic)
+                       .parquet(topic_folder(spec, topic)), topic, spec)
 
 
 def topic_rows(spark: SparkSession, spec: TopicSpec, topic: str) -> DataFrame:
     """All messages a topic holds now, as a batch; columns as those of ``topic_stream``."""
     if spec.kind == "kafka":
-        raw = spark.read.format("kafka").options(
-            **kafka_options(spec, topic, None, "earliest")).load()
-        return raw.select(F.col("key").cast("string"), F.col("value").cast("string"), "topic",
-                          "partition", "offset", "timestamp")
-    return _from_files(spark.read.schema(MESSAGE_FILE).parquet(topic_folder(spec, topic)), topic)
+        return _from_kafka(spark.read, kafka_options(spec, topic, None, "earliest"), spec)
+    return _from_files(spark.read.schema(MESSAGE_FILE).parquet(topic_folder(spec, topic)), topic, spec)
+
+
+def _from_kafka(reader: DataFrameReader | DataStreamReader, options: dict[str, str],
+                spec: TopicSpec) -> DataFrame:
+    raw = reader.format("kafka").options(**options)
+    if not spec.once:
+        return _as_text(raw.load())
+    raw = raw.option("includeHeaders", "true").load()
+    return delivery.once(_as_text(raw, delivery.from_headers().alias(delivery.IDENTITY)), spec.remember)
+
+
+def _as_text(raw: DataFrame, *more: Column) -> DataFrame:
+    return raw.select(F.col("key").cast("string"), F.col("value").cast("string"), *_MESSAGE[2:], *more)
 
 
-def _from_files(raw: DataFrame, topic: str) -> DataFrame:
+def _from_files(raw: DataFrame, topic: str, spec: TopicSpec) -> DataFrame:
     # A folder has no broker offsets: arrival order is that of the files, then of their rows.
-    return raw.select("key", "value", F.lit(topic).alias("topic"),
+    place = F.concat_ws(":", F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    rows = raw.select("key", "value", F.lit(topic).alias("topic"),
                       F.lit(0).alias("partition"), F.col("_metadata.row_index").alias("offset"),
-                      F.col("_metadata.file_modification_time").alias("timestamp"))
+                      F.col("_metadata.file_modification_time").alias("timestamp"),
+                      F.coalesce(delivery.IDENTITY, place).alias(delivery.IDENTITY))
+    return delivery.once(rows, spec.remember) if spec.once else rows.select(*_MESSAGE)
 
 
 def raw_log_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
