@@ -71,13 +71,18 @@ def test_contamination_equals_brute_force(make_docs, bench, suspects):
     assert sorted(map(tuple, got.collect()), key=by_id) == wanted
 
 
-def test_several_passes_give_the_same(make_docs, bench, suspects):
+@pytest.mark.parametrize("most_terms, indices", [(1 << 21, 1), (3, 2)])
+def test_several_passes_give_the_same(make_docs, bench, suspects, monkeypatch, most_terms, indices):
+    monkeypatch.setattr(decontaminate, "MOST_TERMS", most_terms)
+    built, build = [], decontaminate.build_index
+    monkeypatch.setattr(decontaminate, "build_index", lambda *a: built.append(1) or build(*a))
     items, table = bench
     unique = {r[0]: r for r in suspects if r[0] is not None}
     got = decontaminate.contamination(
         decontaminate.matches(make_docs(list(unique.values())), table, slice_words=20))
     wanted = sorted(plain_contamination(unique.values(), items), key=by_id)
     assert sorted(map(tuple, got.collect()), key=by_id) == wanted
+    assert min(len(built), 2) == indices
 
 
 @pytest.mark.parametrize("equal_rows", [2, 4096])

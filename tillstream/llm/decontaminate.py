@@ -15,10 +15,11 @@ intersects ranges instead of single positions.
 
 The phrases travel with the tasks. They come from the benchmark, whose size is checked:
 ``slice_words`` words are searched at a time, and a larger benchmark is searched in several passes
-whose matches are merged per row: rows are told apart by id and digest of the text, and rows equal in
-both are counted and written out again as often.
+over one index of all its words (an index per pass beyond ``MOST_TERMS`` distinct ones). A block looks
+only at windows whose rarest term it holds. The matches of the passes are merged per row: rows are told
+apart by id and digest of the text, and rows equal in both are counted and written out again as often.
 
-Edge rows: a null text has no words; documents without words have no hits and are clean; null or
+Edge rows: a null text has no words; a very long text is a block of its own; documents without words have no hits and are clean; null or
 repeated ids give one output row per input row, whatever the number of passes; benchmark items that are null or without words match nothing; an empty benchmark leaves
 every document clean. Other columns are ignored.
 """
@@ -41,6 +42,8 @@ from tillstream.session import run_dir
 WINDOW = 13
 # Words of benchmark searched in one pass; a window of each, about 1 KB, travels with a task.
 SLICE_WORDS = 50_000
+# Distinct words of a larger benchmark, 8 bytes each, that one index over the corpus serves.
+MOST_TERMS = 1 << 21
 # Equal rows that one task writes out again after several passes.
 EQUAL_ROWS = 4096
 _BLOCK = "docs array<struct<id:{0},words:int>>, terms array<int>, counts array<int>, places array<int>"
@@ -72,6 +75,13 @@ class Phrases:
         self.items = [(str(name), np.searchsorted(self.vocabulary, words))
                       for name, words in items if len(words)]
 
+    def over(self, vocabulary: np.ndarray) -> Phrases:
+        """The same items numbered in a vocabulary that holds this one."""
+        number = np.searchsorted(vocabulary, self.vocabulary)
+        other = Phrases([], self.width)
+        other.vocabulary, other.items = vocabulary, [(name, number[terms]) for name, terms in self.items]
+        return other
+
     def windows(self) -> list[tuple[tuple[int, ...], list[str]]]:
         """Distinct windows, each with the items that hold it."""
         held: dict[tuple[int, ...], dict[str, None]] = {}
@@ -96,6 +106,18 @@ def phrases_of(items: DataFrame, id_column: str, text_column: str, width: int,
     yield Phrases(held, width)
 
 
+def whole_vocabulary(items: DataFrame, text_column: str) -> np.ndarray | None:
+    """Hashes of all words of the benchmark, in order; None if there are more than ``MOST_TERMS``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for step in steps(batches, "text"):
+            hashes = np.unique(_words(step["text"])[0])
+            yield pa.RecordBatch.from_pydict({"word": pa.array(hashes.view(np.int64))})
+
+    words = items.select(F.col(text_column).alias("text")).mapInArrow(run, "word long").distinct()
+    found = words.limit(MOST_TERMS + 1).toPandas()["word"].to_numpy(np.int64)
+    return np.sort(found.view(np.uint64)) if len(found) <= MOST_TERMS else None
+
+
 def build_index(docs: DataFrame, vocabulary: np.ndarray, path: str, gap: int = WINDOW,
                 id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Write and return the postings of ``vocabulary`` (sorted word hashes), a row per block:
@@ -206,18 +228,19 @@ def phrase_matches(index: DataFrame, phrases: Phrases, frequency: np.ndarray,
                    gap: int = WINDOW) -> DataFrame:
     """Per document: ``id``, ``n_words``, the merged ``hits`` (word spans, end exclusive) of all
     phrase matches, and ``items``, the benchmark items with a match, sorted as strings."""
-    windows = []
+    rarest: dict[int, list[tuple]] = {}
     for window, names in phrases.windows():
         offsets = sorted(((t, i) for i, t in enumerate(window)), key=lambda x: (frequency[x[0]], x))
         if frequency[offsets[0][0]]:
-            windows.append((offsets, len(window), names))
+            rarest.setdefault(int(offsets[0][0]), []).append((offsets, len(window), names))
     id_type = index.schema["docs"].dataType.elementType["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches, gap):
             cover = np.zeros(block.firsts[-1] + 1, np.int32)
             items: dict[int, set[str]] = {}
-            for ordered, width, names in windows:
+            # Only windows whose rarest term the block holds can be in it.
+            for ordered, width, names in chain.from_iterable(rarest.get(t, ()) for t in block.lists):
                 starts = block.phrase(ordered)
                 if len(starts):
                     cover[starts] += 1
@@ -294,8 +317,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
     digest = F.unhex(F.sha2(F.col(text_column), 256))
     rows = docs.select(F.struct(F.col(id_column).alias("id"), digest.alias("digest")).alias("id"),
                        F.col(text_column).alias("text"))
-    parts = [_one_pass(rows, phrases, width, "id", "text")
-             for phrases in chain([first, second], slices)]
+    passes = chain([first, second], slices)
+    vocabulary = whole_vocabulary(benchmark, item_text)
+    if vocabulary is None:
+        parts = [_one_pass(rows, phrases, width, "id", "text") for phrases in passes]
+    else:
+        index = build_index(rows, vocabulary, run_dir(docs.sparkSession, "postings"), width, "id", "text")
+        frequency = document_frequencies(index, len(vocabulary))
+        parts = [phrase_matches(index, phrases.over(vocabulary), frequency, width) for phrases in passes]
     return _merged(parts).withColumnRenamed("id", id_column)
 
 
