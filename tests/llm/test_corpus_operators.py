@@ -3,6 +3,7 @@
 import hashlib
 import re
 import zlib
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -284,11 +285,18 @@ def test_hilbert_curve_visits_neighbours(spark):
     assert all(sum(abs(a - b) for a, b in zip(p, q)) == 1 for p, q in zip(path, path[1:]))
 
 
-def test_shards_are_even_and_gapless(make_docs, edge_rows):
+@pytest.mark.parametrize("equal_rows", [7, 4096])
+def test_shards_are_even_and_gapless(make_docs, edge_rows, monkeypatch, equal_rows):
+    monkeypatch.setattr(sharding, "EQUAL_ROWS", equal_rows)
     rows = edge_rows + [(100 + i, "t" * (i % 50), "de" if i % 3 else "en", f"s{i % 7}")
-                        for i in range(500)] + [(700, "hot")] * 300
+                        for i in range(500)] + [(700, "hot")] * 300 + [(None, None)] * 40
     got = sharding.assign(make_docs(rows)).collect()
-    assert len(got) == len(rows)
+    texts = [(r[0], len((r[1] or "").encode()) + 8, zlib.crc32((r[1] or "").encode())) for r in rows]
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == Counter(texts)
+    # A plain sort and cut: along all shards the curve ascends, and a row's place tells its shard.
+    along = sorted(got, key=lambda r: (r.shard, r.slot))
+    assert [r.shard for r in along] == [i * 24 // len(rows) for i in range(len(rows))]
+    assert all(a.curve <= b.curve for a, b in zip(along, along[1:]))
     shards = {}
     for r in got:
         shards.setdefault(r.shard, []).append(r)

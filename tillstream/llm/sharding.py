@@ -10,6 +10,8 @@ No row is ranked globally in one task. Rows of a cell are dealt over ``SUBCELLS`
 so a cell holding a third of all rows is as many small groups. Cells (at most 2**(3 * BITS), whatever
 the input) are counted and their first ranks summed up along the curve; likewise the slices of each
 cell; and rows are ranked inside their slice. The three ranks add up to the row's place in the whole.
+Rows alike in id, size and CRC would all lie in one slice: they are counted before the shuffle and
+written out again in shares of ``EQUAL_ROWS``.
 
 Edge rows: a null text has size 8 and the CRC of no bytes; null metadata counts as the text "" or the
 number 0; repeated rows, and repeated or null ids, are rows of their own and take neighbouring places;
@@ -26,6 +28,8 @@ SHARDS, BITS, SUBCELLS = 24, 5, 4096
 _DIMENSIONS = 3
 ROW_BYTES = 8
 ROWS_PER_FILE = 1_000_000
+# Equal rows that one task writes out again.
+EQUAL_ROWS = 4096
 
 
 def hashed_level(column: str, bits: int = BITS) -> Column:
@@ -121,10 +125,18 @@ def assign(docs: DataFrame, shards: int = SHARDS, id_column: str = "doc_id",
               .join(ranked, F.col("cell") == F.col("at"))
               .select(F.col("cell").alias("c"), F.col("slice").alias("s"), "total",
                       (F.col("cell_first") + F.col("slice_first")).alias("first")))
-    own = Window.partitionBy("cell", "slice").orderBy("dice", "id", "crc", "size")
-    numbered = placed.withColumn("own", F.row_number().over(own).cast("long") - 1)
+    # Rows alike in all that is used here take consecutive places, so they are counted, not sorted.
+    alike = placed.groupBy("cell", "slice", "dice", "id", "crc", "size").agg(F.count(F.lit(1)).alias("n"))
+    own = (Window.partitionBy("cell", "slice").orderBy("dice", "id", "crc", "size")
+           .rowsBetween(Window.unboundedPreceding, -1))
+    numbered = alike.withColumn("own", F.coalesce(F.sum("n").over(own), F.lit(0).cast("long")))
     joined = numbered.join(firsts, (F.col("cell") == F.col("c")) & (F.col("slice") == F.col("s")))
-    rank = joined.withColumn("rank", F.col("first") + F.col("own"))
+    # Many equal rows are dealt out in shares, so that no task writes them all.
+    share = F.explode(F.sequence(F.lit(0).cast("long"), F.expr("n - 1"), F.lit(EQUAL_ROWS).cast("long")))
+    shared = joined.withColumn("share", share).select(
+        "id", "size", "crc", "cell", "total", (F.col("first") + F.col("own") + F.col("share")).alias("from"),
+        F.least(F.col("n") - F.col("share"), F.lit(EQUAL_ROWS).cast("long")).alias("n")).repartition("from")
+    rank = shared.withColumn("rank", F.explode(F.sequence(F.col("from"), F.col("from") + F.col("n") - 1)))
     shard = F.expr(f"rank * {shards} div total")
     return (rank.withColumn("shard", shard.cast("int"))
             # A shard begins at the first rank r with r * shards >= shard * total.
