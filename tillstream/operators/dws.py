@@ -69,12 +69,21 @@ def hop_join(orders: DataFrame, details: DataFrame, window: int = HOP_WINDOW,
         _seconds("o.event_time"), _seconds("d.event_time"), window, slide))
 
 
-def interval_join(orders: DataFrame, details: DataFrame, wait: int = CACHE_WAIT) -> DataFrame:
-    """Pairs at most ``wait`` seconds apart, whichever side came first."""
+def _within(wait: int) -> Column:
     span = F.expr(f"interval {int(wait)} seconds")
     order_at, detail_at = F.col("o.event_time"), F.col("d.event_time")
-    return _pair(orders, details,
-                 also=(detail_at >= order_at - span) & (detail_at <= order_at + span))
+    return (detail_at >= order_at - span) & (detail_at <= order_at + span)
+
+
+def interval_join(orders: DataFrame, details: DataFrame, wait: int = CACHE_WAIT) -> DataFrame:
+    """Pairs at most ``wait`` seconds apart, whichever side came first."""
+    return _pair(orders, details, also=_within(wait))
+
+
+def interval_details(orders: DataFrame, details: DataFrame, wait: int, also: Column) -> DataFrame:
+    """``interval_join`` under a further condition, and the details that meet no order."""
+    on = same_key(F.col("o.id"), F.col("d.order_id")) & _within(wait) & also
+    return details.alias("d").join(orders.alias("o"), on, "left")
 
 
 def full_outer_pairs(orders: DataFrame, details: DataFrame) -> DataFrame:
@@ -177,13 +186,21 @@ def apportion_sessions(wide: DataFrame, at: str, ttl: int = SUMS_TTL) -> DataFra
     """``apportion`` with running sums that are forgotten ``ttl`` seconds after an order's last detail
     (column ``at`` of the rows, a timestamp): an order whose details lie further apart starts anew, and
     only a session that adds up to the original total hands the remainder to its last detail."""
-    shares = with_shares(wide)
+    return close_sessions(wide, session_closings(wide, at, ttl))
+
+
+def session_closings(wide: DataFrame, at: str, ttl: int = SUMS_TTL) -> DataFrame:
+    """The last details of the sessions that add up to their order's original total, and what is left."""
     window = F.session_window(at, f"{ttl} seconds").alias("_w")
-    sums = shares.groupBy(F.col("order_id").alias("_order"), window).agg(
+    sums = with_shares(wide).groupBy(F.col("order_id").alias("_order"), window).agg(
         F.sum("_part").alias("seen"), F.sum("_share").alias("given"), F.max("order_detail_id").alias("_last"),
         F.max("_paid").alias("_paid"), F.max("_total").alias("_total"))
-    closing = sums.where(F.col("seen") == F.col("_total")).select(
+    return sums.where(F.col("seen") == F.col("_total")).select(
         "_order", "_last", (F.col("_paid") - F.col("given")).alias("_gap"))
+
+
+def close_sessions(wide: DataFrame, closing: DataFrame) -> DataFrame:
+    shares = with_shares(wide)
     joined = shares.join(closing, same_key(F.col("order_id"), F.col("_order"))
                          & (F.col("order_detail_id") == F.col("_last")), "left")
     paid = money.amount(F.col("_share") + F.coalesce("_gap", F.lit(0)))

@@ -7,7 +7,7 @@ and no order has to be numbered in one sorted pass.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tillstream import schemas
 from tillstream.functions import codec, money
@@ -87,37 +87,63 @@ def _order_second(orders_key: Column) -> Column:
     return (orders_key * 7919) % 86400
 
 
-def detail_from(lineitem: DataFrame, orders: DataFrame | None = None,
-                part: DataFrame | None = None) -> DataFrame:
-    """Details. With ``orders`` they have their time, some seconds after (at times just before)
-    their order's by line number; with ``part`` the product's name. A query that needs neither
-    is spared the joins."""
+_DETAIL = ["id", "order_id", "sku_id", "order_price", "sku_num"]
+
+
+def _lines(lineitem: DataFrame) -> DataFrame:
+    """Details without their time, the number of their line besides."""
     line_id = F.expr(_line_id([
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "cast(l_quantity as bigint)",
         *[f"cast(floor({c} * 100 + 0.5) as bigint)"
           for c in ("l_extendedprice", "l_discount", "l_tax")],
         "unix_seconds(cast(l_shipdate as timestamp))"]))
-    line = F.col("l_linenumber") - 1
-    second = _order_second(F.col("l_orderkey")) + line * line * 19 - (F.col("l_orderkey") % 3) * 4
     price = F.call_function("div", _cents("l_extendedprice"), F.col("l_quantity").cast("bigint"))
-    rows = lineitem.select(
+    return lineitem.select(
         line_id.alias("id"), F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("sku_id"), money.amount(price).alias("order_price"),
-        F.col("l_quantity").cast("bigint").alias("sku_num"), second.alias("_second"))
-    columns = ["id", "order_id", "sku_id", "order_price", "sku_num"]
+        F.col("l_quantity").cast("bigint").alias("sku_num"), (F.col("l_linenumber") - 1).alias("_line"))
+
+
+def _named(lines: DataFrame, part: DataFrame) -> DataFrame:
+    return lines.join(part.select(F.col("p_partkey").alias("sku_id"), F.col("p_name").alias("sku_name")), "sku_id")
+
+
+def _line_at(day: Column) -> Column:
+    line, order = F.col("_line"), F.col("order_id")
+    second = _order_second(order) + line * line * 19 - (order % 3) * 4
+    return F.timestamp_seconds(F.unix_seconds(day.cast("timestamp")) + second)
+
+
+def detail_from(lineitem: DataFrame, orders: DataFrame | None = None,
+                part: DataFrame | None = None) -> DataFrame:
+    """Details. With ``orders`` they have their time, some seconds after (at times just before)
+    their order's by line number; with ``part`` the product's name. A query that needs neither
+    is spared the joins."""
+    rows, columns = _lines(lineitem), _DETAIL
     if part is not None:
-        names = part.select(F.col("p_partkey").alias("sku_id"), F.col("p_name").alias("sku_name"))
-        rows, columns = rows.join(names, "sku_id"), [*columns, "sku_name"]
+        rows, columns = _named(rows, part), [*columns, "sku_name"]
     if orders is not None:
         days = orders.select(F.col("o_orderkey").alias("order_id"), "o_orderdate")
-        at = F.timestamp_seconds(F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
-                                 + F.col("_second"))
-        rows = rows.join(days, "order_id").withColumn("event_time", at)
-        columns += [F.date_format("event_time", codec.TIME_FORMAT).alias("create_time"),
-                    "event_time"]
+        rows = rows.join(days, "order_id").withColumn("event_time", _line_at(F.col("o_orderdate")))
+        columns = [*columns, F.date_format("event_time", codec.TIME_FORMAT).alias("create_time"),
+                   "event_time"]
     return rows.select(*columns)
 
 
+def details_in_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``order_detail`` in the sequence of the order ids. The days of the orders are laid out among the
+    details, so that the one shuffle that brings the sequence also takes the place of a join."""
+    lines = _named(_lines(load(spark, sf_dir, "lineitem")), load(spark, sf_dir, "part"))
+    days = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_id"),
+                                                F.struct("o_orderdate").alias("_day"))
+    laid = lines.unionByName(days, allowMissingColumns=True).where(F.col("order_id").isNotNull())
+    every = F.collect_list("_day").over(Window.partitionBy("order_id"))
+    found = laid.repartitionByRange("order_id").withColumn("_days", every).where(F.col("_day").isNull())
+    rows = found.withColumn("_day", F.explode("_days")).withColumn("event_time", _line_at(F.col("_day.o_orderdate")))
+    return rows.select(*_DETAIL, "sku_name", F.date_format("event_time", codec.TIME_FORMAT).alias("create_time"),
+                       "event_time")
+
+
 def order_detail(spark: SparkSession, sf_dir: str, times: bool = True,
                  names: bool = True) -> DataFrame:
     return detail_from(load(spark, sf_dir, "lineitem"),

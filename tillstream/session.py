@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # What Python workers are handed at once; the rest of an executor's memory is the JVM's.
     "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+    # What a batch stores is read a few times at most: better small than quick to unpack.
+    "spark.sql.parquet.compression.codec": "zstd",
     # Split a hot partition even where that costs one more exchange behind the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }

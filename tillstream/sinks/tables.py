@@ -66,13 +66,23 @@ def slots_of(keys: DataFrame, name: str, slots: int) -> list[int]:
     return [r[0] for r in keys.select(slot_of(F.col(name), slots)).distinct().collect()]
 
 
+def nothing(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, and known to be none when a query is planned: what is joined to them is not shuffled."""
+    return spark.createDataFrame([], schema).where(F.lit(False))
+
+
+def is_nothing(rows: DataFrame) -> bool:
+    """Are there no files to read?"""
+    return not rows.inputFiles()
+
+
 def _stored(spark: SparkSession, path: str, schema: T.StructType, generation: int) -> DataFrame:
     base = f"{path}/gen={generation}"
     with_batch = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(base)
     if not root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(root):
-        return spark.createDataFrame([], with_batch)
+        return nothing(spark, with_batch)
     return spark.read.schema(with_batch).parquet(base)
 
 
@@ -157,12 +167,16 @@ def compact(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence
     return current + 1
 
 
-def append_slots(rows: DataFrame, path: str, batch_id: int, slot: str = SLOT) -> None:
+def append_slots(rows: DataFrame, path: str, batch_id: int, slot: str = SLOT, gather: bool = True,
+                 above: Sequence[str] = ()) -> None:
     """Append a batch to a table that lies in folders by ``slot``, then batch; the same batch again
-    replaces itself."""
-    tagged = rows.withColumn("batch", F.lit(batch_id).cast("long")).hint("rebalance", slot)
+    replaces itself. With ``above``, columns, there is such a table for each of their values. Without ``gather`` every task writes its rows where it stands, a file for each folder
+    they belong to; otherwise the rows of a folder are brought together first."""
+    tagged = rows.withColumn("batch", F.lit(batch_id).cast("long"))
+    if gather:
+        tagged = tagged.hint("rebalance", slot)
     (tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(slot, "batch").parquet(path))
+     .partitionBy(*above, slot, "batch").parquet(path))
 
 
 def read_slots(spark: SparkSession, path: str, schema: T.StructType, slots: Sequence | None = None,
@@ -180,7 +194,7 @@ def read_slots(spark: SparkSession, path: str, schema: T.StructType, slots: Sequ
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     present = [f for f in folders if fs.exists(jvm.org.apache.hadoop.fs.Path(f))]
     if not present:
-        return spark.createDataFrame([], whole)
+        return nothing(spark, whole)
     rows = spark.read.schema(whole).option("basePath", path).parquet(*present)
     return rows if before_batch is None else rows.where(F.col("batch") < before_batch)
 
