@@ -1,8 +1,11 @@
 """What a batch of pairs shuffles and stores."""
 
+from decimal import Decimal as D
+
 from pyspark.sql import functions as F
 
 from tests.test_streams import DETAIL, ORDER, at, both, feeds, store  # noqa: F401
+from tillstream.operators import dws
 from tillstream.plans import views
 from tillstream.sinks import tables
 from tillstream.streaming import ledger, pairs
@@ -64,3 +67,54 @@ def test_details_in_sequence_are_the_details(spark, tmp_path, sf_dir):
     want = views.order_detail(spark, str(tmp_path))
     assert got.columns == want.columns
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() > 20
+
+
+def test_pairs_known_to_come_once_are_read_without_a_shuffle(spark, tmp_path, feeds, monkeypatch):  # noqa: F811
+    held = store(spark, tmp_path, feeds)
+    for n, (order, detail) in enumerate([(1, 10), (2, 20)]):
+        rows = both(spark, feeds, [(order, 1, None, None, at(0))], [(detail, order, None, 1, at(1))])
+        pairs.store_pairs(held, pairs.interval_pairs(held, rows, n), n)
+    counted = []
+    monkeypatch.setattr(pairs, "repeats", lambda *_: counted.append(1))
+    assert sorted(r.order_id for r in pairs.read_pairs(held).collect()) == [1, 2]
+    assert pairs.lonely(held, pairs.read_pairs(held)).count() == 0 and not counted
+    # Somebody who has not seen the batches come has to count.
+    pairs.read_pairs(store(spark, tmp_path, feeds))
+    assert counted
+
+
+def test_a_detail_that_meets_two_known_versions_counts_once(spark, tmp_path, feeds):  # noqa: F811
+    """The batch's own keys are all new; those that it meets came twice."""
+    held = store(spark, tmp_path, feeds)
+    for n, (orders, details) in enumerate([([(1, 1, 3, 3, at(0))], []), ([(1, 1, 3, 3, at(5))], []),
+                                           ([], [(10, 1, 1, 1, at(1)), (11, 1, 2, 1, at(2))])]):
+        money = [[tuple(D(v) if 2 <= i < last else v for i, v in enumerate(r)) for r in rows]
+                 for rows, last in ((orders, 4), (details, 3))]
+        batch = both(spark, feeds, *money)
+        pairs.settle(held, pairs.interval_pairs(held, batch, n), n)
+    assert not held.all_new(2) and not held.unique("wide")
+    assert sorted((r.order_detail_id, int(r.final_detail_amount)) for r in pairs.settled(held).collect()) == [
+        (10, 1), (11, 2)]
+
+
+def test_stored_rows_have_their_time_once(spark, tmp_path, feeds):  # noqa: F811
+    held = store(spark, tmp_path, feeds)
+    batch = both(spark, feeds, [(1, 1, None, None, at(7))], [(10, 1, None, 1, at(3))])
+    pairs.store_pairs(held, pairs.interval_pairs(held, batch, 0, timed=True), 0)
+    assert "event_time" not in spark.read.parquet(held.table("d")).columns
+    assert [str(r.event_time) for r in held.known("d").collect()] == ["2024-01-01 00:00:03"]
+    assert [r.detail_after for r in spark.read.parquet(held.table("pairs")).collect()] == [-4]
+
+
+def test_closing_details_are_found_with_the_rows_of_an_order_together(spark):
+    """Two sessions of one order, each adding up to the whole."""
+    rows = [(1, 10, 100, 1, 100), (1, 11, 200, 1, 110), (1, 12, 300, 1, 900), (2, 20, 100, 1, 100)]
+    wide = spark.createDataFrame(rows, "order_id long, order_detail_id long, p long, sku_num long, sec long").selectExpr(
+        "order_id", "order_detail_id", "cast(p / 100 as decimal(18,2)) sku_price", "sku_num",
+        "cast(1 as decimal(18,2)) final_total_amount", "cast(3 as decimal(18,2)) original_total_amount",
+        "timestamp_seconds(sec) at", "cast(null as decimal(18,2)) final_detail_amount")
+    done = dws.apportion_sessions(wide, "at", 100)
+    assert sorted((r.order_detail_id, str(r.final_detail_amount)) for r in done.collect()) == [
+        (10, "0.33"), (11, "0.67"), (12, "1.00"), (20, "0.33")]
+    shuffles = [line for line in plan_of(done).splitlines() if "Exchange hashpartitioning" in line]
+    assert shuffles and not any("order_detail_id" in line or "_last" in line for line in shuffles)

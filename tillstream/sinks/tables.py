@@ -199,6 +199,13 @@ def read_slots(spark: SparkSession, path: str, schema: T.StructType, slots: Sequ
     return rows if before_batch is None else rows.where(F.col("batch") < before_batch)
 
 
+def batches_present(spark: SparkSession, path: str, slot: str = SLOT) -> set[int]:
+    """The numbers of the batches that such a table holds rows of."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, f"{slot}=*/batch=*")
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {int(found.getPath().getName().split("=")[1]) for found in fs.globStatus(root) or []}
+
+
 def slots_present(spark: SparkSession, path: str, slot: str = SLOT) -> list[int]:
     """The numbers of the folders of such a table, from one listing of its root."""
     root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

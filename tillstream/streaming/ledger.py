@@ -46,8 +46,7 @@ def _seconds(at: str) -> Column:
 
 def _orders(store: PairStore, n: int, slots: list[int]) -> DataFrame:
     """The orders that batch ``n`` has stored, each as it would go out alone."""
-    schema = store.schema("o")
-    rows = sink_tables.read_slots(store.spark, store.table("o"), schema, slots, only_batch=n).select(*schema.names)
+    rows = store.known("o", slots=slots, only=n)
     alone = dws.to_wide(rows.alias("o"), rows, None, F.lit("order").alias("side"),
                         F.col("o.event_time").alias("event_time"), F.lit(False).alias("gone"))
     return alone.select(*LEDGER.names)
@@ -61,9 +60,7 @@ def _details(store: PairStore, n: int, slots: list[int]) -> DataFrame:
 
 def _latest(store: PairStore, n: int, slots: dict[str, list[int]]) -> int | None:
     """The latest time of the rows that batch ``n`` has stored."""
-    at = T.StructType([T.StructField("event_time", T.TimestampType())])
-    times = [sink_tables.read_slots(store.spark, store.table(side), at, slots[side], only_batch=n)
-             .select("event_time") for side in slots]
+    times = [store.known(side, slots=slots[side], only=n).select("event_time") for side in slots]
     return times[0].unionAll(times[1]).agg(F.max(_seconds("event_time"))).first()[0]
 
 
