@@ -118,3 +118,26 @@ def test_closing_details_are_found_with_the_rows_of_an_order_together(spark):
         (10, "0.33"), (11, "0.67"), (12, "1.00"), (20, "0.33")]
     shuffles = [line for line in plan_of(done).splitlines() if "Exchange hashpartitioning" in line]
     assert shuffles and not any("order_detail_id" in line or "_last" in line for line in shuffles)
+
+
+def test_orders_in_sequence_are_the_orders(spark, tmp_path, sf_dir):
+    """Also where a product comes twice or is unknown, an order twice, without id, day or lines; one exchange of the lines."""
+    names = ("lineitem", "orders", "part")
+    lineitem, orders, part = (views.load(spark, sf_dir, t) for t in names)
+    lineitem = lineitem.where("l_orderkey < 40 and l_orderkey <> 11").withColumn(
+        "l_orderkey", F.when(F.col("l_linenumber") < 6, F.col("l_orderkey")))
+    orders = orders.where("o_orderkey < 30").withColumn(
+        "o_orderdate", F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderdate")))
+    orders = orders.unionAll(orders.where("o_orderkey < 5")).withColumn(
+        "o_orderkey", F.when(F.col("o_orderkey") % 7 > 0, F.col("o_orderkey")))
+    part = part.where("p_partkey % 3 > 0")
+    part = part.unionAll(part.where("p_partkey % 2 = 0"))
+    for table, rows in zip(names, (lineitem, orders, part)):
+        rows.write.parquet(str(tmp_path / f"{table}.parquet"))
+    sides = views.sides_in_sequence(spark, str(tmp_path))
+    for side, want in (("o", views.order_info(spark, str(tmp_path))),
+                       ("d", views.order_detail(spark, str(tmp_path)).drop("event_time"))):
+        got = sides.where(F.col(side).isNotNull()).select(f"{side}.*")
+        assert got.columns == want.columns and [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() > 20
+    assert plan_of(sides).count("Exchange rangepartitioning") == 1

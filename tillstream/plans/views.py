@@ -87,6 +87,7 @@ def _order_second(orders_key: Column) -> Column:
     return (orders_key * 7919) % 86400
 
 
+_ORDER = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
 _DETAIL = ["id", "order_id", "sku_id", "order_price", "sku_num"]
 
 
@@ -130,18 +131,37 @@ def detail_from(lineitem: DataFrame, orders: DataFrame | None = None,
     return rows.select(*columns)
 
 
+def sides_in_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``order_info`` (struct ``o``) and ``order_detail`` (struct ``d``, without its time as a timestamp), a row
+    for each of their rows, in the sequence of the order ids. Orders are laid out among their details, so that
+    the one shuffle that brings the sequence takes the place of the joins for days and totals."""
+    part = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("sku_id"), F.col("p_name").alias("sku_name"))
+    # A line with several products is a detail for each, but counts once for its order; one without is none.
+    part = part.withColumn("_copy", F.row_number().over(Window.partitionBy("sku_id").orderBy("sku_name")))
+    lines = _lines(load(spark, sf_dir, "lineitem")).join(part, "sku_id", "left")
+    orders = load(spark, sf_dir, "orders")
+    orders = orders.select(F.col("o_orderkey").alias("order_id"), F.struct(*_ORDER).alias("_order"))
+    laid = lines.unionByName(orders, allowMissingColumns=True).where(F.col("order_id").isNotNull())
+    is_order, same = F.col("_order").isNotNull(), Window.partitionBy("order_id")
+    cents = F.when(F.coalesce("_copy", F.lit(1)) == 1, money.cents(F.col("order_price")) * F.col("sku_num"))
+    day = F.struct("_order.o_orderdate")
+    found = laid.repartitionByRange("order_id").withColumns({
+        "_cents": F.sum(cents).over(same), "_days": F.collect_list(F.when(is_order, day)).over(same)})
+    days = F.when(is_order, F.array(day)).otherwise(F.col("_days"))
+    rows = found.where(is_order | F.col("_copy").isNotNull()).withColumn("_day", F.explode(days))
+    # Orders without an id have no details.
+    rows = rows.select(*_DETAIL, "sku_name", "_line", "_order", "_cents", "_day").unionByName(
+        orders.where(F.col("order_id").isNull()), allowMissingColumns=True).select("*", "_order.*")
+    made = F.date_format(_line_at(F.col("_day.o_orderdate")), codec.TIME_FORMAT).alias("create_time")
+    total = money.amount(F.col("_cents")).alias("original_total_amount")
+    return rows.select(F.when(is_order, F.struct(*_head(), total)).alias("o"),
+                       F.when(~is_order, F.struct(*_DETAIL, "sku_name", made)).alias("d"))
+
+
 def details_in_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``order_detail`` in the sequence of the order ids. The days of the orders are laid out among the
-    details, so that the one shuffle that brings the sequence also takes the place of a join."""
-    lines = _named(_lines(load(spark, sf_dir, "lineitem")), load(spark, sf_dir, "part"))
-    days = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_id"),
-                                                F.struct("o_orderdate").alias("_day"))
-    laid = lines.unionByName(days, allowMissingColumns=True).where(F.col("order_id").isNotNull())
-    every = F.collect_list("_day").over(Window.partitionBy("order_id"))
-    found = laid.repartitionByRange("order_id").withColumn("_days", every).where(F.col("_day").isNull())
-    rows = found.withColumn("_day", F.explode("_days")).withColumn("event_time", _line_at(F.col("_day.o_orderdate")))
-    return rows.select(*_DETAIL, "sku_name", F.date_format("event_time", codec.TIME_FORMAT).alias("create_time"),
-                       "event_time")
+    """``order_detail`` in the sequence of the order ids."""
+    rows = sides_in_sequence(spark, sf_dir).where(F.col("d").isNotNull()).select("d.*")
+    return rows.withColumn("event_time", F.to_timestamp("create_time", codec.TIME_FORMAT))
 
 
 def order_detail(spark: SparkSession, sf_dir: str, times: bool = True,
@@ -167,16 +187,19 @@ select cast({_LINE_ID_SQL} as bigint) id,
 from lineitem join orders on o_orderkey = l_orderkey join part on p_partkey = l_partkey"""
 
 
+def _head() -> list[Column]:
+    at = F.timestamp_seconds(F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
+                             + _order_second(F.col("o_orderkey")))
+    return [F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("order_status"),
+            F.col("o_custkey").alias("user_id"),
+            F.col("o_totalprice").cast(schemas.MONEY).alias("final_total_amount"),
+            F.date_format(at, codec.TIME_FORMAT).alias("create_time"), at.alias("event_time")]
+
+
 def order_head_from(orders: DataFrame, customer: DataFrame | None = None) -> DataFrame:
     """Orders without their original total, and without their province unless the customers
     are given."""
-    at = F.timestamp_seconds(F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
-                             + _order_second(F.col("o_orderkey")))
-    rows = orders.select(
-        F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("order_status"),
-        F.col("o_custkey").alias("user_id"),
-        F.col("o_totalprice").cast(schemas.MONEY).alias("final_total_amount"),
-        F.date_format(at, codec.TIME_FORMAT).alias("create_time"), at.alias("event_time"))
+    rows = orders.select(*_head())
     if customer is None:
         return rows
     home = customer.select(F.col("c_custkey").alias("user_id"),
