@@ -2,6 +2,7 @@
 
 import os
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -340,6 +341,64 @@ def test_a_batch_replayed_by_the_state_store_decides_as_before(spark, tmp_path,
     assert seen == [[(2, "0"), (3, "1")]] * 2
 
 
+def test_users_share_keys_and_what_is_remembered_of_them(spark, tmp_path, heads, monkeypatch):
+    """Python is called once a key and batch, not once a user; frames may end anywhere."""
+    calls = str(tmp_path / "calls")
+
+    class Counting(first_orders._FirstOrder):
+        def handleInputRows(self, key, rows, timerValues):
+            with open(calls, "a") as file:
+                file.write("call\n")
+            yield from super().handleInputRows(key, rows, timerValues)
+
+    monkeypatch.setattr(first_orders, "_FirstOrder", Counting)
+    monkeypatch.setattr(first_orders, "_SLOTS", 4, raising=False)
+    rng, big = random.Random(9), 1 << 60
+    rows = [(big + i, rng.randint(0, 199), at(rng.randint(0, 40))) for i in range(900)]
+    rows += rng.sample(rows, 100)
+    for n in range(2):
+        heads.add(rows[n::2])
+    before = spark.createDataFrame([(str(user),) for user in range(0, 200, 3)], "user_id string")
+    best = {}
+    for i, user, time in rows:
+        best[user] = min(best.get(user, (time, i)), (time, i))
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(size)
+    spark.conf.set(size, "7")
+    try:
+        flags, _ = flag_run(spark, heads, tmp_path, "keys", before, by_time=True)
+    finally:
+        spark.conf.set(size, usual)
+    assert {i for i, f in flags.items() if f == "1"} == {i for user, (_, i) in best.items() if user % 3}
+    assert set(flags) == {i for i, _, _ in rows}
+    with open(calls) as file:
+        assert len(file.readlines()) <= 2 * 2 * 4      # both batches are read twice
+
+
+def test_orders_are_flagged_with_all_their_columns(spark, tmp_path):
+    """Digits of large numbers stay beside absent ones, whether an order plays a part or not."""
+    from pyspark.sql.types import _parse_datatype_string
+    shape = ("id long, user_id long, create_time string, province_id long, amount decimal(18,2), "
+             "malformed boolean, value string, weight double")
+    big = (1 << 60) + 1
+    rows = [(big, big, at(5), big, Decimal("1234567890123456.78"), None, None, 0.1),
+            (big + 2, big, at(6), None, None, True, "x", None),
+            (big + 4, big + 2, None, None, Decimal("0.10"), False, "", float("nan")),
+            (big + 6, None, at(1), big, Decimal("-1.00"), True, "y", 1e300),
+            (None, None, None, None, None, None, None, None), (None, big, at(0), big, None, None, "z", -0.5)]
+    feed, seen = Feed(spark, tmp_path / "wide", _parse_datatype_string(shape)), []
+    for part in (rows[::2], rows[1::2]):
+        feed.add(part)
+    flagged = first_orders.flag(feed.stream())
+    assert flagged.schema.simpleString() == feed.spark.createDataFrame(
+        [], shape + ", if_first_order string").schema.simpleString()
+    runtime.finish(runtime.start(flagged, lambda batch, n: seen.extend(batch.collect()), str(tmp_path / "c"),
+                                 drain=True, state_partitions=2), 300)
+    first = {big, big + 4}
+    assert sorted(map(repr, map(tuple, seen))) == sorted(
+        repr((*row, "1" if row[0] in first else "0")) for row in rows)
+
+
 def test_lonely_rows_go_out_when_their_wait_has_passed_and_are_withdrawn(spark, tmp_path, feeds):
     """Order 1 goes out alone and is met late; detail 20 meets nothing; order 4 still waits."""
     row = lambda i, t: (i, 1, None, None, at(t))
